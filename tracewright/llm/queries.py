@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from .op1_hilbert_shards import op1_hilbert_shards
 from .op3_line_crf import op3_line_crf
+from .op7_patched_ids import op7_patched_ids
+from .op10_byte_bpe import op10_byte_bpe
 
 QUERIES = {
     "op1_hilbert_shards": op1_hilbert_shards,
     "op3_line_crf": op3_line_crf,
+    "op7_patched_ids": op7_patched_ids,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
