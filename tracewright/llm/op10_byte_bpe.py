@@ -25,6 +25,7 @@ import ahocorasick
 import public_tokenizers
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,13 +45,33 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+#: What stands in, while a text is split, for a character of another Unicode version's class: other, letter, number.
+_STAND_IN = {"": "\ue000", "L": "\u00c0", "N": "\u00b2"}
+
+
+def class_differences() -> dict[int, str]:
+    """Characters that the regex module puts in another of the classes L, N than tiktoken's engine, as each knows its
+    own Unicode version, with a stand-in of the class that tiktoken sees."""
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    single = {bytes([i]): i for i in range(256)}
+    ours, theirs = {}, {}
+    for name in "LN":
+        keep = tiktoken.Encoding(name, pat_str=rf"\p{{{name}}}+", mergeable_ranks=single, special_tokens={})
+        theirs[name] = set(bytes(keep.encode_ordinary(everything)).decode())
+        ours[name] = set("".join(regex.findall(rf"\p{{{name}}}+", everything)))
+    odd = (ours["L"] ^ theirs["L"]) | (ours["N"] ^ theirs["N"])
+    return {ord(c): _STAND_IN["L" if c in theirs["L"] else "N" if c in theirs["N"] else ""] for c in odd}
+
+
 class BytePairs:
     """A vocabulary of ranks with its merges recovered: encodes and decodes."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.pieces = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
+        self.splitter = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.differences = class_differences()
+        self.odd = re.compile(f"[{re.escape(''.join(map(chr, self.differences)))}]") if self.differences else None
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
@@ -111,6 +132,11 @@ class BytePairs:
         self.fits[left, right] = ok
         return ok
 
+    def pieces(self, text: str) -> list[str]:
+        if text.isascii() or self.odd is None or not self.odd.search(text):
+            return self.splitter.findall(text)
+        return [text[m.start() : m.end()] for m in self.splitter.finditer(text.translate(self.differences))]
+
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
