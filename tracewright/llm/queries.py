@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from .op1_hilbert_shards import op1_hilbert_shards
 from .op3_line_crf import op3_line_crf
+from .op4_pu_quality import op4_pu_quality
 from .op7_patched_ids import op7_patched_ids
+from .op8_license_scan import op8_license_scan
+from .op9_url_lists import SQL as OP9_SQL
+from .op9_url_lists import op9_url_lists
 from .op10_byte_bpe import op10_byte_bpe
 
 QUERIES = {
     "op1_hilbert_shards": op1_hilbert_shards,
     "op3_line_crf": op3_line_crf,
+    "op4_pu_quality": op4_pu_quality,
     "op7_patched_ids": op7_patched_ids,
+    "op8_license_scan": op8_license_scan,
+    "op9_url_lists": op9_url_lists,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_url_lists": OP9_SQL}
