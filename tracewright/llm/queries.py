@@ -5,6 +5,7 @@ from __future__ import annotations
 from .op1_hilbert_shards import op1_hilbert_shards
 from .op3_line_crf import op3_line_crf
 from .op4_pu_quality import op4_pu_quality
+from .op6_edit_decontamination import op6_edit_decontamination
 from .op7_patched_ids import op7_patched_ids
 from .op8_license_scan import op8_license_scan
 from .op9_url_lists import SQL as OP9_SQL
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_hilbert_shards": op1_hilbert_shards,
     "op3_line_crf": op3_line_crf,
     "op4_pu_quality": op4_pu_quality,
+    "op6_edit_decontamination": op6_edit_decontamination,
     "op7_patched_ids": op7_patched_ids,
     "op8_license_scan": op8_license_scan,
     "op9_url_lists": op9_url_lists,
