@@ -193,7 +193,9 @@ class Chunks(dict):
         return value
 
 
-_memo = lru_cache(1)(Chunks)
+@lru_cache(1)
+def _memo(path: str, pattern: str) -> Chunks:
+    return Chunks(path, pattern)
 
 
 def digests(path: str, pattern: str):

@@ -31,7 +31,7 @@ END_ID = 2
 BLOCK = 1024
 PERCENTILE = 0.95
 IMAGE_TOKENS = 1 << 19
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 CACHED_LENGTH = 64
 MAGIC = b"PFORv1\0\0"
 NULL_ID = -(1 << 63)
@@ -51,7 +51,13 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        stem = chunk[:-1]
+        if chunk[-1] in ".," and stem.isascii() and stem.isalpha():  # a letter run ends here, the mark is a piece of its own
+            ids = self[stem] + self[chunk[-1]]
+        elif chunk.isascii() and chunk.isalpha() and not chunk.islower():
+            ids = self[chunk.lower()]
+        else:
+            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         if len(chunk) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.clear()
@@ -59,8 +65,19 @@ class WordIds(dict):
         return ids
 
 
-_chunks = re.compile(r"[^ \t-\r]+").findall
-_word_ids = lru_cache(1)(WordIds)
+_between_ascii_space = re.compile(r"[^ \t-\r]+").findall
+_other_space = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+
+
+def _chunks(text: str) -> list[str]:
+    return _between_ascii_space(text) if _other_space(text) else text.split()
+
+
+
+
+@lru_cache(1)
+def _word_ids(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def text_ids(text: str, path: str) -> np.ndarray:
