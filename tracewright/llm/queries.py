@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .op1_hilbert_shards import op1_hilbert_shards
+from .op2_ngram_jaccard import op2_ngram_jaccard
 from .op3_line_crf import op3_line_crf
 from .op4_pu_quality import op4_pu_quality
 from .op6_edit_decontamination import op6_edit_decontamination
@@ -14,6 +15,7 @@ from .op10_byte_bpe import op10_byte_bpe
 
 QUERIES = {
     "op1_hilbert_shards": op1_hilbert_shards,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_line_crf": op3_line_crf,
     "op4_pu_quality": op4_pu_quality,
     "op6_edit_decontamination": op6_edit_decontamination,
