@@ -34,15 +34,14 @@ from pyspark.sql import functions as F
 
 from . import text_arrays as ta
 from .common import dropped, table, written
-from .components import Bloom, bit_places, bloom_of, connected_components
+from .components import Bloom, bloom_of, connected_components
+from .repeats import Frequencies, frequencies
 
 WORDS = 5
 PERCENT = 80
 FREQUENT = 32
 MOST_FREQUENT = 1 << 20
 LONG = 200
-BLOOM_BITS = 26
-FLUSH = 1 << 22
 
 
 def needed(n: np.ndarray | int):
@@ -72,113 +71,6 @@ def shingle_sets(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
     return gram_docs[new], grams[new]
 
 
-def _emitted(parts_bits: int):
-    """For mapInArrow over (text): (part, blob of the 32 bits below the part's)."""
-
-    def flushed(held: list[np.ndarray]) -> pa.RecordBatch:
-        all_ = np.concatenate(held) if held else np.zeros(0, ta.U64)
-        part = (all_ >> ta.U64(64 - parts_bits)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        low = ((all_[order] >> ta.U64(32 - parts_bits)) & ta.U64(0xFFFFFFFF)).astype("<u4")
-        edges = np.searchsorted(part[order], np.arange((1 << parts_bits) + 1))
-        there = np.flatnonzero(np.diff(edges))
-        return pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array([low[edges[p] : edges[p + 1]].tobytes() for p in there], pa.binary())], names=["part", "blob"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for t in ta.slices(batch.column(0), lower=True):
-                held.append(shingle_sets(t)[1])
-                size += len(held[-1])
-                if size >= FLUSH:
-                    yield flushed(held)
-                    held, size = [], 0
-        yield flushed(held)
-
-    return run
-
-
-def _summarised(parts_bits: int):
-    """For mapInArrow over (part, blob) dealt by part: a part's Bloom section and its frequent shingles."""
-    section_bits = BLOOM_BITS - parts_bits
-    most = max(1, MOST_FREQUENT >> parts_bits)
-
-    def summary(part: int, blobs: list[bytes]) -> tuple[bytes, bytes]:
-        ids, times = np.unique(np.frombuffer(b"".join(blobs), "<u4"), return_counts=True)
-        bits = np.zeros(1 << section_bits, bool)
-        twice = (ids[times > 1].astype(ta.U64) | ta.U64(part << 32)) << ta.U64(32 - parts_bits)
-        for at in _section_places(twice, parts_bits):
-            bits[at.astype(np.int64)] = True
-        often = np.flatnonzero(times >= FREQUENT)
-        if len(often) > most:
-            often = often[np.argsort(-times[often], kind="stable")[:most]]
-        return np.packbits(bits, bitorder="little").tobytes(), np.sort(ids[often]).astype("<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, blobs = None, []
-        for batch in batches:
-            for p, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if p != part and part is not None:
-                    yield _row(part, *summary(part, blobs))
-                    blobs = []
-                part = p
-                blobs.append(blob.as_py())
-        if part is not None:
-            yield _row(part, *summary(part, blobs))
-
-    def _row(part: int, bits: bytes, often: bytes) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([bits], pa.binary()), pa.array([often], pa.binary())], names=["part", "bits", "often"])
-
-    return run
-
-
-def _section_places(ids: np.ndarray, parts_bits: int) -> list[np.ndarray]:
-    """Two places within a part's section, of hashes cut to the part's bits and the 32 below."""
-    mask = ta.U64((1 << (BLOOM_BITS - parts_bits)) - 1)
-    mixed = ta.mixed(ids >> ta.U64(32 - parts_bits))
-    return [mixed & mask, (mixed >> ta.U64(32)) & mask]
-
-
-class Frequencies:
-    """What is known of all shingles' document frequencies, in bounded memory."""
-
-    def __init__(self, parts_bits: int, bits: np.ndarray, often: np.ndarray):
-        self.parts_bits, self.bits, self.often = parts_bits, bits, often
-
-    def cut(self, hashes: np.ndarray) -> np.ndarray:
-        return hashes >> ta.U64(32 - self.parts_bits)
-
-    def frequent(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.often):
-            return np.zeros(len(hashes), bool)
-        ids = self.cut(hashes)
-        at = np.minimum(np.searchsorted(self.often, ids), len(self.often) - 1)
-        return self.often[at] == ids
-
-    def repeated(self, hashes: np.ndarray) -> np.ndarray:
-        """False only for shingles of one document."""
-        section = (hashes >> ta.U64(64 - self.parts_bits)) << ta.U64(BLOOM_BITS - self.parts_bits)
-        out = np.ones(len(hashes), bool)
-        for at in _section_places(self.cut(hashes) << ta.U64(32 - self.parts_bits), self.parts_bits):
-            place = section + at
-            out &= (self.bits[place >> ta.U64(3)] >> (place & ta.U64(7)).astype(np.uint8)) & 1 > 0
-        return out
-
-
-def frequencies(docs: DataFrame) -> Frequencies:
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts_bits = min(16, max(6, (4 * n - 1).bit_length()))
-    blobs = docs.select("text").mapInArrow(_emitted(parts_bits), "part int, blob binary")
-    parts = blobs.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_summarised(parts_bits), "part int, bits binary, often binary")
-    bits, often = np.zeros(1 << (BLOOM_BITS - 3), np.uint8), []
-    each = (1 << (BLOOM_BITS - parts_bits)) >> 3
-    for r in parts.toLocalIterator():
-        bits[r.part * each : (r.part + 1) * each] = np.frombuffer(r.bits, np.uint8)
-        often.append(np.frombuffer(r.often, "<u4").astype(ta.U64) | ta.U64(r.part << 32))
-    return Frequencies(parts_bits, bits, np.sort(np.concatenate(often)) if often else np.zeros(0, ta.U64))
-
-
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -280,7 +172,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    known = spark.sparkContext.broadcast(frequencies(docs))
+    known = spark.sparkContext.broadcast(frequencies(docs, lambda t: shingle_sets(t)[1], lower=True, frequent=FREQUENT, most_frequent=MOST_FREQUENT))
     schema = "doc_id long, n long, sig_a long, sig_b long, keys array<long>"
     rows = written(docs.mapInArrow(_keyed(known), schema), "keyed")
     known.unpersist()

@@ -6,6 +6,7 @@ from .op1_hilbert_shards import op1_hilbert_shards
 from .op2_ngram_jaccard import op2_ngram_jaccard
 from .op3_line_crf import op3_line_crf
 from .op4_pu_quality import op4_pu_quality
+from .op5_suffix_dedup import op5_suffix_dedup
 from .op6_edit_decontamination import op6_edit_decontamination
 from .op7_patched_ids import op7_patched_ids
 from .op8_license_scan import op8_license_scan
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_line_crf": op3_line_crf,
     "op4_pu_quality": op4_pu_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_edit_decontamination": op6_edit_decontamination,
     "op7_patched_ids": op7_patched_ids,
     "op8_license_scan": op8_license_scan,
