@@ -295,7 +295,7 @@ def test_bpe_matches_the_library(spark, sf_dir, odd_dir, where):
 def test_bpe_of_any_text(text):
     text = text.encode("utf-8", "ignore").decode()
     codec = op10._memo(public_tokenizers.path(op10.VOCABULARY), public_tokenizers.PATTERN)
-    ids = [int(i) for c in op10._chunks(text) for i in codec[c][0].split(",")]
+    ids = [int(i) for c in op10._chunks(text) for i in codec[c][0].split(",")[:-1]]
     assert ids == _encoding.encode_ordinary(text)
     assert codec.codec.decode(ids) == text.encode()
 

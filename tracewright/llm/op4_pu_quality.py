@@ -192,6 +192,22 @@ def quality_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), held_out, "text").mapInArrow(scored(scorer), SCHEMA)
 
 
+def _accepted(scorer: Scorer, text_at: int):
+    """For mapInArrow over whole rows: those predicted to be of quality."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in ta.slices(batch.column(text_at)):
+                yield batch.slice(t.first, t.count).filter(pa.array(scorer.scores(statistics(t)) >= THRESHOLD))
+
+    return run
+
+
+def quality_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """The rows, with all their columns, whose text is predicted to be of quality."""
+    return docs.mapInArrow(_accepted(scorer, docs.columns.index("text")), docs.schema)
+
+
 def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_scores(docs, fitted(docs, table(spark, sf_dir, "labels")))

@@ -235,10 +235,10 @@ def compared(entries: DataFrame, label: str, keep_mixed: bool) -> DataFrame:
     return found.where(F.col("kind") != EDGE).unionByName(more)
 
 
-def identified(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, version, text): ``doc`` without nulls, ``version`` tells rows of one id apart by their text."""
+def identified(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, doc, version, text, *keep): ``doc`` without nulls, ``version`` tells rows of one id apart by their text."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST_ID))
-    rows = docs.select(F.col("doc_id").cast("long"), doc.alias("doc"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), doc.alias("doc"), "text", *(keep or []))
     again = rows.groupBy("doc").count().where("count > 1").select("doc")
     if again.isEmpty():
         return rows.withColumn("version", F.lit(0).cast("long"))
@@ -305,17 +305,17 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
-def with_runs(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, text, runs) without and with repeated strings; only the latter are shuffled."""
+def with_runs(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, text, runs, *keep) without and with repeated strings; only the latter are shuffled."""
     spark = docs.sparkSession
-    own = identified(docs)
+    own = identified(docs, keep)
     runs = repeated_strings(own).groupBy("doc", "version").agg(F.collect_list(F.expr("shiftleft(cast(at AS long), 32) | cast(n AS long)")).alias("runs"))
     runs = written(runs, "runs")
     bloom = spark.sparkContext.broadcast(bloom_of(runs.select(_id_hash().alias("h"))))
-    own = own.select("doc_id", "doc", "version", "text", _id_hash().alias("h"))
-    schema = "doc_id long, doc long, version long, text string, h long"
-    clean = own.mapInArrow(_held(bloom, False), schema).select("doc_id", "text", F.lit(None).cast("array<long>").alias("runs"))
-    hit = own.mapInArrow(_held(bloom, True), schema).join(runs, ["doc", "version"], "left").select("doc_id", "text", "runs")
+    out = ["doc_id", "text", "runs", *(keep or [])]
+    own = own.withColumn("h", _id_hash())
+    clean = own.mapInArrow(_held(bloom, False), own.schema).withColumn("runs", F.lit(None).cast("array<long>")).select(out)
+    hit = own.mapInArrow(_held(bloom, True), own.schema).join(runs, ["doc", "version"], "left").select(out)
     return clean, hit
 
 
@@ -325,20 +325,23 @@ def removal_digests(docs: DataFrame) -> DataFrame:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow over (doc_id, text, runs): what stays; a character cut in the middle goes whole."""
+    """For mapInArrow over (doc_id, text, runs, ...): the text that stays; a character cut in the middle goes whole."""
     for batch in batches:
         out, removed = [], []
         for text, runs in zip(batch.column(1), batch.column(2), strict=True):
             kept, gone, _ = cut((text.as_py() or "").encode(), runs.values.to_numpy() if runs.is_valid else None)
             out.append(kept.decode("utf-8", "ignore") if text.is_valid else None)
             removed.append(gone)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(removed, pa.int64())], names=["doc_id", "text", "n_removed"])
+        names = batch.schema.names
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array(removed, pa.int64()), *batch.columns[3:]], names=["doc_id", "text", "n_removed", *names[3:]])
 
 
-def remaining_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, n_removed) with the repeated bytes taken out."""
-    clean, hit = with_runs(docs)
-    return clean.unionByName(hit).mapInArrow(_texts, "doc_id long, text string, n_removed long")
+def remaining_texts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """(doc_id, text, n_removed, *keep) with the repeated bytes taken out."""
+    clean, hit = with_runs(docs, keep)
+    rows = clean.unionByName(hit)
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[3:]]
+    return rows.mapInArrow(_texts, ", ".join(["doc_id long, text string, n_removed long", *fields]))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

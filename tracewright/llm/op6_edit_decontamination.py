@@ -236,20 +236,46 @@ def searched(bench: Benchmark):
     return run
 
 
+def _blocks(benchmark: DataFrame, block: int) -> Iterator:
+    """The items as broadcast blocks of about ``block``."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
+    blocks = max(1, math.ceil(items.count() / block))
+    for k in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text")
+        yield spark.sparkContext.broadcast(Benchmark([(r.item_id, r.text) for r in part.collect()]))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id, distance, item_bytes) of every item found in a document."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
-    n = items.count()
-    frames = []
-    for k in range(max(1, math.ceil(n / block))):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(math.ceil(n / block))) == k) if n > block else items
-        bench = spark.sparkContext.broadcast(Benchmark([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()]))
-        frames.append(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_with_broadcast(bench), SCHEMA))
-    return reduce(DataFrame.unionByName, frames)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    return reduce(DataFrame.unionByName, (texts.mapInArrow(_with_broadcast(bench), SCHEMA) for bench in _blocks(benchmark, block)))
+
+
+def _without(bench, text_at: int):
+    """For mapInArrow over whole rows: those that hold none of the block's items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in ta.slices(batch.column(text_at), lower=True):
+                good = np.ones(t.count, bool)
+                if bench.value.items:
+                    good[[d for d, _ in bench.value.found(normalised(t))]] = False
+                yield batch.slice(t.first, t.count).filter(pa.array(good))
+
+    return run
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows, with all their columns, that hold no item."""
+    for bench in _blocks(benchmark, block):
+        docs = docs.mapInArrow(_without(bench, docs.columns.index("text")), docs.schema)
+    return docs
 
 
 def _with_broadcast(bench):
+    """For mapInArrow over (doc_id, text)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if bench.value.items:
             yield from searched(bench.value)(batches)
