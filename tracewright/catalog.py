@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
+from tracewright.plans import event_queries, record_queries, report_queries, text_queries, trace_queries
 
+Query = Callable[[SparkSession, str], DataFrame]
 
-def FLAGSHIP(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return next(iter(QUERIES.values()))(spark, sf_dir)
+_MODULES = (trace_queries, record_queries, event_queries, text_queries, report_queries)
+QUERIES: dict[str, Query] = {k: q for m in _MODULES for k, q in m.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: q for m in _MODULES for k, q in m.ORACLE_SQL.items()}
+FLAGSHIP: Query = trace_queries.conversation_windows
