@@ -13,13 +13,13 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 def new_keys(stream: DataFrame, key: str, event_time: str | None = None, delay: str | None = None) -> DataFrame:
     """The first row of each key; with a watermark the keys are forgotten after ``delay``, so state stays bounded."""
     if event_time and delay:
-        return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+        return stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
     return stream.dropDuplicates([key])
 
 
 def windowed_counts(stream: DataFrame, event_time: str, by: list[str], width: str, delay: str) -> DataFrame:
     """Counts per tumbling window; late rows beyond ``delay`` are dropped."""
-    return stream.withWatermark(event_time, delay).groupBy(F.window(event_time, width), *by).agg(F.count("*").alias("n"))
+    return stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay).groupBy(F.window(event_time, width), *by).agg(F.count("*").alias("n"))
 
 
 def call_budget(stream: DataFrame, run: str, order: str, limit: int) -> DataFrame:
