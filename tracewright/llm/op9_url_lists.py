@@ -25,18 +25,21 @@ LIST_EVENTS = [
     ("casino-win.example.com", "add", "2024-01-05"),
     ("casino-win.example.com", "remove", "2024-02-10"),
     ("casino-win.example.com", "add", "2024-03-01"),
-    ("free-bets.example.com", "add", "2024-01-20"),
-    ("m.free-bets.example.com", "remove", "2024-01-25"),
+    ("cheap-pills.example.com", "add", "2024-01-20"),
+    ("www.cheap-pills.example.com", "add", "2024-02-20"),
+    ("www.cheap-pills.example.com", "remove", "2024-02-25"),
     ("tionsh.example.com", "add", "2024-02-01"),
-    ("blog.tionsh.example.com", "add", "2024-02-15"),
-    ("blog.tionsh.example.com", "remove", "2024-02-20"),
+    ("tionsh.example.net", "add", "2024-02-01"),
+    ("blog.tionsh.example.net", "add", "2024-02-15"),
+    ("blog.tionsh.example.net", "remove", "2024-02-20"),
     ("tionsh.example.com", "remove", "2024-03-10"),
+    ("tionsh.example.net", "remove", "2024-03-10"),
     ("tionble.example.org", "add", "2024-01-01"),
     ("tionble.example.org", "remove", "2024-01-31"),
     ("example.net", "add", "2024-03-20"),
 ]
 FETCH_START = "2024-01-01 00:00:00"
-FETCH_STEP_SECONDS = 3607
+FETCH_STEP_SECONDS = 475_141
 FETCH_DAYS = 90
 
 
@@ -72,7 +75,7 @@ def as_of(captures: DataFrame, lists: DataFrame, id_col: str, salts: int = SALTS
     if lists.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         joined = keyed.join(F.broadcast(lists), "domain")
     else:
-        salted = lists.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        salted = lists.withColumn("salt", F.explode(F.array(*(F.lit(k).cast("long") for k in range(salts)))))
         joined = keyed.join(salted, ["domain", "salt"])
     active = joined.where("fetched_at >= valid_from AND (valid_until IS NULL OR fetched_at < valid_until)")
     best = active.groupBy(id_col).agg(F.max(F.struct(F.length("domain").alias("n"), "domain", "valid_from")).alias("hit"))
@@ -96,11 +99,11 @@ def op9_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _VALUES = ",\n    ".join(f"('{d}', '{a}', TIMESTAMP '{t}')" for d, a, t in LIST_EVENTS)
 SQL = f"""
-WITH events(domain, action, at) AS (VALUES
+WITH events(domain, action, moment) AS (VALUES
     {_VALUES}),
-changes AS (SELECT *, lag(action) OVER (PARTITION BY domain ORDER BY at) AS before FROM events),
-lined AS (SELECT domain, action, at, lead(at) OVER (PARTITION BY domain ORDER BY at) AS until FROM changes WHERE before IS NULL OR before <> action),
-lists AS (SELECT domain, at AS since, until FROM lined WHERE action = 'add'),
+changes AS (SELECT *, lag(action) OVER (PARTITION BY domain ORDER BY moment) AS before FROM events),
+lined AS (SELECT domain, action, moment, lead(moment) OVER (PARTITION BY domain ORDER BY moment) AS until FROM changes WHERE before IS NULL OR before <> action),
+lists AS (SELECT domain, moment AS since, until FROM lined WHERE action = 'add'),
 captures AS (SELECT page_id, nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '[.]+$', ''), '') AS host,
   TIMESTAMP '{FETCH_START}' + to_seconds((page_id * {FETCH_STEP_SECONDS}) % {FETCH_DAYS * 86400}) AS fetched_at FROM pages),
 hits AS (SELECT c.page_id, l.domain, l.since, row_number() OVER (PARTITION BY c.page_id ORDER BY length(l.domain) DESC) AS k
