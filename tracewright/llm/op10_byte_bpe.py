@@ -24,7 +24,6 @@ from functools import lru_cache
 import ahocorasick
 import public_tokenizers
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHED_CHUNKS = 200_000
-CACHED_LENGTH = 64
+CACHED_CHUNKS = 400_000
+CACHED_LENGTH = 32
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Unicode's White_Space, which Python's \s exceeds by U+001C to U+001F.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -45,22 +44,44 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-#: What stands in, while a text is split, for a character of another Unicode version's class: other, letter, number.
-_STAND_IN = {"": "\ue000", "L": "\u00c0", "N": "\u00b2"}
+def _ranges(chars: set[str]) -> str:
+    """A set of characters as the inside of a character class."""
+    codes, out = sorted(map(ord, chars)), []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
 
 
-def class_differences() -> dict[int, str]:
-    """Characters that the regex module puts in another of the classes L, N than tiktoken's engine, as each knows its
-    own Unicode version, with a stand-in of the class that tiktoken sees."""
-    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+def engine_classes(most: int) -> dict[str, str]:
+    r"""What stands for \p{L}, \p{N} and \s in a pattern of the re module, for characters up to ``most``: the classes as
+    tiktoken's engine has them, whatever Unicode version it knows."""
+    everything = "".join(map(chr, [*range(0xD800), *range(0xE000, most + 1)]))
     single = {bytes([i]): i for i in range(256)}
-    ours, theirs = {}, {}
+    found = {r"\s": _SPACE}
     for name in "LN":
         keep = tiktoken.Encoding(name, pat_str=rf"\p{{{name}}}+", mergeable_ranks=single, special_tokens={})
-        theirs[name] = set(bytes(keep.encode_ordinary(everything)).decode())
-        ours[name] = set("".join(regex.findall(rf"\p{{{name}}}+", everything)))
-    odd = (ours["L"] ^ theirs["L"]) | (ours["N"] ^ theirs["N"])
-    return {ord(c): _STAND_IN["L" if c in theirs["L"] else "N" if c in theirs["N"] else ""] for c in odd}
+        found[rf"\p{{{name}}}"] = _ranges(set(bytes(keep.encode_ordinary(everything)).decode()))
+    return found
+
+
+def splitter(pattern: str, most: int):
+    """``pattern`` for the re module, which tests such classes by table; right for texts without characters over ``most``."""
+    classes = engine_classes(most)
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        name = next((k for k in (*classes, r"\S") if pattern.startswith(k, at)), None)
+        if name == r"\S":
+            out.append(f"[^{_SPACE}]")
+        elif name:
+            out.append(classes[name] if inside else f"[{classes[name]}]")
+        else:
+            inside = {"[": True, "]": False}.get(pattern[at], inside)
+            out.append(pattern[at])
+        at += len(name or " ")
+    return re.compile("".join(out))
 
 
 class BytePairs:
@@ -69,9 +90,7 @@ class BytePairs:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.splitter = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        self.differences = class_differences()
-        self.odd = re.compile(f"[{re.escape(''.join(map(chr, self.differences)))}]") if self.differences else None
+        self.ascii, self.plane, self.all = (splitter(pattern, most).findall for most in (0x7F, 0xFFFF, 0x10FFFF))
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
@@ -133,9 +152,9 @@ class BytePairs:
         return ok
 
     def pieces(self, text: str) -> list[str]:
-        if text.isascii() or self.odd is None or not self.odd.search(text):
-            return self.splitter.findall(text)
-        return [text[m.start() : m.end()] for m in self.splitter.finditer(text.translate(self.differences))]
+        if text.isascii():
+            return self.ascii(text)
+        return self.plane(text) if max(text) <= "\uffff" else self.all(text)
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -176,16 +195,33 @@ class BytePairs:
         return b"".join(map(self.token.__getitem__, ids))
 
 
+class Pieces(dict):
+    """The ids of a piece."""
+
+    def __init__(self, codec: BytePairs):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.codec.encode_piece(piece.encode())
+        if len(piece) <= CACHED_LENGTH:
+            if len(self) >= CACHED_CHUNKS:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Chunks(dict):
-    """Per chunk: the decimal ids joined by commas, how many, and the bytes they decode to."""
+    """Per chunk the decimal ids, each with a comma after it, and the bytes they decode to."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.codec = BytePairs(read_ranks(path), pattern)
+        self.pieces = Pieces(self.codec)
 
-    def __missing__(self, chunk: str) -> tuple[str, int, bytes]:
-        ids = self.codec.encode(chunk)
-        value = (",".join(map(str, ids)), len(ids), self.codec.decode(ids))
+    def __missing__(self, chunk: str) -> tuple[str, bytes]:
+        ids = [i for piece in self.codec.pieces(chunk) for i in self.pieces[piece]]
+        value = ("".join([f"{i}," for i in ids]), self.codec.decode(ids))
         if len(chunk) <= CACHED_LENGTH:
             if len(self) >= CACHED_CHUNKS:
                 self.clear()
@@ -207,9 +243,10 @@ def digests(path: str, pattern: str):
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
                 parts = list(map(chunk, _chunks(text.as_py() or "")))
-                counts.append(sum(p[1] for p in parts))
-                ids.append(hashlib.sha256(",".join([p[0] for p in parts]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(b"".join([p[2] for p in parts])).hexdigest())
+                joined = "".join([p[0] for p in parts])
+                counts.append(joined.count(","))
+                ids.append(hashlib.sha256(joined[:-1].encode()).hexdigest())
+                decoded.append(hashlib.sha256(b"".join([p[1] for p in parts])).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
