@@ -81,8 +81,7 @@ def test_jaccard_join_matches_brute_force_on_the_data(spark, sf_dir):
     assert joined(op2.op2_ngram_jaccard(spark, sf_dir)) == jaccard_components({r[0]: r[1] for r in fx.table_of(spark, sf_dir)})
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("frequent", [2, 32])
+@pytest.mark.parametrize(("seed", "frequent"), [(1, 2), (2, 32)])
 def test_jaccard_join_matches_brute_force_on_families(spark, monkeypatch, seed, frequent):
     monkeypatch.setattr(op2, "FREQUENT", frequent)
     rows = families(seed)
