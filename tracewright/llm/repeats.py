@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from . import text_arrays as ta
 
 BLOOM_BITS = 26
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 
 HashesOf = Callable[[ta.Texts], np.ndarray]
 

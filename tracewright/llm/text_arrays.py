@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 _seeded = np.random.Generator(np.random.PCG64(20240229))
