@@ -12,10 +12,11 @@ share stand within the first ``n - ceil(0.8 * n) + 2`` of both.
    that share two of them. Sets of ``LONG`` shingles and more take their frequent prefix shingles singly instead, as
    combinations would grow with the square; those somewhat below take both, so that every similar pair has a common key.
 3. Verification. Documents with equal sets are one class from the start. In each key's group all members are compared
-   with the group's smallest one; then groups that still span several components compare one representative of each
-   component with the members of the others, and so on until every group is one component or all its pairs across
-   components have been compared. A group of near copies thus costs as many comparisons as members, and no link is
-   lost. Comparison is exact on the whole sets.
+   with the group's smallest one; then groups that still span several components compare the first member of each
+   component with the members of the others, then the next ``GROWTH`` members, and so on until every group is one
+   component or all its pairs across components have been compared: as many rounds as the logarithm of the largest
+   component. A group of near copies thus costs as many comparisons as members, and no link is lost. Comparison is exact
+   on the whole sets.
 4. Components by alternating stars.
 
 Nulls: a null or wordless text has an empty set and is linked with nothing. A null doc_id takes no part and gets a null
@@ -42,6 +43,8 @@ PERCENT = 80
 FREQUENT = 32
 MOST_FREQUENT = 1 << 20
 LONG = 200
+#: By how much more members of a component each round compares than the one before.
+GROWTH = 8
 
 
 def needed(n: np.ndarray | int):
@@ -192,26 +195,30 @@ def similar_components(docs: DataFrame) -> DataFrame:
     left = postings.join(groups.select("key", F.col("head.doc_id").alias("head")), "key").where("doc_id <> head").select("key", "doc_id", "n")
     left = written(left, "left")
     dropped(postings)
+    labels = written(connected_components(links), "labels")
+    heads_each = 1
     while True:
-        labels = connected_components(links)
         labelled = left.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         spread = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
         labelled = labelled.join(spread, "key", "left_semi")
         turn = Window.partitionBy("key", "component").orderBy("doc_id")
         labelled = written(labelled.withColumn("turn", F.row_number().over(turn)), "labelled")
-        heads = labelled.where("turn = 1").select("key", F.col("doc_id").alias("h"), F.col("n").alias("h_n"), F.col("component").alias("h_component"))
-        met = labelled.join(heads, "key").where(f"component <> h_component AND {_fit('n', 'h_n')} AND (turn > 1 OR h < doc_id)")
+        heads = labelled.where(F.col("turn") <= heads_each).select("key", F.col("doc_id").alias("h"), F.col("n").alias("h_n"), F.col("component").alias("h_component"))
+        met = labelled.join(heads, "key").where(f"component <> h_component AND {_fit('n', 'h_n')} AND (turn > {heads_each} OR h < doc_id)")
         fresh = met.select(F.least("h", "doc_id").alias("a"), F.greatest("h", "doc_id").alias("b")).distinct()
         fresh = written(fresh.join(tried, ["a", "b"], "left_anti"), "pairs")
-        rest = written(labelled.where("turn > 1").select("key", "doc_id", "n"), "left")
+        rest = written(labelled.where(F.col("turn") > heads_each).select("key", "doc_id", "n"), "left")
         dropped(labelled, left)
         left = rest
         if not fresh.isEmpty():
-            links = written(links.unionByName(verified(docs, fresh)), "links")
+            found = verified(docs, fresh)
             tried = tried.unionByName(fresh)
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                labels = written(connected_components(links), "labels")
         if left.isEmpty():
             break
-    labels = connected_components(links)
+        heads_each *= GROWTH
 
     keyed = rows.select("doc_id", "n", "sig_a", "sig_b").join(sets, ["n", "sig_a", "sig_b"], "left")
     named = keyed.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
