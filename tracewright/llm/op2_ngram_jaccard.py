@@ -27,6 +27,7 @@ empty result; extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -160,11 +161,16 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     sets = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"), "text").where("doc_id IS NOT NULL").mapInArrow(_sets(wanted), "doc_id long, blob binary")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = written(sets.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sets")
-    joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("blob").alias("blob_b")), "b")
-    joined = joined.join(sets.select(F.col("doc_id").alias("a"), F.col("blob").alias("blob_a")), "a")
-    out = written(joined.select("a", "b", "blob_a", "blob_b").mapInArrow(_linked, "a long, b long"), "links")
+    # each pair moves a whole set, so pairs go in turns of about as many as there are sets
+    turns = max(1, -(-pairs.count() // max(1, sets.count())))
+    out = []
+    for k in range(turns):
+        some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == k) if turns > 1 else pairs
+        joined = some.join(sets.select(F.col("doc_id").alias("b"), F.col("blob").alias("blob_b")), "b")
+        joined = joined.join(sets.select(F.col("doc_id").alias("a"), F.col("blob").alias("blob_a")), "a")
+        out.append(written(joined.select("a", "b", "blob_a", "blob_b").mapInArrow(_linked, "a long, b long"), "links"))
     dropped(sets)
-    return out
+    return reduce(DataFrame.unionByName, out)
 
 
 def _fit(small: str, large: str) -> str:
