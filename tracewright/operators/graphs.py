@@ -45,42 +45,53 @@ def enumerate_chains(edges: DataFrame, starts: DataFrame, length: int) -> DataFr
     return out
 
 
-def sampled_walks(spark: SparkSession, edges: DataFrame, n: int, seed: int, least: int, most: int, tau: float = 0.4, max_visits: int = 2) -> DataFrame:
-    """(walk, chain): seeded weighted walks; walk k depends on (seed, k) alone, however the rows are dealt.
-
-    After ``least`` tools a walk stops with probability tau / (tau + tools beyond). The edge list is broadcast: it is a
-    tool graph of bounded size, checked here.
+def sampled_walks(spark: SparkSession, edges: DataFrame, n: int, seed: int, least: int, most: int, tau: float = 0.4, max_visits: int = 2, prerequisites: DataFrame | None = None) -> DataFrame:
+    """(walk, chain): distinct chains of ``least`` to ``most`` tools among ``n`` seeded weighted walks, each by its first walk.
+
+    Walk k depends on (seed, k) alone, however the rows are dealt. It starts at a root, and goes on to tools visited
+    fewer than ``max_visits`` times whose prerequisites are met, until none is open; from ``least`` tools on it stops
+    with probability tau / (tau + open tools). The visits bound it, so lengths are filtered afterwards and no walk is
+    cut. ``prerequisites``: (tool, any_of), roots are the tools without; if not given, roots are the tools without an
+    incoming edge of weight 3. Edges and prerequisites are broadcast: they are a tool graph of bounded size, checked here.
     """
     rows = edges.orderBy("from_tool", "to_tool").limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("walks are for tool graphs of at most 100,000 edges")
-    out: dict[str, tuple[list[str], np.ndarray]] = {}
+    needs = prerequisites.orderBy("tool").limit(100_001).collect() if prerequisites is not None else []
+    if max(len(rows), len(needs)) > 100_000:
+        raise ValueError("walks are for tool graphs of at most 100,000 edges and prerequisites")
+    out: dict[str, tuple[list[str], list[float]]] = {}
     for r in rows:
-        names, weights = out.get(r.from_tool, ([], np.zeros(0)))
-        out[r.from_tool] = ([*names, r.to_tool], np.append(weights, float(r.weight)))
-    starts = sorted(out)
-    shared = spark.sparkContext.broadcast((out, starts))
+        names, weights = out.setdefault(r.from_tool, ([], []))
+        names.append(r.to_tool)
+        weights.append(float(r.weight))
+    needed = {r.tool: [set(a) for a in r.any_of] for r in needs if r.any_of}
+    later = set(needed) if prerequisites is not None else {r.to_tool for r in rows if r.weight >= 3}
+    starts = sorted({x for r in rows for x in (r.from_tool, r.to_tool)} - later)
+    if rows and not starts:
+        raise ValueError("the tool graph has no root to start from")
+    shared = spark.sparkContext.broadcast((out, needed, starts))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        graph, first = shared.value
+        graph, alternatives, first = shared.value
         for batch in batches:
             chains = []
             for k in batch["id"]:
                 rng = np.random.Generator(np.random.PCG64([seed, int(k)]))
                 chain = [first[rng.integers(len(first))]] if first else []
-                while chain and len(chain) < most:
-                    beyond = len(chain) - least
-                    if beyond >= 0 and rng.random() < tau / (tau + beyond):
-                        break
-                    names, weights = graph.get(chain[-1], ([], np.zeros(0)))
-                    weights = np.where([chain.count(x) < max_visits for x in names], weights, 0.0) if names else weights
-                    if not weights.sum():
+                visits = dict.fromkeys(chain, 1)
+                while chain:
+                    met = lambda x: x not in alternatives or any(a <= visits.keys() for a in alternatives[x])
+                    names, weights = graph.get(chain[-1], ([], []))
+                    options = [(x, w) for x, w in zip(names, weights, strict=True) if visits.get(x, 0) < max_visits and met(x)]
+                    if not options or (len(chain) >= least and rng.random() < tau / (tau + len(options))):
                         break
-                    chain.append(names[rng.choice(len(names), p=weights / weights.sum())])
+                    share = np.array([w for _, w in options])
+                    chain.append(options[rng.choice(len(options), p=share / share.sum())][0])
+                    visits[chain[-1]] = visits.get(chain[-1], 0) + 1
                 chains.append(chain)
             yield pd.DataFrame({"walk": batch["id"], "chain": chains})
 
-    return spark.range(n).mapInPandas(walk, "walk long, chain array<string>")
+    walks = spark.range(n).mapInPandas(walk, "walk long, chain array<string>")
+    return walks.where(F.size("chain").between(least, most)).groupBy("chain").agg(F.min("walk").alias("walk")).select("walk", "chain")
 
 
 def chain_scores(chains: DataFrame, edges: DataFrame, key: str, alpha: float = 1.0) -> DataFrame:
