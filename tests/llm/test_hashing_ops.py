@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -268,6 +270,40 @@ def test_license_scans_bear_nulls_repeats_and_no_rows(spark, empty_dir):
     assert [(r.doc_id, r.labels) for r in df.orderBy("doc_id").collect()] == [(None, ""), (1, "apache-2"), (1, "apache-2")]
 
 
+def windowed(text: str) -> tuple[str, float]:
+    """Labels and score by trying every run of words."""
+    words = op8.words_of(text)
+    labels, score = set(), 0.0
+    for template, label in op8.TEMPLATES.items():
+        wanted = set(op8.words_of(template))
+        span = op8.SPAN * len(op8.words_of(template))
+        shared = max(len(wanted & set(words[k : k + span])) for k in range(max(len(words), 1)))
+        if shared >= int(np.ceil(op8.CONTAINMENT * len(wanted) - 1e-9)):
+            labels.add(label)
+            score = max(score, shared / len(wanted))
+    return ",".join(sorted(labels)), score
+
+
+def test_license_templates_are_met_across_line_breaks_but_not_spread_over_a_document(spark):
+    filler = [f"filler{k}" for k in range(300)]
+    gpl = "GNU General Public License as published by\nthe Free Software Foundation, either version 3"
+    texts, want = [gpl], ["gpl-3"]
+    for template, label in op8.TEMPLATES.items():
+        for width in (12, 20, 40, 60, 80):
+            texts.append(" ".join(filler) + "\n" + textwrap.fill(f"The files here are {template} and so on", width, break_long_words=False, break_on_hyphens=False) + "\n" + " ".join(filler))
+            want.append(label)
+        texts.append(" ".join(w for word in template.split() for w in (word, *filler[:40])))
+        want.append("")
+    rng = random.Random(4)
+    vocabulary = [w.decode() for t in op8.TEMPLATES for w in op8.words_of(t)]
+    texts += [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 120))) for _ in range(60)]
+    rows = [(k, t, "en", "s", 0) for k, t in enumerate(texts)]
+    got = {r.doc_id: r for r in op8.license_scan(spark.createDataFrame(rows, fx.PLAIN), phrases={"no such phrase": "none"}).collect()}
+    for k, label in enumerate(want):
+        assert label in got[k].labels if label else got[k].labels == "", texts[k]
+    assert [(got[k].labels, pytest.approx(got[k].score)) for k in range(len(texts))] == [windowed(t) for t in texts]
+
+
 # ---- byte-level BPE
 
 

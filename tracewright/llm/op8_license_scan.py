@@ -1,10 +1,10 @@
 """License scans: fixed phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a document, its set the distinct words. A template is met when the block holds at least
-``CONTAINMENT`` of the template's distinct words. Template words are ordered by their frequency over the whole corpus,
-rare first; a block that meets a template must hold one of the template's first ``size - needed + 1`` words (prefix
-filter), must have at least ``needed`` distinct words (length filter), and at its first shared word enough template
-words must be left (positional filter). What remains is counted exactly.
+A block is a run of words of a document, whatever line breaks it holds: ``SPAN`` times as many words as the template
+has. A template is met when a block holds at least ``CONTAINMENT`` of the template's distinct words. Template words are
+ordered by their frequency over the whole corpus, rare first; a block that meets a template must hold one of the
+template's first ``size - needed + 1`` words (prefix filter) and ``needed`` occurrences of its words (length filter).
+What remains is counted exactly, at every place where a block can start.
 
 Frequencies are sums per task of the template words alone, so what is gathered is as large as the template list. The
 template list and its index are broadcast: they are a parameter, not data.
@@ -27,6 +27,8 @@ from . import text_arrays as ta
 from .common import table
 
 CONTAINMENT = 0.9
+#: Words of a block for each word of the template: room for what authors put between a notice's words.
+SPAN = 3
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 #: Fixed by the contract: phrases whose words stand consecutively, and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -62,12 +64,10 @@ def _hash_words(words: list[bytes]) -> np.ndarray:
     return t.hashes(*t.spans(_WORD[joined])) if words else np.zeros(0, ta.U64)
 
 
-def _blocks(t: ta.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, their documents, starts in the data, and the number of the line each stands in."""
+def _word_hashes(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes and their documents."""
     starts, ends = t.spans(_WORD[t.data])
-    docs = t.doc_of(starts)
-    lines = np.concatenate(([0], np.cumsum(t.data == 10)))[starts] + docs
-    return t.hashes(starts, ends), docs, starts, lines
+    return t.hashes(starts, ends), t.doc_of(starts)
 
 
 def counted(vocabulary: np.ndarray):
@@ -77,7 +77,7 @@ def counted(vocabulary: np.ndarray):
         seen = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             for t in ta.slices(batch.column(0), lower=True):
-                words = _blocks(t)[0]
+                words = _word_hashes(t)[0]
                 at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
                 seen += np.bincount(at[vocabulary[at] == words], minlength=len(vocabulary))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(vocabulary))), pa.array(seen)], names=["word", "n"])
@@ -99,6 +99,7 @@ class TemplateIndex:
     def __init__(self, templates: dict[str, str], containment: float, phrases: dict[str, str]):
         self.sets = [np.unique(_hash_words(words_of(t))) for t in templates]
         self.labels = list(templates.values())
+        self.spans = [SPAN * len(words_of(t)) for t in templates]
         self.containment = containment
         self.vocabulary = np.unique(np.concatenate(self.sets))
         self.phrases = [(_hash_words(words_of(p)), label) for p, label in phrases.items()]
@@ -110,42 +111,33 @@ class TemplateIndex:
         self.rank = rank
         self.ranked = [np.sort(rank[np.searchsorted(self.vocabulary, s)]) for s in self.sets]
         self.needed = [int(np.ceil(self.containment * len(s) - 1e-9)) for s in self.sets]
-        self.prefix: dict[int, list[tuple[int, int]]] = {}
-        for k, s in enumerate(self.ranked):
-            for place, r in enumerate(s[: len(s) - self.needed[k] + 1].tolist()):
-                self.prefix.setdefault(r, []).append((k, place))
-        self.is_prefix = np.zeros(len(counts), bool)
-        self.is_prefix[list(self.prefix)] = True
         return self
 
-    def met(self, words: np.ndarray, lines: np.ndarray) -> list[tuple[int, int, float]]:
-        """(line, template, containment) of every block that meets a template."""
+    def met(self, words: np.ndarray, docs: np.ndarray) -> list[tuple[int, int, float]]:
+        """(document, template, largest containment) of every document with a block that meets the template."""
         at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
         known = np.flatnonzero(self.vocabulary[at] == words)
-        if not len(known):
-            return []
-        ranks, in_line = self.rank[at[known]], lines[known]
-        pairs = np.unique(np.stack((in_line, ranks)), axis=1)
-        hot = np.unique(pairs[0][self.is_prefix[pairs[1]]])
-        if not len(hot):
-            return []
-        candidate_words = np.isin(lines, hot)
-        distinct = np.unique(np.stack((lines[candidate_words].astype(ta.U64), words[candidate_words])), axis=1)[0]
-        line_ids, sizes = np.unique(distinct, return_counts=True)
-        size_of = dict(zip(line_ids.tolist(), sizes.tolist(), strict=True))
+        ranks = self.rank[at[known]]
         out = []
-        for line in hot.tolist():
-            held = pairs[1][np.searchsorted(pairs[0], line) : np.searchsorted(pairs[0], line, side="right")]
-            first: dict[int, int] = {}
-            for r in held.tolist():
-                for k, place in self.prefix.get(r, ()):
-                    first.setdefault(k, place)
-            for k, place in first.items():
-                size = len(self.ranked[k])
-                if size_of[line] >= self.needed[k] and min(size - place, len(held)) >= self.needed[k]:
-                    shared = len(np.intersect1d(self.ranked[k], held, assume_unique=True))
-                    if shared >= self.needed[k]:
-                        out.append((line, k, shared / size))
+        for k, ranked in enumerate(self.ranked):
+            size, needed = len(ranked), self.needed[k]
+            of_template = np.zeros(len(self.vocabulary), bool)
+            of_template[ranked] = True
+            inside = of_template[ranks]
+            places, held = known[inside], ranks[inside]
+            if len(places) < needed:
+                continue
+            of = docs[places]
+            # a block that starts at places[i] holds the occurrences i to ends[i]
+            ends = np.minimum(np.searchsorted(places, places + self.spans[k]), np.searchsorted(of, of, side="right"))
+            rare = np.concatenate(([0], np.cumsum(held <= ranked[size - needed])))
+            begins = np.arange(len(places))
+            best: dict[int, int] = {}
+            for i in np.flatnonzero((ends - begins >= needed) & (rare[ends] > rare[begins])).tolist():
+                d = int(of[i])
+                if best.get(d, 0) < size:
+                    best[d] = max(best.get(d, 0), len(set(held[i : ends[i]].tolist())))
+            out += [(d, k, shared / size) for d, shared in best.items() if shared >= needed]
         return out
 
 
@@ -155,7 +147,7 @@ def scanned(index: TemplateIndex):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for t in ta.slices(batch.column(1), lower=True):
-                words, docs, _, lines = _blocks(t)
+                words, docs = _word_hashes(t)
                 n_words = ta.per_doc_sum(docs, t.count)
                 first_in_doc = np.concatenate(([0], np.cumsum(n_words)))
                 base: list[set[str]] = [set() for _ in range(t.count)]
@@ -177,9 +169,7 @@ def scanned(index: TemplateIndex):
                 np.maximum.at(last, docs[places], inner)
                 labels = [set(x) for x in base]
                 score = np.array([1.0 if x else 0.0 for x in base])
-                line_doc = dict(zip(lines.tolist(), docs.tolist(), strict=True)) if len(lines) else {}
-                for line, k, share in index.met(words, lines):
-                    d = line_doc[line]
+                for d, k, share in index.met(words, docs):
                     labels[d].add(index.labels[k])
                     score[d] = max(score[d], share)
                 none = n_base == 0
