@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import text as ft
+from tracewright.functions.pointers import pointer_get
 from tracewright.operators import ranking, spans
 from tracewright.session import table
 
@@ -76,12 +77,19 @@ def best_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id").join(best.select("doc_id", "rank"), "doc_id", "left")
 
 
-def json_pointer_get(spark: SparkSession, sf_dir: str) -> DataFrame:
+def json_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"))
     return props.select("event_id", F.expr("schema_of_variant(v) IS NOT NULL").alias("is_json"), F.expr("size(map_keys(from_json(to_json(v), 'map<string,string>')))").cast("long").alias("n_keys"))
 
 
-QUERIES = {f.__name__: f for f in (path_scrub_counts, marker_residue, url_normalise, name_normalise, html_summary, exact_duplicate_groups, ledger_dedupe, near_duplicate_names, sentence_coverage, subject_universe, seeded_sample, best_evidence, json_pointer_get)}
+def json_pointer_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What pointers find that hit, miss and traverse a scalar."""
+    props = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("v"))
+    found = {n: pointer_get(F.col("v"), p) for n, p in (("hit", "/k"), ("miss", "/~0k~1"), ("crossed", "/k/0"))}
+    return props.select("event_id", *(c for n, f in found.items() for c in (F.to_json(f["node"]).alias(n), f["issue"].alias(f"{n}_issue"))))
+
+
+QUERIES = {f.__name__: f for f in (path_scrub_counts, marker_residue, url_normalise, name_normalise, html_summary, exact_duplicate_groups, ledger_dedupe, near_duplicate_names, sentence_coverage, subject_universe, seeded_sample, best_evidence, json_key_counts, json_pointer_values)}
 
 _S1 = "regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]+', '<email>', 'g')"
 _S2 = f"regexp_replace({_S1}, '[0-9]+', '0', 'g')"
@@ -100,5 +108,6 @@ ORACLE_SQL = {
     "subject_universe": "SELECT doc_id, string_agg(DISTINCT origin, '+' ORDER BY origin) AS origins FROM (SELECT doc_id, 'seed' AS origin FROM documents UNION ALL SELECT doc_id, 'labels' FROM labels) GROUP BY doc_id",
     "seeded_sample": "SELECT doc_id, lang FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50",
     "best_evidence": "SELECT d.doc_id, l.rank FROM documents d LEFT JOIN (SELECT doc_id, max(quality * 2 + 1 - toxic) AS rank FROM labels GROUP BY doc_id) l USING (doc_id)",
-    "json_pointer_get": "SELECT event_id, json_valid(props) AS is_json, CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM events",
+    "json_key_counts": "SELECT event_id, json_valid(props) AS is_json, CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM events",
+    "json_pointer_values": "SELECT event_id, " + ", ".join(f"CAST(json_extract(props, '{p}') AS VARCHAR) AS {n}, CASE WHEN json_type(props, '{p}') IS NOT NULL THEN NULL WHEN json_type(props, '{up}') IN ('OBJECT', 'ARRAY') THEN 'missing' ELSE 'traverses a scalar' END AS {n}_issue" for n, p, up in (("hit", "/k", ""), ("miss", "/~0k~1", ""), ("crossed", "/k/0", "/k"))) + " FROM events",
 }
