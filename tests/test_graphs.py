@@ -38,3 +38,25 @@ def test_walks_wait_for_prerequisites(spark):
     assert rows and {r.chain[0] for r in rows} == {"a"}
     assert any("c" in r.chain for r in rows)
     assert all({"a", "b"} <= set(r.chain[: r.chain.index("c")]) for r in rows if "c" in r.chain)
+
+
+def greedy(rows, count, penalty):
+    """As the reference selects: over all chains, with ties by score, length and chain."""
+    left, worst, out = {k: (c, s) for k, c, s in rows}, {k: 0.0 for k, _, _ in rows}, []
+    while left and len(out) < count:
+        best = max(left, key=lambda k: (left[k][1] - penalty * worst[k], left[k][1], len(left[k][0]), left[k][0]))
+        out.append((best, len(out) + 1, left[best][1] - penalty * worst[best]))
+        members = set(left.pop(best)[0])
+        for k, (c, _) in left.items():
+            worst[k] = max(worst[k], len(members & set(c)) / min(len(members), len(set(c))))
+    return out
+
+
+def test_selection_reaches_chains_below_the_best_two_thousand(spark):
+    rows = [(k, ["a", "b", f"c{k}"], 3.0 - k / 10_000) for k in range(2100)] + [(5000, ["x", "y", "z", "x"], 1.0), (5001, ["x", "w"], 1.0), (5002, ["a", "q", "r"], 0.5)]
+    df = spark.createDataFrame(rows, "walk long, chain array<string>, eligibility double")
+    got = [tuple(r) for r in graphs.diverse_selection(df, "walk", "eligibility", 8, 10.0).orderBy("turn").collect()]
+    want = greedy(rows, 8, 10.0)
+    assert [g[:2] for g in got] == [w[:2] for w in want] and got[1][0] == 5000
+    assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want, strict=True))
+    assert len(graphs.diverse_selection(df.limit(3), "walk", "eligibility", 8, 10.0).collect()) == 3

@@ -9,6 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracewright.functions.text import overlap
+from tracewright.session import written
+
+#: Turns of a selection between writes, so that plans stay short.
+WRITE_TURNS = 5
+
 
 def first_definitions(edges: DataFrame, order: str) -> DataFrame:
     """One row for each (from_tool, to_tool), the one defined first; no edge leads to its own tool."""
@@ -103,25 +109,25 @@ def chain_scores(chains: DataFrame, edges: DataFrame, key: str, alpha: float = 1
     return sums.select(key, n.cast("long").alias("n_edges"), "score", F.when(n > 0, F.col("score") / n + alpha * F.log(F.col("_n").cast("double"))).otherwise(F.lit(0.0)).alias("eligibility"))
 
 
-def diverse_selection(chains: DataFrame, key: str, score: str, count: int, penalty: float, pool: int = 2000) -> DataFrame:
+def diverse_selection(chains: DataFrame, key: str, score: str, count: int, penalty: float) -> DataFrame:
     """Greedy choice by score minus penalty times the largest overlap with what is chosen: (key, turn, gain).
 
-    Only the best ``pool`` chains take part, a documented bound, as each choice depends on all before it.
+    All chains take part. Each of the ``count`` turns is one pass over them that brings their largest overlap up to date
+    with the chain just chosen and takes the best one; ties go by score, length and chain, then to the least key. Every
+    ``WRITE_TURNS`` turns the table is written to the shared folder. The driver holds the chosen chains alone.
     """
-    best_first = chains.orderBy(F.col(score).desc(), key).limit(pool)
-    rest = best_first.select(key, F.array_distinct("chain").alias("members"), F.col(score).cast("double").alias("_score"))
-    rows = rest.toPandas()  # at most ``pool`` rows
-    sets = [set(m) for m in rows["members"]]
-    worst = np.zeros(len(rows))
-    left, out = list(range(len(rows))), []
-    while left and len(out) < count:
-        gains = [(rows["_score"][i] - penalty * worst[i], -i) for i in left]
-        gain, at = max(gains)
-        best = -at
-        out.append((rows[key][best].item() if hasattr(rows[key][best], "item") else rows[key][best], len(out) + 1, float(gain)))
-        left.remove(best)
-        for i in left:
-            small = min(len(sets[i]), len(sets[best]))
-            worst[i] = max(worst[i], len(sets[i] & sets[best]) / small if small else 0.0)
+    tools = F.array_distinct("chain")
+    left = written(chains.select(F.col(key).alias("_key"), "chain", tools.alias("_tools"), F.col(score).cast("double").alias("_score"), F.lit(0.0).alias("_worst")), "chains")
+    out: list[tuple] = []
+    while len(out) < count:
+        gain = F.col("_score") - penalty * F.col("_worst")
+        best = left.withColumn("_gain", gain).orderBy(F.desc("_gain"), F.desc("_score"), F.size("chain").desc(), F.desc("chain"), "_key").limit(1).collect()
+        if not best:
+            break
+        out.append((best[0]["_key"], len(out) + 1, best[0]["_gain"]))
+        chosen = F.array(*map(F.lit, best[0]["_tools"])).cast("array<string>")
+        left = left.where(F.col("_key") != F.lit(best[0]["_key"])).withColumn("_worst", F.greatest("_worst", overlap(F.col("_tools"), chosen)))
+        if len(out) % WRITE_TURNS == 0 and len(out) < count:
+            left = written(left, "chains")
     kind = dict(chains.dtypes)[key]
     return chains.sparkSession.createDataFrame(out, f"{key} {kind}, turn int, gain double")
