@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tracewright.functions.text import char_grams
 
@@ -12,28 +17,34 @@ GRAM = 5
 JACCARD, CONTAINMENT, LEAST_CHARS = 0.78, 0.94, 60
 
 
-def normal_form(text: Column) -> Column:
-    """Lower case without ASCII white space and punctuation."""
+@F.pandas_udf(StringType())
+def normal_form(text: pd.Series) -> pd.Series:
+    """NFKC, case folded, letters, digits and # alone; null stays null."""
+    return text.map(lambda t: "".join(c for c in unicodedata.normalize("NFKC", t).casefold() if c.isalnum() or c == "#"), na_action="ignore")
+
+
+def ascii_form(text: Column) -> Column:
+    """Lower case without ASCII white space and punctuation: what SQL can follow."""
     return F.regexp_replace(F.lower(text), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", "")
 
 
 def duplicate_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, exact_id, number_id): the smallest key with the same normal form, and with the same form up to numbers."""
-    form = normal_form(F.col(text))
-    hashed = df.select(key, F.sha2(form, 256).alias("_e"), F.sha2(F.regexp_replace(form, "[0-9]+", "#"), 256).alias("_n"))
+    forms = df.select(key, normal_form(F.col(text)).alias("_form"))
+    hashed = forms.select(key, F.sha2("_form", 256).alias("_e"), F.sha2(F.regexp_replace("_form", r"\p{Nd}+", "#"), 256).alias("_n"))
     exact = hashed.groupBy("_e").agg(F.min(key).alias("exact_id"), F.min("_n").alias("_n"))
     numbers = exact.groupBy("_n").agg(F.min("exact_id").alias("number_id"))
     return hashed.drop("_n").join(exact.join(numbers, "_n").drop("_n"), "_e").select(key, "exact_id", "number_id")
 
 
-def near_duplicates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(a, b, shared, size_a, size_b) of distinct normal forms (each by its smallest key) that are near duplicates.
+def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:
+    """(a, b, shared, size_a, size_b) of distinct forms (each by its smallest key) that are near duplicates.
 
     Grams are ordered rare first. With containment c or more, the smaller set's first size - ceil(c * size) + 1 grams
     hold one of the larger set's; with Jaccard j the overlap is at least j of the smaller set, so j bounds both. Only
     those prefixes look for partners, then the sets are compared exactly.
     """
-    forms = df.select(F.col(key).alias("id"), normal_form(F.col(text)).alias("form")).where(f"length(form) >= {LEAST_CHARS}")
+    forms = df.select(F.col(key).alias("id"), form(F.col(text)).alias("form")).where(f"length(form) >= {LEAST_CHARS}")
     forms = forms.groupBy("form").agg(F.min("id").alias("id"))
     sets = forms.select("id", char_grams(F.col("form"), GRAM).alias("grams"))
     grams = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))

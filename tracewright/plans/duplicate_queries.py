@@ -14,10 +14,13 @@ def text_duplicate_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Among all turns and edited copies of every fifth conversation's turns, as the table alone has none."""
+    """Among all turns and edited copies of every fifth conversation's turns, as the table alone has none.
+
+    Its form is the ASCII one, which its SQL states.
+    """
     turns = table(spark, sf_dir, "conversations").select(F.expr("conv_id * 1000 + turn").alias("id"), "conv_id", "text")
     copies = turns.where("conv_id % 5 = 0").withColumns({"id": F.col("id") + 500, "text": F.concat("text", F.lit(" and a tail"))})
-    return duplicates.near_duplicates(turns.unionByName(copies), "id", "text")
+    return duplicates.near_duplicates(turns.unionByName(copies), "id", "text", duplicates.ascii_form)
 
 
 QUERIES = {f.__name__: f for f in (text_duplicate_classes, turn_near_duplicates)}
