@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import fixtures as fx
@@ -15,6 +16,7 @@ from tracewright.llm import op2_ngram_jaccard as op2
 from tracewright.llm import op4_pu_quality as op4
 from tracewright.llm import op6_edit_decontamination as op6
 from tracewright.llm import op9_url_lists as op9
+from tracewright.llm import text_arrays as ta
 from tracewright.llm.components import connected_components
 
 # ---- n-gram Jaccard join
@@ -154,6 +156,28 @@ def test_decontamination_finds_what_brute_force_finds(spark, block):
     assert got[52, 93] == 0 and got[None, 93] == 0
 
 
+@pytest.mark.parametrize("size", [1000, 3000, 5000])
+def test_long_items_are_found_at_all_edits_allowed(size):
+    rng = random.Random(size)
+    items = [(k, fx.prose(rng, size // 5)[:size]) for k in range(6)]
+    bench = op6.Benchmark(items)
+    missed = 0
+    for k, item in enumerate(bench.items):
+        text = list(item.decode())
+        for at in rng.sample(range(len(text)), int(bench.edits[k])):
+            text[at] = rng.choice(["", "q", text[at] + "q"])
+        document = f"{fx.prose(rng, 30)} {''.join(text)} {fx.prose(rng, 30)}"
+        missed += all((0, k) not in bench.found(op6.normalised(t)) for t in ta.slices(pa.array([document]), lower=True))
+    assert missed == 0
+
+
+def test_very_short_items_are_looked_up():
+    bench = op6.Benchmark([(1, "Cats"), (2, "Short one"), (3, "?")])
+    texts = ["some cats", "catsuit", "a SHORT, one", "a short on", "Cats", ""]
+    got = {(t.first + d, bench.ids[i]) for t in ta.slices(pa.array(texts), lower=True) for d, i in bench.found(op6.normalised(t))}
+    assert got == {(0, 1), (4, 1), (2, 2)}
+
+
 def test_myers_distance_is_exact():
     rng = random.Random(8)
     for _ in range(60):

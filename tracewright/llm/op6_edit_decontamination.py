@@ -11,13 +11,15 @@ that number would use it up).
 2. Embedding. Windows and items take the CGK random walk (Chakraborty, Goldenberg, Koucky 2016): a cursor advances or
    stays by a shared random bit per step and byte, so edit distance becomes Hamming distance. Each of ``REPEATS`` walks
    samples ``SAMPLED`` places as an LSH key; ``REPEATS`` follows from ``RECALL`` at the share of equal places that an
-   allowed number of edits leaves. A window goes on if one of its keys is the item's.
+   allowed number of edits leaves. A window goes on if one of its keys is the item's. That share falls with length, so
+   the windows of items above ``EMBEDDED_BYTES`` all go on: for them, exact verification costs less than the walks needed.
 3. Verification. The exact least edit distance between the item and any substring around the window (bit-parallel
    dynamic programming).
 
 The benchmark is broadcast in blocks of ``BLOCK_ITEMS``, one pass over the documents each, so its size is bounded.
 
-Nulls: null texts and null or blank items match nothing, as do items shorter than two grams; a null doc_id comes back null. Repeated
+Nulls: null texts and null or blank items match nothing. Items shorter than two grams
+allow no edits, and those shorter than one gram are looked up as whole words. A null doc_id comes back null. Repeated
 items or rows are reported once each by id. Empty tables give an empty result. Extra columns are not read.
 """
 
@@ -43,6 +45,8 @@ SAMPLED = 4
 KEPT_SHARE = 0.6
 RECALL = 0.99
 REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - KEPT_SHARE**SAMPLED))
+#: Items up to this length keep ``KEPT_SHARE``.
+EMBEDDED_BYTES = 500
 BLOCK_ITEMS = 5000
 SCHEMA = "doc_id long, item_id long, distance int, item_bytes int"
 
@@ -114,12 +118,13 @@ class Benchmark:
         self.ids, self.items = [], []
         for item_id, text in items:
             item = normalised_text(text or "")
-            if len(item) >= 2 * GRAM:
+            if item:
                 self.ids.append(item_id)
                 self.items.append(item)
         sizes = np.array([len(x) for x in self.items], np.int64)
         self.sizes = sizes
-        self.edits = np.minimum((MAX_EDITS * sizes).astype(np.int64), (sizes - GRAM) // GRAM)
+        self.edits = np.clip((sizes - GRAM) // GRAM, 0, (MAX_EDITS * sizes).astype(np.int64))
+        self.edits[sizes < 2 * GRAM] = 0
         self.needed = np.maximum(sizes - GRAM + 1 - GRAM * self.edits, 1)
         grams = [_grams(np.frombuffer(x, np.uint8)) for x in self.items]
         self.gram = np.concatenate(grams) if grams else np.zeros(0, ta.U64)
@@ -129,11 +134,13 @@ class Benchmark:
         self.gram, self.gram_item, self.gram_place = self.gram[order], self.gram_item[order], self.gram_place[order]
         self.present = np.zeros(1 << _TABLE_BITS, bool)
         self.present[_slot(self.gram)] = True
-        longest = int(sizes.max()) if len(sizes) else 1
+        embedded = np.flatnonzero(sizes <= EMBEDDED_BYTES)
+        longest = int(sizes[embedded].max()) if len(embedded) else 1
         drawn = np.random.Generator(np.random.PCG64(seed))
         self.walk = drawn.integers(0, 2, (REPEATS, 3 * longest, 257), dtype=np.uint8)
         self.sample = drawn.random((REPEATS, SAMPLED))
-        self.item_keys = self.keys([np.frombuffer(x, np.uint8) for x in self.items], sizes)
+        self.item_keys = np.zeros((len(sizes), REPEATS), ta.U64)
+        self.item_keys[embedded] = self.keys([np.frombuffer(self.items[k], np.uint8) for k in embedded.tolist()], sizes[embedded])
 
     def keys(self, windows: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
         """(windows, REPEATS) keys; ``sizes`` are the item lengths, which set how far a walk goes and where it is sampled."""
@@ -196,17 +203,34 @@ class Benchmark:
         item = spots[1]
         return tuple(spots[:, times >= -(-self.needed[item] // (self.edits[item] + 1))])
 
+    def words(self, t: ta.Texts) -> dict[tuple[int, int], int]:
+        """(document, item) of the items shorter than a gram that stand in a document as whole words."""
+        out = {}
+        text = t.data.tobytes()
+        for i in np.flatnonzero(self.sizes < GRAM).tolist():
+            at = text.find(self.items[i])
+            while at >= 0:
+                d, end = int(t.doc_of(np.array([at]))[0]), at + len(self.items[i])
+                if end <= t.offsets[d + 1] and (at == t.offsets[d] or text[at - 1] == 32) and (end == t.offsets[d + 1] or text[end] == 32):
+                    out[d, i] = 0
+                at = text.find(self.items[i], at + 1)
+        return out
+
     def found(self, t: ta.Texts) -> dict[tuple[int, int], int]:
         """The least distance of each (document, item) within its edits."""
+        out = self.words(t)
         docs, items, starts = self.windows(t)
         if not len(docs):
-            return {}
+            return out
         first, last = t.offsets[docs], t.offsets[docs + 1]
-        out: dict[tuple[int, int], int] = {}
         for a in range(0, len(docs), 4096):
             part = slice(a, a + 4096)
-            cut = [t.data[max(s, f) : min(s + m, e)] for s, f, e, m in zip(starts[part].tolist(), first[part].tolist(), last[part].tolist(), self.sizes[items[part]].tolist(), strict=True)]
-            near = (self.keys(cut, self.sizes[items[part]]) == self.item_keys[items[part]]).any(axis=1)
+            sizes = self.sizes[items[part]]
+            near = sizes > EMBEDDED_BYTES
+            walked = np.flatnonzero(~near)
+            some = walked + a
+            cut = [t.data[max(s, f) : min(s + m, e)] for s, f, e, m in zip(starts[some].tolist(), first[some].tolist(), last[some].tolist(), sizes[walked].tolist(), strict=True)]
+            near[walked] = (self.keys(cut, sizes[walked]) == self.item_keys[items[some]]).any(axis=1)
             for k in (np.flatnonzero(near) + a).tolist():
                 d, i, e = int(docs[k]), int(items[k]), int(self.edits[items[k]])
                 if out.get((d, i)) == 0:
