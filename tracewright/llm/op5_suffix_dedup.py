@@ -12,7 +12,7 @@ position at the same distance, which is all a cover must give, and 6 % of the po
 2. Sort sampled triples: what stands before the core, the core, and what follows, as (core name, name of the whole
    stretch), then place. Neighbours in this order are compared: a stretch equal to its predecessor is a copy, all of
    whose strings start earlier elsewhere; the first of its kind among stretches of another kind goes on.
-3. Recurse on the names of those: their single strings, named by (core name, own fingerprint), are sorted in turn, and
+3. One fixed second pass, no recursion on ranks: the single strings of those, named by (core name, own fingerprint), are sorted, and
 4. compared with their neighbours: equal names and an earlier place before them mean repetition.
 
 Both sorts are range shuffles on (names, place), so one core with a third of all rows still spreads evenly; at the edges
