@@ -62,13 +62,27 @@ def release_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return releases.appended(docs.where("doc_id % 5 < 2"), found, "doc_id", [F.col("n_chars").asc()])
 
 
+def release_merge_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``release_merge`` with parts that make up the whole table."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    base = releases.merged([docs.where(f"doc_id % 4 = {k}") for k in range(4)], "doc_id")
+    return releases.replaced(base, docs.where("doc_id % 4 = 2 AND doc_id % 3 = 0").withColumn("lang", F.lit("zz")), "doc_id")
+
+
+def release_append_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``release_append`` with all documents found."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    found = docs.unionByName(docs.where("doc_id % 5 = 3").withColumn("n_chars", F.lit(-1).cast("long")))
+    return releases.appended(docs.where("doc_id % 5 < 2"), found, "doc_id", [F.col("n_chars").asc()])
+
+
 def release_preserved(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("digest"))
     after = docs.where("doc_id % 9 <> 4").withColumn("digest", F.when(F.expr("doc_id % 9 = 5"), F.sha2("digest", 256)).otherwise(F.col("digest")))
     return releases.preserved(docs, after, "doc_id", "digest")
 
 
-QUERIES = {f.__name__: f for f in (conversation_windows, conversation_messages, conversation_integrity, call_integrity, event_fold, strict_split, release_merge, release_append, release_preserved)}
+QUERIES = {f.__name__: f for f in (conversation_windows, conversation_messages, conversation_integrity, call_integrity, event_fold, strict_split, release_merge, release_append, release_merge_whole, release_append_whole, release_preserved)}
 
 ORACLE_SQL = {
     "conversation_windows": "WITH w AS (SELECT *, CAST(sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS segment FROM conversations) SELECT conv_id, segment, count(*) AS n_messages, count(*) FILTER (role = 'assistant') AS n_assistant, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars, min(turn) AS first_turn, max(turn) AS last_turn, arg_max(role, turn) AS last_role FROM w GROUP BY conv_id, segment",
@@ -80,5 +94,7 @@ ORACLE_SQL = {
     "strict_split": "SELECT doc_id, concat_ws(',', CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN toxic = 1 THEN 'toxic' END, CASE WHEN n_chars < 100 THEN 'short' END) AS flags FROM documents LEFT JOIN labels USING (doc_id)",
     "release_merge": "SELECT doc_id, CASE WHEN doc_id % 4 = 2 AND doc_id % 3 = 0 THEN 'zz' ELSE lang END AS lang, n_chars FROM documents WHERE doc_id % 4 < 3",
     "release_append": "SELECT doc_id, lang, CASE WHEN doc_id % 5 = 3 THEN -1 ELSE n_chars END AS n_chars FROM documents WHERE doc_id % 5 < 4",
+    "release_merge_whole": "SELECT doc_id, CASE WHEN doc_id % 4 = 2 AND doc_id % 3 = 0 THEN 'zz' ELSE lang END AS lang, n_chars FROM documents",
+    "release_append_whole": "SELECT doc_id, lang, CASE WHEN doc_id % 5 = 3 THEN -1 ELSE n_chars END AS n_chars FROM documents",
     "release_preserved": "SELECT doc_id, CASE WHEN doc_id % 9 = 4 THEN 'removed' ELSE 'modified' END AS issue FROM documents WHERE doc_id % 9 IN (4, 5)",
 }
