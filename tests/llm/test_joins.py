@@ -91,13 +91,37 @@ def test_jaccard_join_matches_brute_force_on_families(spark, monkeypatch, seed,
 
 
 def test_jaccard_join_bears_nulls_repeats_and_no_rows(spark):
-    text = "a b c d e f g"
-    rows = [(None, text, None, None, None), (4, text, None, None, None), (4, text, None, None, None), (9, text.upper(), None, None, None)]
-    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in op2.similar_components(fx.clashing(spark, rows)).collect()), key=str)
-    assert got[1:] == [(4, 3, 4), (4, 3, 4), (9, 3, 4)] and got[0][:2] == (0, 3)
+    text, other = "a b c d e f g", "h i j k l m n o"
+    rows = [(None, text), (4, text), (4, text), (9, text.upper()), (4, other), (20, other), (3, other), (30, other + " p q r s")]
+    got = sorted(((r.doc_id or 0, r.n_shingles, r.component_id) for r in op2.similar_components(fx.clashing(spark, [(*r, None, None, None) for r in rows])).collect()), key=str)
+    # the rows of id 4 are one document, which links both texts
+    assert got == [(0, 3, None), (20, 4, 3), (3, 4, 3), (30, 8, 30), (4, 3, 3), (4, 3, 3), (4, 4, 3), (9, 3, 3)]
     assert op2.similar_components(fx.clashing(spark, [])).count() == 0
 
 
+def test_jaccard_join_compares_few_pairs_of_a_large_group(spark):
+    """Near copies at all distances from one text: candidate pairs stay in proportion to the members."""
+    rng = random.Random(11)
+    base = fx.prose(rng, 140)
+    texts = {k: fx.edited(rng, base, rng.choice([0.004, 0.01, 0.02, 0.03, 0.04, 0.06])) + " and a closing line that all of them share" for k in range(260)}
+    docs = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string")
+    assert joined(op2.similar_components(docs)) == jaccard_components(texts)
+    rows = op2.written(op2.shared_tokens(docs, op2.shingles, op2._with_shared, op2.SETS, lower=True), "rows")
+    sets = op2.keyed_sets(rows)
+    keys = sets.selectExpr("max(size(keys) / n)").first()[0]
+    assert keys < 3
+    links, _ = op2.similar_links(sets)
+    assert links.count() < 2 * len(texts)
+
+
+def test_jaccard_join_bears_a_very_long_text_with_near_copies(spark):
+    rng = random.Random(12)
+    base = fx.prose(rng, 12_000)
+    texts = {k: fx.edited(rng, base, share) for k, share in enumerate((0.0, 0.002, 0.01, 0.02, 0.03, 0.05))}
+    docs = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string")
+    assert joined(op2.similar_components(docs)) == jaccard_components(texts)
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(60)]

@@ -1,51 +1,56 @@
 """N-gram Jaccard join with token-combination prefixes: components of documents whose shingle sets are similar.
 
-A document's set is its distinct 5-word shingles (64-bit hashes). Two sets with Jaccard similarity of at least 0.8 share
-``ceil(0.8 * n)`` members of either, so with all shingles in one global order, rare before frequent, the first two they
-share stand within the first ``n - ceil(0.8 * n) + 2`` of both.
-
-1. Counts. Document frequencies of all shingles: hashes travel as packed 32-bit blobs by hash range and are counted
-   there. Two bounded summaries come back: the most frequent shingles (at most ``MOST_FREQUENT``) and a Bloom filter of
-   those that occur twice at all (fixed size).
-2. Keys. A rare shingle within the first ``n - ceil(0.8n) + 1`` is a key by itself (unless it occurs once); frequent
-   ones, which stand last, are keys in combinations of two, so a document made of common passages meets only those
-   that share two of them. Sets of ``LONG`` shingles and more take their frequent prefix shingles singly instead, as
-   combinations would grow with the square; those somewhat below take both, so that every similar pair has a common key.
-3. Verification. Documents with equal sets are one class from the start. In each key's group all members are compared
-   with the group's smallest one; then groups that still span several components compare the first member of each
-   component with the members of the others, then the next ``GROWTH`` members, and so on until every group is one
-   component or all its pairs across components have been compared: as many rounds as the logarithm of the largest
-   component. A group of near copies thus costs as many comparisons as members, and no link is lost. Comparison is exact
-   on the whole sets.
-4. Components by alternating stars.
+A document's set is its distinct 5-word shingles (64-bit hashes, the tokens). Two sets link at a Jaccard similarity of
+0.8; that takes ``ceil(0.8 * n)`` shared tokens of either.
+
+1. Shared tokens. A token of one document alone can't be shared, so a document in which fewer than ``ceil(0.8 * n)``
+   tokens occur elsewhere has no link. Documents are dealt into buckets by id; each bucket sends its tokens, packed, to
+   their hash range, where those that occur twice are found and sent back. Both ways are shuffles; nothing is broadcast.
+   Rows of equal sets are one class, and the class's smallest id goes on with the tokens it shares.
+2. Order. Tokens are ordered by document frequency over the sets that are left, rare ones first.
+3. Keys. Two similar sets share at least ``k`` tokens within their prefixes of ``n - ceil(0.8 * n) + k``. A rare token
+   within the prefix for k = 1 is a key by itself. For frequent tokens (in ``FREQUENT`` sets or more) the prefix is
+   extended to ``k = B + 1`` and its frequent tokens fall by hash into ``B`` groups: of B + 1 shared ones, two are in one
+   group, so the pairs within groups are the keys. B grows with the set (a sixteenth of its power of two), so a set
+   has about as many keys as prefix tokens, whatever its size. A pair of sets goes by the B of the smaller; a set takes
+   part with the B of every size that it can meet, at most two.
+4. Verification. In each key's group the best member (with the fewest unshared tokens) is compared with all others,
+   and each set only with the best of all its groups: as many comparisons as sets. Then, in the groups that still span
+   several components, all members outside the group's largest component are compared with all of the other
+   components. Before that, bounds sort out pairs: by sizes, by shared tokens, and by the parity sketch of
+   ``SKETCH`` bits, in which two sets differ at most as often as they differ in tokens. What is left is compared exactly.
+5. Components by alternating stars.
 
 Nulls: a null or wordless text has an empty set and is linked with nothing. A null doc_id takes no part and gets a null
-component. Repeated rows of one doc_id each get a row. Fewer than five words are one shingle. An empty table gives an
-empty result; extra columns are not read.
+component. Repeated rows each get a row; rows of one doc_id with different texts are one document with the links of all
+of them. Fewer than five words are one shingle. Very long texts are single documents in their slice, so a task needs
+memory for the longest text. An empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import text_arrays as ta
 from .common import dropped, table, written
-from .components import Bloom, bloom_of, connected_components
-from .repeats import Frequencies, frequencies
+from .components import connected_components
+from .shared_tokens import Shared, shared_tokens
 
 WORDS = 5
 PERCENT = 80
+#: From how many sets on a token counts as frequent.
 FREQUENT = 32
-MOST_FREQUENT = 1 << 20
-LONG = 200
-#: By how much more members of a component each round compares than the one before.
-GROWTH = 8
+#: A set of 2**c to 2**(c + 1) - 1 tokens deals its frequent ones into 2**c / GROUPING groups.
+GROUPING = 16
+SKETCH = 512
+_SKETCHES = [f"b{k}" for k in range(SKETCH // 64)]
+
+KEYED = "node long, doc_id long, n long, sig_a long, sig_b long, s long, tokens array<long>, keys array<long>, " + ", ".join(f"{b} long" for b in _SKETCHES)
 
 
 def needed(n: np.ndarray | int):
@@ -53,8 +58,8 @@ def needed(n: np.ndarray | int):
     return -(-PERCENT * n // 100)
 
 
-def shingle_sets(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and their distinct shingle hashes, ordered by both."""
+def shingles(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Documents, in order, and the hashes of all their shingles."""
     starts, ends = t.spans(~ta.SPACE[t.data])
     docs, words = t.doc_of(starts), t.hashes(starts, ends)
     grams, at = ta.gram_hashes(words, docs, WORDS)
@@ -68,167 +73,207 @@ def shingle_sets(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
             there = counts[short] > k
             whole[there] += words[first[there] + k] * ta._GRAM[k]
         grams, gram_docs = np.concatenate((grams, ta.mixed(whole))), np.concatenate((gram_docs, short))
-    order = np.lexsort((grams, gram_docs))
-    grams, gram_docs = grams[order], gram_docs[order]
+        order = np.argsort(gram_docs, kind="stable")
+        grams, gram_docs = grams[order], gram_docs[order]
+    return gram_docs, grams
+
+
+def shingle_sets(t: ta.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and their distinct shingle hashes, ordered by both."""
+    docs, grams = shingles(t)
+    order = np.argsort(grams)
+    order = order[np.argsort(docs[order].astype(np.uint16) if t.count <= 1 << 16 else docs[order], kind="stable")]
+    docs, grams = docs[order], grams[order]
     new = np.ones(len(grams), bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (gram_docs[1:] != gram_docs[:-1])
-    return gram_docs[new], grams[new]
+    new[1:] = (grams[1:] != grams[:-1]) | (docs[1:] != docs[:-1])
+    return docs[new], grams[new]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def set_keys(known: Frequencies, docs: np.ndarray, hashes: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Set sizes per document; then the keys and the document of each."""
-    n = np.bincount(docs, minlength=count)
-    frequent = known.frequent(hashes)
-    order = np.argsort(docs * 2 + frequent, kind="stable")
-    docs, hashes, frequent = docs[order], hashes[order], frequent[order]
-    place = np.arange(len(docs)) - (np.cumsum(n) - n)[docs]
-    size = n[docs]
-    room = size - needed(size)
-    single = (place <= room) & (size > 1) & np.where(frequent, size >= LONG * PERCENT // 100, known.repeated(hashes))
-    keys, owners = [ta.mixed(hashes[single])], [docs[single]]
-    paired = np.flatnonzero(frequent & (place <= room + 1) & (size > 1) & (size < LONG))
-    if len(paired):
-        owner = docs[paired]
-        firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        for a, b in zip(firsts.tolist(), [*firsts[1:].tolist(), len(owner)], strict=True):
-            i, j = np.triu_indices(b - a, 1)
-            own = hashes[paired[a:b]]
-            keys.append(ta.mixed(own[i] * ta._GRAM[60] + own[j] * ta._GRAM[61]))
-            owners.append(np.full(len(i), owner[a]))
-    return n, np.concatenate(keys), np.concatenate(owners)
-
-
-def _keyed(bench):
-    """For mapInArrow over (doc_id, text): size, signature of the set, keys."""
+def _per_doc(docs: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
+    """Sums of unsigned values by document; ``docs`` in order."""
+    out = np.zeros(count, ta.U64)
+    if len(docs):
+        firsts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+        out[docs[firsts]] = np.add.reduceat(values, firsts)
+    return out
+
+
+SETS = "doc_id long, n long, sig_a long, sig_b long, tokens array<long>"
+
+
+def _with_shared(t: ta.Texts, batch: pa.RecordBatch, shared: Shared) -> pa.RecordBatch:
+    """Size and signature of each set; the shared tokens of those sets that may have a link."""
+    docs, hashes = shingle_sets(t)
+    n = np.bincount(docs, minlength=t.count)
+    there = shared.holds(hashes)
+    ids = batch.column(0)
+    alive = (np.bincount(docs[there], minlength=t.count) >= needed(n)) & (n > 0) & ids.is_valid().to_numpy(zero_copy_only=False)
+    chosen = there & alive[docs]
+    sizes = np.bincount(docs[chosen], minlength=t.count)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32(), mask=np.append(~alive, False))
+    tokens = pa.ListArray.from_arrays(offsets, pa.array(_signed(hashes[chosen])))
+    sums = [_per_doc(docs, ta.mixed(hashes + ta.U64(k + 1) * ta._STEP), t.count) for k in range(2)]
+    return pa.RecordBatch.from_arrays([ids, pa.array(n), *(pa.array(_signed(s)) for s in sums), tokens], names=[c.split()[0] for c in SETS.split(", ")])
+
+
+def combination_keys(n: np.ndarray, place: np.ndarray, docs: np.ndarray, tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and the document of each, of sets whose shared tokens stand in order at ``place``; ``n``: sizes by document."""
+    room = n - needed(n)  # the prefix for k = 1 is one longer
+    single = ~frequent & (place <= room[docs])
+    keys, owners = [ta.mixed(tokens[single])], [docs[single]]
+    size_class = lambda x: np.floor(np.log2(np.maximum(x, 1))).astype(np.int64)
+    for own in (needed(n), n):
+        cls = size_class(own)
+        if own is not n:
+            cls = np.where(cls == size_class(n), -1, cls)  # met with the other
+        groups = np.maximum((1 << np.maximum(cls, 0)) // GROUPING, 1)
+        at = np.flatnonzero(frequent & (cls[docs] >= 0) & (place <= (room + groups)[docs]))
+        if not len(at):
+            continue
+        d, t = docs[at], tokens[at]
+        g = (ta.mixed(t + ta._GRAM[59]) % groups[d].astype(ta.U64)).astype(np.int64)
+        order = np.lexsort((at, g, d))  # by document and group, tokens in their order
+        d, g, t = d[order], g[order], t[order]
+        step = 1
+        while True:  # each token with the one ``step`` places on in its group
+            both = np.flatnonzero((d[step:] == d[:-step]) & (g[step:] == g[:-step]))
+            if not len(both):
+                break
+            salt = (cls[d[both]] + 1).astype(ta.U64) * ta._STEP
+            keys.append(ta.mixed(t[both] * ta._GRAM[60] + t[both + step] * ta._GRAM[61] + salt))
+            owners.append(d[both])
+            step += 1
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def sketches(docs: np.ndarray, tokens: np.ndarray, count: int) -> np.ndarray:
+    """Per document the parities of its tokens' bit places, as 64-bit words."""
+    bit = (ta.mixed(tokens + ta._GRAM[58]) >> ta.U64(40)).astype(np.int64) % SKETCH
+    odd = np.bincount(docs * SKETCH + bit, minlength=count * SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(count, SKETCH), axis=1, bitorder="little").view("<i8")
+
+
+def _keyed(often: int):
+    """For mapInArrow over (node, doc_id, n, sig_a, sig_b, found): ``found`` are (frequency, token) in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = bench.value
-        for batch in batches:
-            for t in ta.slices(batch.column(1), lower=True):
-                docs, hashes = shingle_sets(t)
-                n, keys, owners = set_keys(known, docs, hashes, t.count)
-                sums = [np.zeros(t.count, ta.U64), np.zeros(t.count, ta.U64)]
-                if len(docs):
-                    firsts = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
-                    for k, s in enumerate(sums):
-                        s[docs[firsts]] = np.add.reduceat(ta.mixed(hashes + ta.U64(k + 1) * ta._STEP), firsts)
+        for whole in batches:
+            for at in range(0, len(whole), 512):
+                batch = whole.slice(at, 512)
+                lists = batch.column(5)
+                sizes = np.diff(lists.offsets.to_numpy())
+                flat = lists.flatten()
+                tokens, frequency = flat.field(1).to_numpy().view(ta.U64), flat.field(0).to_numpy()
+                count, n = len(batch), batch.column(2).to_numpy()
+                docs = np.repeat(np.arange(count), sizes)
+                place = np.arange(len(docs)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(n - sizes, sizes)
+                keys, owners = combination_keys(n, place, docs, tokens, frequency >= often)
                 order = np.argsort(owners, kind="stable")
-                edges = np.searchsorted(owners[order], np.arange(t.count + 1))
-                lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(_signed(keys[order]), pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, t.count), pa.array(n), pa.array(_signed(sums[0])), pa.array(_signed(sums[1])), lists], names=["doc_id", "n", "sig_a", "sig_b", "keys"])
-
-    return run
-
-
-def _sets(wanted):
-    """For mapInArrow over (doc_id, h, text): the sorted hashes of documents that the filter may hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom: Bloom = wanted.value
-        for batch in batches:
-            batch = batch.filter(pa.array(bloom.held(batch.column(1).to_numpy().view(np.uint64))))
-            for t in ta.slices(batch.column(2), lower=True):
-                docs, hashes = shingle_sets(t)
-                edges = np.searchsorted(docs, np.arange(t.count + 1))
-                blobs = [hashes[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, t.count), pa.array(blobs, pa.binary())], names=["doc_id", "blob"])
+                edges = np.searchsorted(owners[order], np.arange(count + 1))
+                key_lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(_signed(keys[order])))
+                token_lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(_signed(tokens)))
+                words = sketches(docs, tokens, count)
+                cols = [*batch.columns[:5], pa.array(sizes, pa.int64()), token_lists, key_lists, *(pa.array(words[:, k]) for k in range(words.shape[1]))]
+                yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in KEYED.split(", ")])
 
     return run
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow over (a, b, blob_a, blob_b): the similar pairs."""
+    """For mapInArrow over (a, b, total, x, y): the pairs whose sets, of ``total`` tokens in all, share enough."""
     for batch in batches:
         good = np.zeros(len(batch), bool)
-        for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            x, y = (np.frombuffer(v.as_buffer(), ta.U64) for v in (x, y))
-            both = np.concatenate((x, y))
-            both.sort(kind="stable")
+        for k, (total, x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True)):
+            both = np.concatenate((x.values.to_numpy(), y.values.to_numpy()))
+            both.sort()
             shared = int((both[1:] == both[:-1]).sum())
-            good[k] = 100 * shared >= PERCENT * (len(both) - shared)
+            good[k] = 100 * shared >= PERCENT * (total - shared)
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar."""
-    spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().select(F.xxhash64("doc_id").alias("h"))
-    wanted = spark.sparkContext.broadcast(bloom_of(ids))
-    sets = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("doc_id").cast("long")).alias("h"), "text").where("doc_id IS NOT NULL").mapInArrow(_sets(wanted), "doc_id long, blob binary")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(sets.join(ends, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sets")
-    # each pair moves a whole set, so pairs go in turns of about as many as there are sets
-    turns = max(1, -(-pairs.count() // max(1, sets.count())))
-    out = []
-    for k in range(turns):
-        some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(turns)) == k) if turns > 1 else pairs
-        joined = some.join(sets.select(F.col("doc_id").alias("b"), F.col("blob").alias("blob_b")), "b")
-        joined = joined.join(sets.select(F.col("doc_id").alias("a"), F.col("blob").alias("blob_a")), "a")
-        out.append(written(joined.select("a", "b", "blob_a", "blob_b").mapInArrow(_linked, "a long, b long"), "links"))
-    dropped(sets)
-    return reduce(DataFrame.unionByName, out)
-
+def verified(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole sets are similar."""
+    first, second = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("tokens").alias(f"tokens_{c}")) for c in "ab")
+    joined = pairs.join(first, "a").join(second, "b")
+    return joined.select("a", "b", F.col("n_a") + F.col("n_b"), "tokens_a", "tokens_b").mapInArrow(_linked, "a long, b long")
+
+
+def _enough(shared: Column | str, sizes: str) -> Column:
+    """Whether ``shared`` tokens of two sets could do."""
+    return F.expr(f"{100 + PERCENT} * ({shared}) >= {PERCENT} * ({sizes})")
+
+
+def keyed_sets(rows: DataFrame) -> DataFrame:
+    """One written row per class of equal sets that may have a link: its shared tokens, keys and sketch."""
+    same = ["n", "sig_a", "sig_b"]
+    alive = rows.where("tokens IS NOT NULL")
+    least = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("doc_id"))
+    chosen = alive.join(least, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id", *same])
+    # numbers of a written table stay, whatever is computed again
+    chosen = written(chosen.withColumn("node", F.monotonically_increasing_id()), "classes")
+    tokens = chosen.select("node", F.explode("tokens").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("frequency")).where("frequency > 1")
+    found = tokens.join(often, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("frequency", "token"))).alias("found"))
+    sets = chosen.drop("tokens").join(found, "node").where(f"100 * size(found) >= {PERCENT} * n")
+    out = written(sets.select("node", "doc_id", *same, "found").mapInArrow(_keyed(FREQUENT), KEYED), "sets")
+    dropped(chosen)
+    return out
+
+
+def similar_links(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b) nodes of similar sets, enough of them to give all components; and (node, component)."""
+    postings = sets.select("node", "n", "s", F.explode("keys").alias("key"))
+    groups = postings.groupBy("key").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("unshared"), "node", "n", "s")).alias("best"), F.count("*").alias("members")).where("members > 1")
+    postings = written(postings.join(groups, "key"), "postings")
+    met = postings.where(F.col("node") != F.col("best.node")).where(_enough("least(s, best.s)", "n + best.n"))
+    pairs = met.groupBy("node").agg(F.min("best").alias("best")).select(F.col("best.node").alias("a"), F.col("node").alias("b"))
+    links = written(verified(sets, written(pairs, "pairs")), "links")
+    labels = written(connected_components(links), "labels")
 
-def _fit(small: str, large: str) -> str:
-    return f"100 * least({small}, {large}) >= {PERCENT} * greatest({small}, {large})"
+    # groups that span components
+    labelled = postings.select("key", "node", "n", "s").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spread = labelled.groupBy("key", "component").count().groupBy("key").agg(F.max(F.struct("count", "component")).alias("largest"), F.count("*").alias("components")).where("components > 1")
+    spread = written(labelled.join(spread.select("key", F.col("largest.component").alias("main")), "key"), "spread").join(sets.select("node", *_SKETCHES), "node")
+    few = spread.where("component <> main").select("key", *(F.col(c).alias(f"f_{c}") for c in ("node", "n", "s", "component", *_SKETCHES)))
+    differ = " + ".join(f"bit_count({b} ^ f_{b})" for b in _SKETCHES)
+    cross = few.join(spread, "key").where("component <> f_component AND (component = main OR node < f_node)")
+    cross = cross.where(_enough("least(s, f_s)", "n + f_n")).where(_enough(f"(s + f_s - ({differ})) div 2", "n + f_n"))
+    more = written(verified(sets, cross.select(F.least("node", "f_node").alias("a"), F.greatest("node", "f_node").alias("b")).distinct()), "links")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = written(connected_components(links), "labels")
+    return links, labels
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    known = spark.sparkContext.broadcast(frequencies(docs, lambda t: shingle_sets(t)[1], lower=True, frequent=FREQUENT, most_frequent=MOST_FREQUENT))
-    schema = "doc_id long, n long, sig_a long, sig_b long, keys array<long>"
-    rows = written(docs.mapInArrow(_keyed(known), schema), "keyed")
-    known.unpersist()
-
-    sets = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("rep"))
-    # a document's class: equal sets are linked through their smallest document
-    reps = sets.select(F.col("rep").alias("doc_id"))
-    postings = rows.where("size(keys) > 0").join(reps, "doc_id", "left_semi").select("doc_id", "n", F.explode("keys").alias("key")).distinct()
-    postings = written(postings, "postings")
-    groups = postings.groupBy("key").agg(F.min(F.struct("doc_id", "n")).alias("head"), F.count("*").alias("members")).where("members > 1")
-    first = postings.join(groups, "key").where(f"doc_id <> head.doc_id AND {_fit('n', 'head.n')}")
-    pairs = written(first.select(F.col("head.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = verified(docs, pairs)
-    tried = pairs
-
-    # what is left: groups that span components; the smallest member has been compared with all others
-    left = postings.join(groups.select("key", F.col("head.doc_id").alias("head")), "key").where("doc_id <> head").select("key", "doc_id", "n")
-    left = written(left, "left")
-    dropped(postings)
-    labels = written(connected_components(links), "labels")
-    heads_each = 1
-    while True:
-        labelled = left.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        spread = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        labelled = labelled.join(spread, "key", "left_semi")
-        turn = Window.partitionBy("key", "component").orderBy("doc_id")
-        labelled = written(labelled.withColumn("turn", F.row_number().over(turn)), "labelled")
-        heads = labelled.where(F.col("turn") <= heads_each).select("key", F.col("doc_id").alias("h"), F.col("n").alias("h_n"), F.col("component").alias("h_component"))
-        met = labelled.join(heads, "key").where(f"component <> h_component AND {_fit('n', 'h_n')} AND (turn > {heads_each} OR h < doc_id)")
-        fresh = met.select(F.least("h", "doc_id").alias("a"), F.greatest("h", "doc_id").alias("b")).distinct()
-        fresh = written(fresh.join(tried, ["a", "b"], "left_anti"), "pairs")
-        rest = written(labelled.where(F.col("turn") > heads_each).select("key", "doc_id", "n"), "left")
-        dropped(labelled, left)
-        left = rest
-        if not fresh.isEmpty():
-            found = verified(docs, fresh)
-            tried = tried.unionByName(fresh)
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                labels = written(connected_components(links), "labels")
-        if left.isEmpty():
-            break
-        heads_each *= GROWTH
-
-    keyed = rows.select("doc_id", "n", "sig_a", "sig_b").join(sets, ["n", "sig_a", "sig_b"], "left")
-    named = keyed.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    rows = written(shared_tokens(docs, shingles, _with_shared, SETS, lower=True), "rows")
+    sets = keyed_sets(rows)
+    _, labels = similar_links(sets)
+    same = ["n", "sig_a", "sig_b"]
+    named = sets.select("node", "doc_id", *same).join(labels, "node")
+    ids = named.join(named.groupBy("component").agg(F.min("doc_id").alias("linked")), "component").select(*same, "linked")
+    least = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("least"))
+    classes = least.join(ids, same, "left").select(*same, F.coalesce("linked", "least").alias("class_id"))
+    found = rows.select("doc_id", *same).join(classes, same, "left")
+    found = found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("component_id"))
+    return _one_per_id(written(found, "components"))
+
+
+def _one_per_id(found: DataFrame) -> DataFrame:
+    """Joins the components that share a doc_id, where rows of one doc_id hold different texts."""
+    several = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("lo"), F.max("component_id").alias("hi")).where("lo <> hi")
+    several = written(several.select("doc_id", "lo"), "several")
+    if several.isEmpty():
+        return found
+    edges = found.join(several, "doc_id").select(F.col("component_id").alias("a"), F.col("lo").alias("b")).distinct()
+    renamed = written(connected_components(edges), "renamed").select(F.col("node").alias("component_id"), F.col("component").alias("joint"))
+    return found.join(renamed, "component_id", "left").select("doc_id", "n_shingles", F.coalesce("joint", "component_id").alias("component_id"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
