@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -21,6 +22,7 @@ from tracewright.llm import op3_line_crf as op3
 from tracewright.llm import op7_patched_ids as op7
 from tracewright.llm import op8_license_scan as op8
 from tracewright.llm import op10_byte_bpe as op10
+from tracewright.llm import text_arrays as ta
 
 ROWS = fx.rows()
 
@@ -221,13 +223,31 @@ def test_outliers_go_to_the_exception_list():
     assert (image.block(0) == ids).all()
 
 
-def test_token_files_bear_nulls_repeats_no_rows_and_export(spark, empty_dir, tmp_path):
+def test_token_files_bear_nulls_repeats_and_no_rows(spark, empty_dir, tmp_path):
     assert op7.op7_patched_ids(spark, empty_dir).count() == 0
-    df = fx.clashing(spark, [(2, "b", None, None, None), (None, None, None, None, None), (1, "a", None, None, None), (1, "a", None, None, None)])
-    images = op7.write_images(df, public_tokenizers.path(op7.VOCABULARY))
-    assert [(r.doc_id, r.start, r.n_tokens) for r in op7.read_documents(images).orderBy("start").collect()] == [(None, 0, 1), (1, 1, 2), (1, 3, 2), (2, 5, 2)]
-    op7.export(images, str(tmp_path))
-    assert sum(op7.Image(p.read_bytes()).n for p in tmp_path.iterdir()) == 7
+    df = fx.clashing(spark, [(2, "b", None, None, None), (None, None, None, None, None), (1, "a", None, None, None), (1, "a", None, None, None), (-(1 << 63), None, None, None, None)])
+    files = op7.write_files(df, public_tokenizers.path(op7.VOCABULARY), folder=str(tmp_path / "files"))
+    assert [(r.doc_id, r.start, r.n_tokens) for r in op7.read_documents(files).orderBy("start").collect()] == [(None, 0, 1), (-(1 << 63), 1, 1), (1, 2, 2), (1, 4, 2), (2, 6, 2)]
+    found = sorted(p for p in (tmp_path / "files").iterdir() if p.suffix == ".pfor")
+    assert sum(op7.Image(p.read_bytes()).n for p in found) == 8 and len(found) == files.count()
+
+
+WORD_TEXTS = st.text(st.one_of(st.sampled_from("aAbB ,.'-!?\n\t1\x85\xa0\u2003\x1cİſßéे界🙂"), st.characters(exclude_categories=["Cs"])), max_size=40)
+
+
+@given(st.lists(WORD_TEXTS, max_size=6), st.sampled_from([3, 1 << 18]))
+@settings(max_examples=150, deadline=None)
+def test_words_give_the_tokenizers_ids_of_any_texts(texts, known):
+    path = public_tokenizers.path(op7.VOCABULARY)
+    words = op7.Words(path, known_words=known)
+    for _ in range(2):
+        got, sizes = [], []
+        for t in ta.slices(pa.array(texts, pa.string())):
+            ids, n = words.encoded(t, op7.END_ID)
+            got += ids.tolist()
+            sizes += n.tolist()
+        want = [[*words.tokenizer.encode(x, add_special_tokens=False).ids, op7.END_ID] for x in texts]
+        assert got == [i for x in want for i in x] and sizes == [len(x) for x in want]
 
 
 # ---- license scans
@@ -330,10 +350,21 @@ def test_bpe_matches_the_library(spark, sf_dir, odd_dir, where):
 @settings(max_examples=300, deadline=None)
 def test_bpe_of_any_text(text):
     text = text.encode("utf-8", "ignore").decode()
-    codec = op10._memo(public_tokenizers.path(op10.VOCABULARY), public_tokenizers.PATTERN)
-    ids = [int(i) for c in op10._chunks(text) for i in codec[c][0].split(",")[:-1]]
+    codec = op10._codec(public_tokenizers.path(op10.VOCABULARY), public_tokenizers.PATTERN)
+    chunks = op10.Chunks(codec)
+    ids = [int(i) for c in op10._chunks(text) for i in chunks[c][0].split(",")[:-1]]
     assert ids == _encoding.encode_ordinary(text)
-    assert codec.codec.decode(ids) == text.encode()
+    assert codec.decode(ids) == text.encode()
+
+
+@pytest.mark.parametrize("window", [7, 1 << 14])
+def test_bpe_of_long_pieces(monkeypatch, window):
+    """Pieces of many windows, with steps back across their edges."""
+    monkeypatch.setattr(op10, "WINDOW", window)
+    codec = op10._codec(public_tokenizers.path(op10.VOCABULARY), public_tokenizers.PATTERN)
+    rng = random.Random(6)
+    for piece in ("ab" * 900, "é" * 500, "".join(rng.choice("aehinorst") for _ in range(40_000)), "".join(rng.choice("日本語文字🙂é") for _ in range(900))):
+        assert list(codec.encode_piece(piece.encode())) == _encoding._encode_single_piece(piece.encode())
 
 
 _encoding = reference_encoding()

@@ -252,6 +252,50 @@ def test_prior_and_risk_on_a_known_mixture():
     assert np.mean(scorer.scores(good) > np.median(scorer.scores(bad))) > 0.9
 
 
+def _naive_statistics(text: str) -> list[float]:
+    raw = text.encode()
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    n, pairs = max(len(words), 1), list(zip(words, words[1:], strict=False))
+    letters, upper = sum(chr(b).isalpha() for b in raw if b < 128), sum(chr(b).isupper() for b in raw if b < 128)
+    counts = [sum(b in chars.encode() for b in raw) / n for chars in op4._CLASSES.values()]
+    same = sum(a == b for a, b in pairs)
+    return counts + [upper / max(letters, 1), sum(map(len, words)) / n, sum(b >= 128 for b in raw) / max(len(raw), 1), len(set(words)) / n, same / n, len(set(pairs)) / max(len(pairs), 1), raw.count(b"\n") / n, float(np.log1p(n))]
+
+
+def test_statistics_and_scores_match_a_naive_version():
+    texts = [r[1] or "" for r in fx.rows(seed=3, plain=10, long_words=3000)]
+    got, want = op4.text_statistics(texts), np.array([_naive_statistics(t) for t in texts])
+    assert np.allclose(got, want)
+    scorer = op4.fit(got[:30], got[20:])
+    for row, score in zip(got, scorer.scores(got), strict=True):
+        z = scorer.weights[-1] + sum(scorer.weights[j * op4.BINS + sum(e <= v for e in scorer.edges[j])] for j, v in enumerate(row))
+        assert abs(1 / (1 + np.exp(-z)) - score) < 1e-5
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.9])
+def test_risk_and_gradient_match_naive_sums_and_differences(prior):
+    rng = np.random.default_rng(4)
+    p, u, w = rng.normal(1, 1, (30, 4)), rng.normal(-1, 1, (50, 4)), rng.normal(0, 1, 4)
+    loss = lambda x, sign: 1 / (1 + np.exp(sign * float(x @ w)))
+    plus = prior * sum(loss(x, 1) for x in p) / len(p)
+    minus = sum(loss(x, -1) for x in u) / len(u) - prior * sum(loss(x, -1) for x in p) / len(p)
+    assert np.allclose(op4.risk(w, p, u, prior), (plus, minus))
+    got = op4.risk_gradient(w, p, u, prior)
+    for j in range(4):
+        step = np.eye(4)[j] * 1e-6
+        (a, b), (c, d) = op4.risk(w + step, p, u, prior), op4.risk(w - step, p, u, prior)
+        want = (a + b - c - d) / 2e-6 if minus >= 0 else -(b - d) / 2e-6  # the non-negative correction
+        assert abs(got[j] - want) < 1e-6
+
+
+def test_repeated_ids_count_once_in_the_samples(spark):
+    rng = random.Random(8)
+    rows = [(k, fx.prose(rng, 40), "en", "s", 1) for k in range(60)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(30)], "doc_id long, quality int, toxic int")
+    once, thrice = (op4.fitted(fx.clashing(spark, rows * n), labels) for n in (1, 3))
+    assert np.allclose(once.weights, thrice.weights) and once.prior == thrice.prior
+
+
 def test_classifier_bears_nulls_repeats_no_labels_and_no_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     df = fx.clashing(spark, [(None, None, None, None, None), (1, "a", "en", "s", 1), (1, "a", "en", "s", 1)])
@@ -270,7 +314,17 @@ def test_url_lists_match_their_sql(spark, sf_dir):
     con.execute("SET TimeZone='UTC'")
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf_dir}/pages.parquet'")
     assert got == sorted(con.execute(op9.SQL).fetchall(), key=lambda r: r[0]) and len(got) == 250
-    assert 20 < sum(r[3] is not None for r in got) < 230
+    assert 20 < sum(r[4] is not None for r in got) < 230
+
+
+@pytest.mark.parametrize("limit", [0, 50_000])
+def test_url_lists_judge_each_capture_of_an_id_at_its_own_time(spark, monkeypatch, limit):
+    monkeypatch.setattr(op9, "BROADCAST_ROWS", limit)
+    lists = op9.validity(spark.createDataFrame([("bad.org", "add", "2024-01-02"), ("bad.org", "remove", "2024-01-05"), ("good.org/a/b", "add", "2024-01-01")], "domain string, action string, day string").selectExpr("domain", "action", "to_timestamp_ntz(day) AS at"))
+    captures = [(1, "http://bad.org/", "2024-01-03"), (1, "http://bad.org/", "2024-02-01"), (1, "http://good.org/", "2024-01-03"), (None, "http://good.org/a/b?c", "2024-01-03"), (None, "http://good.org/a/b/c", "2024-01-03")]
+    df = spark.createDataFrame(captures, "id long, url string, day string").selectExpr("id", "url", "to_timestamp_ntz(day) AS fetched_at", "'x' AS domain", "1 AS salt", "2 AS n")
+    got = sorted((r.url, str(r.fetched_at)[:10], r.listed_domain) for r in op9.as_of(df, lists, "id").collect())
+    assert got == [("http://bad.org/", "2024-01-03", "bad.org"), ("http://bad.org/", "2024-02-01", None), ("http://good.org/", "2024-01-03", None), ("http://good.org/a/b/c", "2024-01-03", None), ("http://good.org/a/b?c", "2024-01-03", "good.org/a/b")]
 
 
 @pytest.mark.parametrize("limit", [0, 50_000])

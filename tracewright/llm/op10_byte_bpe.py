@@ -9,6 +9,9 @@ result is that of the merges.
 A chunk (white space, then other characters) is encoded alike in any text, as every match of the splitting pattern ends
 where white space begins after something else; chunks are memoised up to a bounded number.
 
+A piece is matched ``WINDOW`` bytes at a time and its ids are held in arrays, so a very long piece takes some 20 bytes
+of memory a byte; memos live as long as a task and are bounded.
+
 Nulls: a null text is empty (no ids). A null id passes through; equal rows are encoded alike; an empty table gives an
 empty result. Extra columns are not read.
 """
@@ -18,7 +21,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -31,8 +35,11 @@ from pyspark.sql import functions as F
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHED_CHUNKS = 400_000
+#: Chunks and pieces that a task remembers at most, and characters of each.
+CACHED_CHUNKS = 1 << 16
 CACHED_LENGTH = 32
+#: Pairs whose compatibility is remembered at most, and bytes of a piece that are matched at a time.
+CACHED_PAIRS, WINDOW = 1 << 18, 1 << 14
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Unicode's White_Space, which Python's \s exceeds by U+001C to U+001F.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -95,6 +102,7 @@ class BytePairs:
         for token, rank in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
         self.automaton.make_automaton()
+        self.longest = max(map(len, ranks))
         self.merged: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
@@ -146,7 +154,7 @@ class BytePairs:
                         ok = True
                         break
                     a = inner
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) >= CACHED_PAIRS:
             self.fits.clear()
         self.fits[left, right] = ok
         return ok
@@ -156,20 +164,30 @@ class BytePairs:
             return self.ascii(text)
         return self.plane(text) if max(text) <= "\uffff" else self.all(text)
 
-    def encode_piece(self, piece: bytes) -> list[int]:
+    def _found(self, piece: str, start: int) -> list[list[tuple[int, int]]]:
+        """(rank, size) of the tokens at each of the ``WINDOW`` places from ``start`` on; sizes ascend."""
+        part = piece[start : start + WINDOW + self.longest - 1]
+        found: list[list[tuple[int, int]]] = [[] for _ in range(min(WINDOW, len(piece) - start))]
+        for end, (rank, size) in self.automaton.iter(part):
+            if end + 1 - size < WINDOW:
+                found[end + 1 - size].append((rank, size))  # ends come in order
+        return found
+
+    def encode_piece(self, piece: bytes) -> Sequence[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (rank, size) in self.automaton.iter(piece.decode("latin-1")):
-            found[end + 1 - size].append((rank, size))  # ends come in order, so sizes ascend
-        out: list[int] = []
-        tried: list[int] = []  # which of the tokens at its place each chosen one is
+        n, text = len(piece), piece.decode("latin-1")
+        low, found = 0, self._found(text, 0)
+        out, tried = array("i"), array("H")  # which of the tokens at its place each chosen one is
         dead = bytearray(n + 1)
-        at, k = 0, len(found[0]) - 1
+        at, k = 0, None
         while at < n:
-            options = found[at]
+            if not low <= at < low + WINDOW:
+                low = at // WINDOW * WINDOW
+                found = self._found(text, low)
+            options = found[at - low]
+            k = len(options) - 1 if k is None else k
             while k >= 0:
                 rank, size = options[k]
                 if not dead[at + size] and (not out or self._final(out[-1], rank)):
@@ -178,8 +196,7 @@ class BytePairs:
             if k >= 0:
                 out.append(rank)
                 tried.append(k)
-                at += size
-                k = len(found[at]) - 1 if at < n else 0
+                at, k = at + size, None
             else:
                 if not out:
                     raise ValueError("bytes outside the vocabulary")
@@ -196,13 +213,13 @@ class BytePairs:
 
 
 class Pieces(dict):
-    """The ids of a piece."""
+    """The ids of a piece, as remembered in one task."""
 
     def __init__(self, codec: BytePairs):
         super().__init__()
         self.codec = codec
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> Sequence[int]:
         ids = self.codec.encode_piece(piece.encode())
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= CACHED_CHUNKS:
@@ -212,12 +229,11 @@ class Pieces(dict):
 
 
 class Chunks(dict):
-    """Per chunk the decimal ids, each with a comma after it, and the bytes they decode to."""
+    """Per chunk the decimal ids, each with a comma after it, and the bytes they decode to, as remembered in one task."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, codec: BytePairs):
         super().__init__()
-        self.codec = BytePairs(read_ranks(path), pattern)
-        self.pieces = Pieces(self.codec)
+        self.codec, self.pieces = codec, Pieces(codec)
 
     def __missing__(self, chunk: str) -> tuple[str, bytes]:
         ids = [i for piece in self.codec.pieces(chunk) for i in self.pieces[piece]]
@@ -230,15 +246,15 @@ class Chunks(dict):
 
 
 @lru_cache(1)
-def _memo(path: str, pattern: str) -> Chunks:
-    return Chunks(path, pattern)
+def _codec(path: str, pattern: str) -> BytePairs:
+    return BytePairs(read_ranks(path), pattern)
 
 
 def digests(path: str, pattern: str):
     """For mapInArrow over (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _memo(path, pattern).__getitem__
+        chunk = Chunks(_codec(path, pattern)).__getitem__
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
@@ -256,7 +272,7 @@ def encoded(path: str, pattern: str):
     """For mapInArrow over (doc_id, text): (doc_id, ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _memo(path, pattern).codec
+        codec = _codec(path, pattern)
         for batch in batches:
             for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 yield pa.RecordBatch.from_arrays([pa.array([doc_id.as_py()], pa.int64()), pa.array([codec.encode(text.as_py() or "")], pa.list_(pa.int32()))], names=["doc_id", "ids"])

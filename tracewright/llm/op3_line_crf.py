@@ -27,6 +27,8 @@ from . import text_arrays as ta
 from .common import table
 
 FIT_DOCS = 3000
+#: Lines of a document at most for it to be in the sample.
+FIT_LINES = 2000
 MIN_CONTENT = 0.5
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -197,18 +199,17 @@ def _climb(field: Field, gradient, n: int, steps: int = 150, rate: float = 0.1,
 
 def fit(texts: list[str], good: list[int]) -> Field:
     """A field from documents labelled as a whole."""
-    if not texts or len(set(good)) < 2:
-        return Field.start()
-    xs, ys, ds, seen = [], [], [], 0
-    for t in ta.slices(pa.array(texts, pa.string())):
-        _, x, docs, _ = line_features(t)
-        xs.append(x)
-        ds.append(docs + seen)
-        ys.append(np.asarray(good)[docs + seen])
-        seen += t.count
-    x, y, docs = np.concatenate(xs), np.concatenate(ys).astype(float), np.concatenate(ds)
-    if not len(x):
+    parts = [(line_features(t), t) for t in ta.slices(pa.array(texts, pa.string()))]
+    docs = [found[2] + t.first for found, t in parts]
+    x = [found[1] for found, _ in parts]
+    return fit_lines(np.concatenate(x), np.concatenate(docs), np.asarray(good)) if x else Field.start()
+
+
+def fit_lines(x: np.ndarray, docs: np.ndarray, good: np.ndarray) -> Field:
+    """A field from the features of lines, the document of each (in order), and the documents' labels."""
+    if not len(x) or len(set(good.tolist())) < 2:
         return Field.start()
+    y = good[docs].astype(float)
     bad = y == 0
     weight = np.where(bad, 0.5 / max(bad.sum(), 1), 0.5 / max((~bad).sum(), 1)) * len(x)
     flat = _climb(Field.start(), lambda f: (x.T @ (weight * (y - 1 / (1 + np.exp(-x @ f.emit)))), np.zeros((2, 2))), len(x))
@@ -233,10 +234,29 @@ def judged(field: Field):
     return run
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCS) -> DataFrame:
-    """At most ``most`` labelled documents, by hash order of the id: (text, quality)."""
+def _sampled_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (doc_id, h, quality, text): the line features of each document, as bytes."""
+    for batch in batches:
+        for t in ta.slices(batch.column(3)):
+            _, x, docs, _ = line_features(t)
+            edges = np.searchsorted(docs, np.arange(t.count + 1))
+            blobs = [x[a:b].astype("<f8").tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.count).columns[:3], pa.array(np.diff(edges)), pa.array(blobs, pa.binary())], names=["doc_id", "h", "quality", "lines", "x"])
+
+
+def fitted(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCS, most_lines: int = FIT_LINES) -> Field:
+    """Fitted on at most ``most`` labelled documents of at most ``most_lines`` lines each, taken by hash order of the id.
+
+    What reaches the driver are the lines' features. Of rows with one id, that with the least hash of its text counts.
+    """
     chosen = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("h"), "quality", "text")
+    found = rows.mapInArrow(_sampled_lines, "doc_id long, h long, quality int, lines long, x binary").where(F.col("lines") <= most_lines)
+    one = found.groupBy("doc_id").agg(F.min_by("x", "h").alias("x"), F.min("quality").alias("quality")).orderBy("doc_id").toPandas()
+    if not len(one):
+        return Field.start()
+    xs = [np.frombuffer(x, "<f8").reshape(-1, len(Field.start().emit)) for x in one["x"]]
+    return fit_lines(np.concatenate(xs), np.repeat(np.arange(len(xs)), [len(x) for x in xs]), one["quality"].to_numpy())
 
 
 def line_rules(docs: DataFrame, field: Field) -> DataFrame:
@@ -245,6 +265,4 @@ def line_rules(docs: DataFrame, field: Field) -> DataFrame:
 
 def op3_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    rows = labelled_sample(docs, table(spark, sf_dir, "labels")).toPandas()
-    field = fit([x or "" for x in rows["text"]], [int(x) for x in rows["quality"]])
-    return line_rules(docs, field)
+    return line_rules(docs, fitted(docs, table(spark, sf_dir, "labels")))

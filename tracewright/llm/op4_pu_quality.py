@@ -10,7 +10,7 @@ Both samples are bounded (``POSITIVES``, ``UNLABELLED``) and taken by hash order
 partitioning; scoring covers every document. Inputs of a score are statistics of the text alone.
 
 Nulls: a null text is scored as empty; a null id passes through unscored by labels (held_out null id: false). Repeated
-rows get equal scores. Without positives the score is 0.5 everywhere. An empty table gives an empty result.
+rows get equal scores; rows of one id count once in a sample. Very long texts are scored whole, one at a time. Without positives the score is 0.5 everywhere. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -99,6 +99,21 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(self.inputs(x) @ self.weights, -30, 30)))
 
 
+def risk(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two terms of the unbiased risk under the sigmoid loss: of the positives, and of the negatives among ``u``."""
+    sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
+    return float(prior * np.mean(1 - sp)), float(np.mean(su) - prior * np.mean(sp))
+
+
+def risk_gradient(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """Of both terms; where the second is negative, its own with the sign turned (the non-negative correction)."""
+    # the sigmoid loss is bounded, so that neither side of the difference runs away
+    sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
+    of_p = prior * (p.T @ (sp * (1 - sp))) / len(p)
+    minus = (u.T @ (su * (1 - su))) / len(u) - of_p
+    return minus - of_p if su.mean() - prior * sp.mean() >= 0 else -minus
+
+
 def _adam(gradient, size: int, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     w, m, v = np.zeros(size), np.zeros(size), np.zeros(size)
     for k in range(1, steps + 1):
@@ -134,14 +149,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Scorer:
     first = _adam(lambda w: (p[half_p].T @ (_sigmoid(p[half_p] @ w) - 1)) / half_p.sum() + (u[half_u].T @ _sigmoid(u[half_u] @ w)) / half_u.sum(), p.shape[1], 200)
     prior = estimated_prior(p[~half_p] @ first, u[~half_u] @ first)
 
-    def gradient(w: np.ndarray) -> np.ndarray:
-        # the sigmoid loss is bounded, so that neither side of the difference runs away
-        sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
-        plus = -prior * (p.T @ (sp * (1 - sp))) / len(p)
-        minus = (u.T @ (su * (1 - su))) / len(u) - prior * (p.T @ (sp * (1 - sp))) / len(p)
-        return plus + minus if su.mean() - prior * sp.mean() >= 0 else -minus
-
-    return Scorer(edges, _adam(gradient, p.shape[1]), prior)
+    return Scorer(edges, _adam(lambda w: risk_gradient(w, p, u, prior), p.shape[1]), prior)
 
 
 def fold(id_col: str = "doc_id") -> Column:
@@ -154,17 +162,19 @@ def text_statistics(texts: list[str | None]) -> np.ndarray:
 
 
 def _chosen(docs: DataFrame, ids: DataFrame, most: int) -> np.ndarray:
-    """Statistics of at most ``most`` documents, the first by hash of the id."""
+    """Statistics of at most ``most`` documents, the first by hash of the id; of rows with one id, that with the least hash."""
     taken = ids.where("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").mapInArrow(_as_statistics, "doc_id long, x array<double>").toPandas()
-    rows = rows.sort_values("doc_id", kind="stable")
-    return np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, 13))
+    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").select("doc_id", F.xxhash64("text").alias("h"), "text")
+    found = rows.mapInArrow(_as_statistics, "doc_id long, h long, x array<double>").groupBy("doc_id").agg(F.min_by("x", "h").alias("x"))
+    one = found.orderBy("doc_id").toPandas()
+    return np.stack(one["x"].to_list()) if len(one) else np.zeros((0, 13))
 
 
 def _as_statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (doc_id, h, text)."""
     for batch in batches:
-        for t in ta.slices(batch.column(1)):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(t.first, t.count), pa.array(list(statistics(t)), pa.list_(pa.float64()))], names=["doc_id", "x"])
+        for t in ta.slices(batch.column(2)):
+            yield pa.RecordBatch.from_arrays([*batch.slice(t.first, t.count).columns[:2], pa.array(list(statistics(t)), pa.list_(pa.float64()))], names=["doc_id", "h", "x"])
 
 
 def scored(scorer: Scorer):
@@ -180,11 +190,12 @@ def scored(scorer: Scorer):
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> Scorer:
+def fitted(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Scorer:
+    """Fitted on samples of at most so many trusted positives and unlabelled rows."""
     trained = labels.where((fold() != 0) & F.col("quality").isNotNull())
-    positive = _chosen(docs, trained.where("quality = 1"), POSITIVES)
-    unlabelled = _chosen(docs, docs.select("doc_id").join(trained.select("doc_id"), "doc_id", "left_anti"), UNLABELLED)
-    return fit(positive, unlabelled)
+    p = _chosen(docs, trained.where("quality = 1"), positives)
+    u = _chosen(docs, docs.select("doc_id").join(trained.select("doc_id"), "doc_id", "left_anti"), unlabelled)
+    return fit(p, u)
 
 
 def quality_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -192,20 +203,19 @@ def quality_scores(docs: DataFrame, scorer: Scorer) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), held_out, "text").mapInArrow(scored(scorer), SCHEMA)
 
 
-def _accepted(scorer: Scorer, text_at: int):
-    """For mapInArrow over whole rows: those predicted to be of quality."""
+def accepted(scorer: Scorer):
+    """A function of a text Column: whether the text is predicted to be of quality."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in ta.slices(batch.column(text_at)):
-                yield batch.slice(t.first, t.count).filter(pa.array(scorer.scores(statistics(t)) >= THRESHOLD))
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([scorer.scores(statistics(t)) >= THRESHOLD for t in ta.slices(texts)] or [np.zeros(0, bool)]))
 
     return run
 
 
 def quality_documents(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """The rows, with all their columns, whose text is predicted to be of quality."""
-    return docs.mapInArrow(_accepted(scorer, docs.columns.index("text")), docs.schema)
+    """The rows, with all their columns, whose text is predicted to be of quality; only texts go to Python."""
+    return docs.where(accepted(scorer)("text"))
 
 
 def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

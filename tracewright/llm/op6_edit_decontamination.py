@@ -276,24 +276,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> Da
     return reduce(DataFrame.unionByName, (texts.mapInArrow(_with_broadcast(bench), SCHEMA) for bench in _blocks(benchmark, block)))
 
 
-def _without(bench, text_at: int):
-    """For mapInArrow over whole rows: those that hold none of the block's items."""
+def _clean(bench):
+    """A function of a text Column: whether the text holds none of the block's items."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in ta.slices(batch.column(text_at), lower=True):
-                good = np.ones(t.count, bool)
-                if bench.value.items:
-                    good[[d for d, _ in bench.value.found(normalised(t))]] = False
-                yield batch.slice(t.first, t.count).filter(pa.array(good))
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array) -> pa.Array:
+        good = np.ones(len(texts), bool)
+        for t in ta.slices(texts, lower=True):
+            if bench.value.items:
+                good[[t.first + d for d, _ in bench.value.found(normalised(t))]] = False
+        return pa.array(good)
 
     return run
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
-    """The rows, with all their columns, that hold no item."""
+    """The rows, with all their columns, that hold no item; only texts go to Python."""
     for bench in _blocks(benchmark, block):
-        docs = docs.mapInArrow(_without(bench, docs.columns.index("text")), docs.schema)
+        docs = docs.where(_clean(bench)("text"))
     return docs
 
 

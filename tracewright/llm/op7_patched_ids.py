@@ -1,18 +1,23 @@
-"""Token ids in patched frame-of-reference blocks, written in ascending document order and read back.
+"""Token ids in patched frame-of-reference blocks, written to files in ascending document order and read back.
 
-Documents are range-partitioned by id, encoded in order, and packed into file images of about ``IMAGE_TOKENS`` ids.
-A block of 1,024 ids stores its minimum, then the differences packed at the width that holds ``PERCENTILE`` of them; the
-high bits of the few wider ones go to an exception list. Block starts are indexed, so one block is read without the
-others. Images are rows of a Parquet table in the shared folder: Spark's commit protocol makes a lost task leave no
-half-written file; ``export`` copies them out as plain files.
+Documents are range-partitioned by id, encoded in order, and packed into files of about ``IMAGE_TOKENS`` ids in the
+shared folder. A block of 1,024 ids stores its minimum, then the differences packed at the width that holds
+``PERCENTILE`` of them; the high bits of the few wider ones go to an exception list. Block starts are indexed, so one
+block is read without the others. Each task names its files anew and returns their names; Spark's commit of that list is
+the files' commit, so what a lost or repeated task leaves behind is in no list and never read.
 
-Nulls: a null text is empty (the end id alone); a null id sorts first and comes back null. Equal ids are ordered by
-text. An empty table gives an empty result. Extra columns are not read.
+Words are looked up by 64-bit hash in a sorted table of those seen in the task (at most ``KNOWN_WORDS``); the tokenizer
+runs for new ones only.
+
+Nulls: a null text is empty (the end id alone); null ids sort first and come back null. Equal ids are ordered by a hash
+of the text. A text is tokenised whole, so a task needs memory for the longest one. An empty table gives no file and an
+empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import re
+import os
+import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,69 +25,80 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from . import text_arrays as ta
+from .common import shared_dir, table, written
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 BLOCK = 1024
 PERCENTILE = 0.95
-IMAGE_TOKENS = 1 << 19
-CACHED_WORDS = 1_000_000
-CACHED_LENGTH = 64
-MAGIC = b"PFORv1\0\0"
-NULL_ID = -(1 << 63)
-IMAGES = "part int, seq int, n_docs int, n_tokens long, image binary"
+IMAGE_TOKENS = 1 << 20
+#: Words, and ids of words, that a task keeps at most.
+KNOWN_WORDS, KNOWN_IDS = 1 << 18, 1 << 20
+MAGIC = b"PFORv2\0\0"
+FILES = "part int, seq int, n_docs int, n_tokens long, path string"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _LANES = 32
 
 
-class WordIds(dict):
-    """Ids of a chunk without white space, as little-endian bytes. The tokenizer's normaliser and splitter never join
-    text across ASCII white space, so a text's ids are its chunks' ids in order."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        stem = chunk[:-1]
-        if chunk[-1] in ".," and stem.isascii() and stem.isalpha():  # a letter run ends here, the mark is a piece of its own
-            ids = self[stem] + self[chunk[-1]]
-        elif chunk.isascii() and chunk.isalpha() and not chunk.islower():
-            ids = self[chunk.lower()]
-        else:
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
-_between_ascii_space = re.compile(r"[^ \t-\r]+").findall
-_other_space = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
-
-
-def _chunks(text: str) -> list[str]:
-    return _between_ascii_space(text) if _other_space(text) else text.split()
-
-
-
-
 @lru_cache(1)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
-
-
-def text_ids(text: str, path: str) -> np.ndarray:
-    words = _word_ids(path)
-    return np.frombuffer(b"".join(map(words.__getitem__, _chunks(text))), "<u4")
+def _tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+class Words:
+    """Ids of words (runs without ASCII white space). The tokenizer's normaliser and splitter never join text across
+    ASCII white space, so a text's ids are its words' ids in order."""
+
+    def __init__(self, path: str, known_words: int = KNOWN_WORDS, known_ids: int = KNOWN_IDS):
+        self.tokenizer, self.known_words, self.known_ids = _tokenizer(path), known_words, known_ids
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.starts, self.sizes, self.ids = np.zeros(0, ta.U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return at, self.keys[at] == hashes
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        keys, starts = np.concatenate((self.keys, hashes)), np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
+        sizes, self.ids = np.concatenate((self.sizes, sizes)), np.concatenate((self.ids, np.array([i for x in found for i in x], "<u4")))
+        order = np.argsort(keys)
+        self.keys, self.starts, self.sizes = keys[order], starts[order], sizes[order]
+
+    def encoded(self, t: ta.Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, each followed by ``end_id``; and how many each text has, with it."""
+        starts, ends = t.spans(~ta.SPACE[t.data])
+        docs = t.doc_of(starts)
+        hashes = t.hashes(starts, ends)
+        at, known = self._find(hashes)
+        if not known.all():
+            if len(self.keys) > self.known_words or len(self.ids) > self.known_ids:
+                self._clear()
+                known[:] = False
+            unknown = np.flatnonzero(~known)
+            new, first = np.unique(hashes[unknown], return_index=True)
+            first, raw = unknown[first], t.data.tobytes()
+            self._learn(new, [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+            at, _ = self._find(hashes)
+        sizes = self.sizes[at]
+        rest = np.arange(sizes.sum())
+        ids = np.full(len(rest) + t.count, end_id, "<u4")
+        ids[rest + np.repeat(docs, sizes)] = self.ids[rest + np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)]
+        return ids, np.bincount(docs, sizes, t.count).astype(np.int64) + 1
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -113,8 +129,9 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return cube.reshape(-1, BLOCK)
 
 
-def encode_image(doc_ids: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> bytes:
-    """One file: header, document index, block index, blocks. ``starts`` has one more entry than there are documents."""
+def encode_image(doc_ids: np.ndarray, starts: np.ndarray, ids: np.ndarray, n_null: int = 0) -> bytes:
+    """One file: header, document index, block index, blocks. ``starts`` has one more entry than there are documents; the
+    first ``n_null`` of these have no id."""
     n_blocks = -(-len(ids) // BLOCK)
     rows = np.zeros(n_blocks * BLOCK, np.uint32)
     rows[: len(ids)] = ids
@@ -139,7 +156,7 @@ def encode_image(doc_ids: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> by
     edges = np.concatenate(([0], np.cumsum(counts)))
     blocks = [packed[b] + place[edges[b] : edges[b + 1]].tobytes() + high[edges[b] : edges[b + 1]].tobytes() for b in range(n_blocks)]
     block_starts = np.concatenate(([0], np.cumsum([len(b) for b in blocks], dtype=np.int64)))
-    head = np.array([len(doc_ids), len(ids), n_blocks, BLOCK], "<u4").tobytes()
+    head = np.array([len(doc_ids), len(ids), n_blocks, BLOCK, n_null, 0], "<u4").tobytes()
     return b"".join((MAGIC, head, doc_ids.astype("<i8").tobytes(), starts.astype("<u4").tobytes(), mins.astype("<u4").tobytes(), widths.astype("u1").tobytes(), counts.astype("<u2").tobytes(), block_starts.astype("<u4").tobytes(), *blocks))
 
 
@@ -149,10 +166,10 @@ class Image:
     def __init__(self, raw: bytes):
         if raw[:8] != MAGIC:
             raise ValueError("not a file of this format")
-        n_docs, self.n, self.n_blocks, size = np.frombuffer(raw, "<u4", 4, 8).tolist()
+        n_docs, self.n, self.n_blocks, size, self.n_null, _ = np.frombuffer(raw, "<u4", 6, 8).tolist()
         if size != BLOCK:
             raise ValueError(f"block size {size}")
-        at, self.raw = 24, raw
+        at, self.raw = 32, raw
         for name, kind, n in (("doc_ids", "<i8", n_docs), ("starts", "<u4", n_docs + 1), ("mins", "<u4", self.n_blocks), ("widths", "u1", self.n_blocks), ("counts", "<u2", self.n_blocks), ("block_starts", "<u4", self.n_blocks + 1)):
             setattr(self, name, np.frombuffer(raw, kind, n, at))
             at += n * np.dtype(kind).itemsize
@@ -180,80 +197,90 @@ class Image:
         return out.reshape(-1)[: self.n]
 
 
-def _imaged(path: str, end_id: int):
-    """For mapInArrow over (doc_id, text) in order."""
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of a folder, by its URI."""
+    return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}")
+
 
-    def image(part: int, seq: int, doc_ids: list, ids: list[np.ndarray]) -> pa.RecordBatch:
-        starts = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
-        keys = np.array([NULL_ID if x is None else x for x in doc_ids], np.int64)
-        raw = encode_image(keys, starts, np.concatenate(ids))
-        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(keys)], pa.int32()), pa.array([int(starts[-1])], pa.int64()), pa.array([raw], pa.binary())], names=["part", "seq", "n_docs", "n_tokens", "image"])
+def _filed(path: str, end_id: int, folder: str):
+    """For mapInArrow over (doc_id, text) in order: writes the files of a partition and yields a row for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, size = TaskContext.get().partitionId(), 0, 0
-        doc_ids: list = []
+        part, seq, words = TaskContext.get().partitionId(), 0, Words(path)
+        doc_ids: list[pa.Array] = []
         ids: list[np.ndarray] = []
-        end = np.array([end_id], "<u4")
+        sizes: list[np.ndarray] = []
+
+        def filed() -> pa.RecordBatch:
+            keys = pa.concat_arrays(doc_ids)
+            starts = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+            store, at = _store(folder)
+            name = f"{part:06d}-{seq:06d}-{uuid.uuid4().hex}.pfor"
+            with store.open_output_stream(f"{at}/{name}") as out:
+                out.write(encode_image(keys.fill_null(0).to_numpy(), starts, np.concatenate(ids), keys.null_count))
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(keys)], pa.int32()), pa.array([int(starts[-1])], pa.int64()), pa.array([f"{folder}/{name}"])], names=["part", "seq", "n_docs", "n_tokens", "path"])
+
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                doc_ids.append(doc_id.as_py())
-                ids.append(np.append(text_ids(text.as_py() or "", path), end))
-                size += len(ids[-1])
-                if size >= IMAGE_TOKENS:
-                    yield image(part, seq, doc_ids, ids)
-                    seq, size, doc_ids, ids = seq + 1, 0, [], []
+            for t in ta.slices(batch.column(1)):
+                own, n = words.encoded(t, end_id)
+                doc_ids.append(batch.column(0).slice(t.first, t.count))
+                ids.append(own)
+                sizes.append(n)
+                if sum(map(len, ids)) >= IMAGE_TOKENS:
+                    yield filed()
+                    seq, doc_ids, ids, sizes = seq + 1, [], [], []
         if ids:
-            yield image(part, seq, doc_ids, ids)
+            yield filed()
 
     return run
 
 
-def write_images(docs: DataFrame, path: str, end_id: int = END_ID, partitions: int | None = None) -> DataFrame:
-    """Encodes (doc_id, text) and returns the table of images as read back from the shared folder."""
-    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    return written(rows.mapInArrow(_imaged(path, end_id), IMAGES), "token-images")
+def write_files(docs: DataFrame, path: str, end_id: int = END_ID, partitions: int | None = None, folder: str | None = None) -> DataFrame:
+    """Encodes (doc_id, text) into files in ``folder`` (one that all executors see; by default in the shared folder).
+
+    Returns the list of files, one row each, as a written table.
+    """
+    spark = docs.sparkSession
+    folder = folder or f"{shared_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    store, at = _store(folder)
+    store.create_dir(at)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["doc_id", F.xxhash64("text")]
+    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return written(rows.mapInArrow(_filed(path, end_id, folder), FILES), "token-files")
 
 
-def with_starts(images: DataFrame) -> DataFrame:
-    """Adds the number of ids in all images before each: sums per partition (one row each) and a window within one."""
-    totals = sorted((r[0], r[1]) for r in images.groupBy("part").agg(F.sum("n_tokens")).collect())
+def with_starts(files: DataFrame) -> DataFrame:
+    """Adds the number of ids in all files before each: sums per partition (one row each) and a window within one."""
+    totals = sorted((r[0], r[1]) for r in files.groupBy("part").agg(F.sum("n_tokens")).collect())
     starts, seen = [], 0
     for part, n in totals:
         starts.append((part, seen))
         seen += n
-    before = images.sparkSession.createDataFrame(starts, "part int, _before long")
+    before = files.sparkSession.createDataFrame(starts, "part int, before long")
     order = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    inner = images.select("part", "seq", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)).alias("_inner"))
-    starts = inner.join(F.broadcast(before), "part").select("part", "seq", (F.col("_before") + F.col("_inner")).alias("start"))
-    return images.join(starts, ["part", "seq"])
+    inner = files.withColumn("inner", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
+    return inner.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("inner")).drop("before", "inner")
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (start, path)."""
     for batch in batches:
-        for start, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            image = Image(raw.as_py())
+        for start, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            store, at = _store(path)
+            with store.open_input_stream(at) as raw:
+                image = Image(raw.read())
             ids, edges = image.ids().astype("<u4"), image.starts.astype(np.int64)
             crcs = [zlib.crc32(ids[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(image.doc_ids, mask=image.doc_ids == NULL_ID), pa.array(start + edges[:-1]), pa.array(np.diff(edges)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
-def read_documents(images: DataFrame) -> DataFrame:
-    """Per document its place, length and checksum, decoded from the images."""
-    return with_starts(images).select("start", "image").mapInArrow(_read, DOCS)
-
-
-def export(images: DataFrame, folder: str) -> None:
-    """Copies the images to ``folder`` (a path every executor mounts), named in document order."""
-
-    def run(rows: Iterator) -> None:
-        from pathlib import Path
+            no_id = np.arange(len(edges) - 1) < image.n_null
+            yield pa.RecordBatch.from_arrays([pa.array(image.doc_ids, mask=no_id), pa.array(start + edges[:-1]), pa.array(np.diff(edges)), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-        for r in rows:
-            (Path(folder) / f"{r.part:06d}-{r.seq:06d}.pfor").write_bytes(r.image)
 
-    images.foreachPartition(run)
+def read_documents(files: DataFrame) -> DataFrame:
+    """Per document its place, length and checksum, decoded from the files."""
+    n = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return with_starts(files).select("start", "path").repartition(n).mapInArrow(_read, DOCS)
 
 
 def op7_patched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_documents(write_images(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)))
+    return read_documents(write_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY)))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text_arrays as ta
+from .common import written
 
 FLUSH = 1 << 20
 LOW_BITS = 32
@@ -138,11 +139,12 @@ def _returned(rows_of, parts_bits: int, lower: bool):
 def shared_tokens(docs: DataFrame, tokens_of: TokensOf, rows_of: Callable[[ta.Texts, pa.RecordBatch, Shared], pa.RecordBatch], schema: str, lower: bool = False) -> DataFrame:
     """``rows_of(texts, (doc_id, text), shared tokens)`` of all of (doc_id, text)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts_bits = min(24, max(4, (4 * n - 1).bit_length()))
+    parts_bits = min(24, max(4, (n - 1).bit_length()))
     number = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")))
-    dealt = docs.select(F.pmod(number, F.lit(4 * n)).cast("int").alias("bucket"), "doc_id", "text")
+    dealt = docs.select(F.pmod(number, F.lit(n)).cast("int").alias("bucket"), "doc_id", "text")
     sent = dealt.select("bucket", "text").repartition(n, "bucket").mapInArrow(_sent(tokens_of, parts_bits, lower), PACKED)
-    met = sent.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_met, PACKED)
+    # written, so that the shuffles on the way there are gone before the way back
+    met = written(sent.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_met, PACKED), "shared-tokens")
     none = dealt.select("bucket", "doc_id", "text", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("low"))
     tokens = met.select("bucket", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), "part", "low")
     rows = none.unionByName(tokens).repartition(n, "bucket").sortWithinPartitions("bucket", F.col("part").asc_nulls_last())
