@@ -65,6 +65,8 @@ def test_record_guards(spark):
     assert records.delete(parents, {"id": "p2"}, ["id"], [(children, ["parent_id"])]).count() == 1
     with pytest.raises(PySparkException, match="key exists"):
         records.create(parents, parents.limit(1), ["id"]).collect()
+    with pytest.raises(PySparkException, match="key exists"):
+        records.create(parents, spark.createDataFrame([("p9", True), ("p9", None)], parents.schema), ["id"]).collect()
     with pytest.raises(PySparkException, match="not unique"):
         records.get(parents.unionByName(parents), {"id": "p1"}, ["id"]).collect()
 

@@ -40,12 +40,12 @@ def get(df: DataFrame, key: dict, keys: list[str]) -> DataFrame:
 
 
 def create(df: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The set with complete new rows; a key that is there already is an error when the result is read."""
+    """The set with complete new rows; a key that is there already, or twice among the new rows, is an error when read."""
     if set(rows.columns) != set(df.columns):
         raise ValueError("a new row needs every field")
-    there = df.select(*keys).withColumn("_there", F.lit(True))
-    fresh = rows.join(there, keys, "left")
-    checked = fresh.where(F.when(F.col("_there"), F.raise_error(F.lit("the key exists"))).otherwise(F.lit(True)))
+    taken = df.select(*keys, F.lit(1).alias("tw_old")).unionByName(rows.select(*keys, F.lit(0).alias("tw_old")))
+    counts = taken.join(rows.select(*keys).distinct(), keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("tw_count"))
+    checked = rows.join(counts, keys, "left").where(F.when(F.col("tw_count") > 1, F.raise_error(F.lit("the key exists"))).otherwise(F.lit(True)))
     return df.unionByName(checked.select(df.columns))
 
 

@@ -6,18 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Outcome categories, from the one that wins.
-CATEGORIES = ("tool_budget_fail", "cancelled", "verified_pass", "verification_error", "failed", "unverified", "pending")
+CATEGORIES = ("tool_budget_fail", "execution_failed", "verifier_pass", "verifier_fail", "verification_error", "completed_unverified", "pending")
 
 
-def outcome_category(budget_stop: Column, cancelled: Column, outcome: Column, error: Column, done: Column) -> Column:
-    """A budget stop wins over all else; then cancelled, passed, verification error, failed, unverified, pending."""
+def outcome_category(budget_stop: Column, status: Column, outcome: Column, error: Column) -> Column:
+    """A budget stop wins over all else; then a cancelled run, a verified pass or fail, a verification error, a failed run
+    and a completed one; all others are pending. ``outcome``: pass or fail where it was verified, else null."""
     return (
         F.when(budget_stop, CATEGORIES[0])
-        .when(cancelled, CATEGORIES[1])
+        .when(status.isin("cancelled", "canceled"), CATEGORIES[1])
         .when(outcome == "pass", CATEGORIES[2])
-        .when(error, CATEGORIES[3])
-        .when(outcome == "fail", CATEGORIES[4])
-        .when(done, CATEGORIES[5])
+        .when(outcome == "fail", CATEGORIES[3])
+        .when(error, CATEGORIES[4])
+        .when(status.isin("failed", "environment_stopped"), CATEGORIES[1])
+        .when(status == "completed", CATEGORIES[5])
         .otherwise(CATEGORIES[6])
     )
 

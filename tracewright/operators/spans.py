@@ -15,12 +15,24 @@ def sentence_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(f"({SENTENCE})"), 1)).alias("place", "quote"))
 
 
+def located(docs: DataFrame, quotes: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, quote, start, end) of the first place of each quote, counted in characters from 0; none where it isn't there."""
+    at = F.instr(F.col(text), F.col("quote"))
+    found = quotes.join(docs.select(key, text), key).where((F.length("quote") > 0) & (at > 0))
+    return found.select(key, "quote", (at - 1).alias("start"), (at - 1 + F.length("quote")).alias("end"))
+
+
 def uncovered(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n_spans, uncovered): the non-space characters that no quote covers, by their numbers."""
+    """(key, n_spans, uncovered): the non-space characters of a text that no span (key, start, end) covers.
+
+    Overlapping and repeated spans count once: they are merged, and the gaps between them are looked at.
+    """
     visible = lambda c: F.length(F.regexp_replace(c, r"[ \t\r\n\f\x0B]", ""))
-    sums = found.groupBy(key).agg(F.count("*").alias("n_spans"), F.sum(visible(F.col("quote"))).alias("_covered"))
-    joined = docs.join(sums, key, "left")
-    return joined.select(key, F.coalesce("n_spans", F.lit(0)).alias("n_spans"), (visible(F.col(text)) - F.coalesce("_covered", F.lit(0))).cast("long").alias("uncovered"))
+    merged = merged_intervals(found.select(key, "start", "end"), key, "start", "end").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    joined = docs.select(key, text).join(merged, key, "left").join(found.groupBy(key).agg(F.count("*").alias("n_spans")), key, "left")
+    pieces = F.transform("spans", lambda s: F.substring(F.col(text), s["start"] + 1, s["end"] - s["start"]))
+    covered = F.coalesce(visible(F.array_join(pieces, "")), F.lit(0))
+    return joined.select(key, F.coalesce("n_spans", F.lit(0)).alias("n_spans"), (visible(F.col(text)) - covered).cast("long").alias("uncovered"))
 
 
 def merged_intervals(found: DataFrame, key: str, start: str, end: str) -> DataFrame:

@@ -9,10 +9,13 @@ from tracewright.operators import graphs, reports
 from tracewright.session import table
 
 
+_STATUS = "CASE WHEN event_type = 'signup' THEN 'cancelled' WHEN event_id % 7 = 1 THEN 'failed' WHEN event_id % 4 <> 0 THEN 'completed' ELSE 'running' END"
+
+
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
-    done = F.col("event_id") % 4 != 0
-    category = reports.outcome_category((kind == "error") & (F.col("event_id") % 3 == 0), kind == "signup", F.when(kind == "purchase", "pass").when(kind == "click", "fail"), F.col("event_id") % 19 == 0, done)
+    outcome = F.when(kind == "purchase", "pass").when(kind == "click", "fail")
+    category = reports.outcome_category((kind == "error") & (F.col("event_id") % 3 == 0), F.expr(_STATUS), outcome, F.col("event_id") % 19 == 0)
     return table(spark, sf_dir, "events").withColumn("category", category)
 
 
@@ -21,14 +24,14 @@ def outcome_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outcome_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    passed, decided = F.col("category") == "verified_pass", F.col("category").isin("verified_pass", "failed")
+    passed, decided = F.col("category") == "verifier_pass", F.col("category").isin("verifier_pass", "verifier_fail")
     return reports.pass_rates(_results(spark, sf_dir), passed, decided, 128, ["user_id"])
 
 
 def evidence_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     found = reports.coverage(docs, F.coalesce(F.col("quality") == 1, F.lit(False)), F.col("n_chars") > 200, ["source"])
-    return found.drop("percent").withColumn("full", F.col("supported") == F.col("evaluated"))
+    return found.withColumn("full", F.col("supported") == F.col("evaluated"))
 
 
 def source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,13 +127,13 @@ def diverse_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (outcome_categories, outcome_summary, evidence_coverage, source_inventory, usage_totals, weighted_rubric, timing_median, effective_calls, corpus_stats, environment_rollup, decision_shares, revenue_by_flag, graph_edges, graph_roots, prerequisite_check, user_chain_scores, graph_chains, sampled_walks, diverse_selection)}
 
-_CATEGORY = "CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'tool_budget_fail' WHEN event_type = 'signup' THEN 'cancelled' WHEN event_type = 'purchase' THEN 'verified_pass' WHEN event_id % 19 = 0 THEN 'verification_error' WHEN event_type = 'click' THEN 'failed' WHEN event_id % 4 <> 0 THEN 'unverified' ELSE 'pending' END"
+_CATEGORY = f"CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'tool_budget_fail' WHEN event_type = 'signup' THEN 'execution_failed' WHEN event_type = 'purchase' THEN 'verifier_pass' WHEN event_type = 'click' THEN 'verifier_fail' WHEN event_id % 19 = 0 THEN 'verification_error' WHEN {_STATUS} = 'failed' THEN 'execution_failed' WHEN {_STATUS} = 'completed' THEN 'completed_unverified' ELSE 'pending' END"
 _EDGES = "e AS (SELECT from_tool, to_tool, count(*) AS n, count(*) % 3 + 1 AS weight FROM (SELECT event_type || '_' || user_id % 4 AS from_tool, lead(event_type || '_' || user_id % 4) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS to_tool FROM events) WHERE to_tool IS NOT NULL AND from_tool <> to_tool GROUP BY 1, 2)"
 
 ORACLE_SQL = {
-    "outcome_categories": f"WITH d(category) AS (VALUES ('tool_budget_fail'), ('cancelled'), ('verified_pass'), ('verification_error'), ('failed'), ('unverified'), ('pending'), ('never')), c AS (SELECT {_CATEGORY} AS category FROM events) SELECT d.category, count(c.category) AS n FROM d LEFT JOIN c USING (category) GROUP BY d.category",
-    "outcome_summary": f"WITH c AS (SELECT user_id, {_CATEGORY} AS category FROM events), s AS (SELECT user_id, count(*) FILTER (category = 'verified_pass') AS n_passed, count(*) FILTER (category IN ('verified_pass', 'failed')) AS n_decided FROM c GROUP BY user_id) SELECT *, n_passed / 128 AS rate_expected, n_passed / nullif(n_decided, 0) AS rate_decided FROM s",
-    "evidence_coverage": "WITH s AS (SELECT source, count(*) FILTER (quality = 1 AND n_chars > 200) AS supported, count(*) FILTER (n_chars > 200) AS evaluated, count(*) FILTER (NOT n_chars > 200) AS not_required FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source) SELECT *, supported = evaluated AS \"full\" FROM s",
+    "outcome_categories": f"WITH d(category) AS (VALUES ('tool_budget_fail'), ('execution_failed'), ('verifier_pass'), ('verifier_fail'), ('verification_error'), ('completed_unverified'), ('pending'), ('never')), c AS (SELECT {_CATEGORY} AS category FROM events) SELECT d.category, count(c.category) AS n FROM d LEFT JOIN c USING (category) GROUP BY d.category",
+    "outcome_summary": f"WITH c AS (SELECT user_id, {_CATEGORY} AS category FROM events), s AS (SELECT user_id, count(*) FILTER (category = 'verifier_pass') AS n_passed, count(*) FILTER (category IN ('verifier_pass', 'verifier_fail')) AS n_decided FROM c GROUP BY user_id) SELECT *, n_passed / 128 AS rate_expected, n_passed / nullif(n_decided, 0) AS rate_decided FROM s",
+    "evidence_coverage": "WITH s AS (SELECT source, count(*) FILTER (quality = 1 AND n_chars > 200) AS supported, count(*) FILTER (n_chars > 200) AS evaluated, count(*) FILTER (NOT n_chars > 200) AS not_required FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source) SELECT *, CASE WHEN evaluated = 0 THEN 100.0::DOUBLE ELSE 100.0::DOUBLE * supported / evaluated END AS percent, supported = evaluated AS \"full\" FROM s",
     "source_inventory": "SELECT source, count(*) AS n_files, CAST(sum(strlen(text)) AS BIGINT) AS bytes, string_agg(DISTINCT lang, '|' ORDER BY lang) AS langs FROM documents GROUP BY source",
     "usage_totals": "SELECT event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, count(DISTINCT user_id) AS users, bool_and(value IS NOT NULL) AS complete FROM events GROUP BY event_type",
     "weighted_rubric": "WITH s AS (SELECT doc_id % 20 AS rubric_set, CAST(sum((doc_id % 3 + 1) * quality) AS BIGINT) AS points, CAST(sum(doc_id % 3 + 1) AS BIGINT) AS weight FROM labels GROUP BY 1) SELECT *, points / weight AS score FROM s",

@@ -54,9 +54,11 @@ def near_duplicate_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentence_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentence spans of documents, and how many characters they leave uncovered."""
+    """How many characters of documents their first sentences leave uncovered; the spans overlap."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return spans.uncovered(docs, spans.sentence_spans(docs, "doc_id", "text"), "doc_id", "text")
+    length = F.length("text")
+    some = F.array(*(F.struct(F.least(F.lit(a), length).alias("start"), F.least(F.lit(b), length).alias("end")) for a, b in ((0, 40), (30, 90), (30, 90), (200, 260))))
+    return spans.uncovered(docs, docs.select("doc_id", F.inline(some)).where("start < end"), "doc_id", "text")
 
 
 def subject_universe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +106,7 @@ ORACLE_SQL = {
     "exact_duplicate_groups": "SELECT sha256(text) AS sha256, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents GROUP BY 1 HAVING count(*) > 1",
     "ledger_dedupe": "SELECT sha256(text) AS sha256, min(doc_id) AS first_id, string_agg(DISTINCT source, '|' ORDER BY source) AS sources FROM documents GROUP BY 1",
     "near_duplicate_names": f"WITH g AS ({_GRAMS}) SELECT a.id AS a, b.id AS b, CAST(len(list_intersect(a.grams, b.grams)) AS BIGINT) AS shared, CAST(len(a.grams) + len(b.grams) - len(list_intersect(a.grams, b.grams)) AS BIGINT) AS united FROM g a JOIN g b ON a.id < b.id WHERE len(list_intersect(a.grams, b.grams)) >= 0.5 * (len(a.grams) + len(b.grams) - len(list_intersect(a.grams, b.grams))) AND len(list_intersect(a.grams, b.grams)) > 0",
-    "sentence_coverage": r"SELECT doc_id, CAST(len(list_filter(regexp_extract_all(text, '[^.!?]+[.!?]'), lambda s: true)) AS BIGINT) AS n_spans, CAST(length(regexp_replace(regexp_replace(text, '[^.!?]+[.!?]', '', 'g'), '[ \t\r\n\f\x0B]', '', 'g')) AS BIGINT) AS uncovered FROM documents",
+    "sentence_coverage": r"SELECT doc_id, CAST((length(text) > 0)::INT + 2 * (length(text) > 30)::INT + (length(text) > 200)::INT AS BIGINT) AS n_spans, CAST(length(regexp_replace(substring(text, 91, 110) || substring(text, 261), '[ \t\r\n\f\x0B]', '', 'g')) AS BIGINT) AS uncovered FROM documents",
     "subject_universe": "SELECT doc_id, string_agg(DISTINCT origin, '+' ORDER BY origin) AS origins FROM (SELECT doc_id, 'seed' AS origin FROM documents UNION ALL SELECT doc_id, 'labels' FROM labels) GROUP BY doc_id",
     "seeded_sample": "SELECT doc_id, lang FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50",
     "best_evidence": "SELECT d.doc_id, l.rank FROM documents d LEFT JOIN (SELECT doc_id, max(quality * 2 + 1 - toxic) AS rank FROM labels GROUP BY doc_id) l USING (doc_id)",
