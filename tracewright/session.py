@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -24,13 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``; where it is unset it is an error on a
+    cluster, and a temporary folder in local mode, where one machine does everything."""
+    found = spark.sparkContext.getConf().get(CHECKPOINT_DIR) or spark.conf.get(CHECKPOINT_DIR, None)
+    if not found:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors see")
+        found = tempfile.mkdtemp(prefix="tracewright-")
+        spark.conf.set(CHECKPOINT_DIR, found)
+    return found
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """``df`` as a Parquet table in the shared folder."""
     spark = df.sparkSession
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tracewright-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
