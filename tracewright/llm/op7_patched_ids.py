@@ -6,8 +6,8 @@ shared folder. A block of 1,024 ids stores its minimum, then the differences pac
 block is read without the others. Each task names its files anew and returns their names; Spark's commit of that list is
 the files' commit, so what a lost or repeated task leaves behind is in no list and never read.
 
-Words are looked up by 64-bit hash in a sorted table of those seen in the task (at most ``KNOWN_WORDS``); the tokenizer
-runs for new ones only.
+Words and their pieces are looked up by 64-bit hash in a sorted table of those seen in the task (at most
+``KNOWN_WORDS``); the tokenizer runs for new ones only.
 
 Nulls: a null text is empty (the end id alone); null ids sort first and come back null. Equal ids are ordered by a hash
 of the text. A text is tokenised whole, so a task needs memory for the longest one. An empty table gives no file and an
@@ -39,7 +39,8 @@ BLOCK = 1024
 PERCENTILE = 0.95
 IMAGE_TOKENS = 1 << 20
 #: Words, and ids of words, that a task keeps at most.
-KNOWN_WORDS, KNOWN_IDS = 1 << 18, 1 << 20
+KNOWN_WORDS, KNOWN_IDS = 1 << 19, 1 << 21
+_TOP_BITS = 19
 MAGIC = b"PFORv2\0\0"
 FILES = "part int, seq int, n_docs int, n_tokens long, path string"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -54,9 +55,48 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Classes of bytes: letters, symbols, digits; 0 for what only the tokenizer tells.
+_LETTER, _SYMBOL, _DIGIT = 1, 2, 3
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[0x21:0x7F] = _SYMBOL
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = _CLASS[0xC3:0xCA] = _LETTER
+_CLASS[[0x27, 0x3C]] = 0  # contractions, special tokens
+
+
+def _pieces(t: ta.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, and starts and ends of the pieces that are tokenised by themselves.
+
+    The tokenizer lower-cases and splits at every change between letters, symbols and single digits. Words of ASCII and of
+    Latin letters of two bytes are split here, as their classes show in the bytes; other words stay whole and as they are.
+    """
+    data, inside = t.data, ~ta.SPACE[t.data]
+    kind = _CLASS[data]
+    after = np.zeros(len(data), np.uint8)
+    after[1:] = data[:-1]
+    second = (data >= 0x80) & (data < 0xC0) & (after >= 0xC3) & (after < 0xCA)
+    second &= ~((after == 0xC3) & ((data == 0x97) | (data == 0xB7)))  # the signs for times and divided by
+    kind[second] = _LETTER
+    starts, ends = t.spans(inside)
+    odd = np.concatenate(([0], np.cumsum(kind == 0, dtype=np.int64)))
+    plain = np.zeros(len(data) + 1, np.int8)
+    chosen = odd[ends] == odd[starts]
+    plain[starts[chosen]] += 1
+    plain[ends[chosen]] -= 1
+    plain = np.cumsum(plain[:-1], dtype=np.int8) > 0
+    lowered = np.where(second & (after == 0xC3) & (data < 0x9F), data + 0x20, ta.LOWER[data])
+    opens = np.zeros(len(data), bool)
+    opens[1:] = plain[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))
+    opens[starts] = True
+    closes = np.zeros(len(data), bool)
+    closes[:-1] = opens[1:] & inside[:-1]
+    closes[ends - 1] = True
+    return np.where(plain, lowered, data).astype(np.uint8), np.flatnonzero(opens), np.flatnonzero(closes) + 1
+
+
 class Words:
-    """Ids of words (runs without ASCII white space). The tokenizer's normaliser and splitter never join text across
-    ASCII white space, so a text's ids are its words' ids in order."""
+    """Ids of words (runs without ASCII white space) and their pieces. The tokenizer's normaliser and splitter never join
+    text across ASCII white space, so a text's ids are its words' ids in order."""
 
     def __init__(self, path: str, known_words: int = KNOWN_WORDS, known_ids: int = KNOWN_IDS):
         self.tokenizer, self.known_words, self.known_ids = _tokenizer(path), known_words, known_ids
@@ -64,12 +104,21 @@ class Words:
 
     def _clear(self) -> None:
         self.keys, self.starts, self.sizes, self.ids = np.zeros(0, ta.U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self._index()
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(self.keys):
-            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-        return at, self.keys[at] == hashes
+        """Where each hash stands in the table, and whether it does: by its top bits, then along the few keys that share them."""
+        top = (hashes >> ta.U64(64 - _TOP_BITS)).astype(np.int64)
+        at, end = self.first[top], self.first[top + 1]
+        known = np.zeros(len(hashes), bool)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            hit = self.keys[at[left]] == hashes[left]
+            known[left[hit]] = True
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return at, known
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -78,12 +127,17 @@ class Words:
         sizes, self.ids = np.concatenate((self.sizes, sizes)), np.concatenate((self.ids, np.array([i for x in found for i in x], "<u4")))
         order = np.argsort(keys)
         self.keys, self.starts, self.sizes = keys[order], starts[order], sizes[order]
+        self._index()
+
+    def _index(self) -> None:
+        counts = np.bincount((self.keys >> ta.U64(64 - _TOP_BITS)).astype(np.int64), minlength=1 << _TOP_BITS)
+        self.first = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
 
     def encoded(self, t: ta.Texts, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end_id``; and how many each text has, with it."""
-        starts, ends = t.spans(~ta.SPACE[t.data])
+        data, starts, ends = _pieces(t)
         docs = t.doc_of(starts)
-        hashes = t.hashes(starts, ends)
+        hashes = ta.Texts(t.first, t.last, data, t.offsets).hashes(starts, ends)
         at, known = self._find(hashes)
         if not known.all():
             if len(self.keys) > self.known_words or len(self.ids) > self.known_ids:
@@ -91,7 +145,7 @@ class Words:
                 known[:] = False
             unknown = np.flatnonzero(~known)
             new, first = np.unique(hashes[unknown], return_index=True)
-            first, raw = unknown[first], t.data.tobytes()
+            first, raw = unknown[first], data.tobytes()
             self._learn(new, [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
             at, _ = self._find(hashes)
         sizes = self.sizes[at]
@@ -231,6 +285,8 @@ def _filed(path: str, end_id: int, folder: str):
                     seq, doc_ids, ids, sizes = seq + 1, [], [], []
         if ids:
             yield filed()
+        del words, ids, doc_ids, sizes
+        ta.released()
 
     return run
 
