@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .text_arrays import released
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Chunks and pieces that a task remembers at most, and characters of each.
@@ -264,6 +265,8 @@ def digests(path: str, pattern: str):
                 ids.append(hashlib.sha256(joined[:-1].encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([p[1] for p in parts])).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        del chunk
+        released()
 
     return run
 

@@ -47,6 +47,8 @@ def _emitted(parts_bits: int, hashes_of: HashesOf, lower: bool, all_counts: bool
                     yield flushed(held)
                     held, size = [], 0
         yield flushed(held)
+        held.clear()
+        ta.released()
 
     return run
 
@@ -81,6 +83,8 @@ def _summarised(parts_bits: int, frequent: int, most_frequent: int):
                 blobs.append(blob.as_py())
         if part is not None:
             yield row(part, *summary(part, blobs))
+        blobs.clear()
+        ta.released()
 
     return run
 

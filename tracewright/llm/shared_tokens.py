@@ -76,8 +76,9 @@ def _sent(tokens_of: TokensOf, parts_bits: int, lower: bool):
                 while sum(len(x) for own in held.values() for x in own) >= 2 * FLUSH:
                     largest = max(held, key=lambda b: sum(map(len, held[b])))
                     yield packed(largest, held.pop(largest))
-        for b, own in held.items():
-            yield packed(b, own)
+        for b in list(held):
+            yield packed(b, held.pop(b))
+        ta.released()
 
     return run
 
@@ -109,6 +110,8 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blobs.append(np.frombuffer(low.as_py(), "<u4"))
     if blobs:
         yield from shared(now, buckets, blobs)
+    blobs = []
+    ta.released()
 
 
 def _returned(rows_of, parts_bits: int, lower: bool):

@@ -1,11 +1,13 @@
 """Words, lines and their 64-bit hashes of whole Arrow batches, as numpy arrays over the UTF-8 bytes.
 
 Work goes through a batch in slices of bounded bytes (one document at least), so memory follows the slice and the
-longest document, not the batch.
+longest document, not the batch. After a batch, what the allocators keep of freed arrays goes back to the system, as
+Python workers wait for later stages beside the executor's heap.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +30,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+_malloc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def released() -> None:
+    """Gives memory that is free in this process back to the system, where its allocator can."""
+    pa.default_memory_pool().release_unused()
+    if _malloc_trim:
+        _malloc_trim(0)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser, so that sums of hashes don't keep the structure of their parts."""
     x = x ^ (x >> U64(30))
@@ -107,6 +119,7 @@ def slices(column: pa.ChunkedArray | pa.Array, lower: bool = False) -> Iterator[
         part = data[offsets[at] : offsets[end]]
         yield Texts(at, end, LOWER[part] if lower else part, offsets[at : end + 1] - offsets[at])
         at = end
+    released()
 
 
 def gram_hashes(words: np.ndarray, docs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
