@@ -180,19 +180,49 @@ def test_decontamination_finds_what_brute_force_finds(spark, block):
     assert got[52, 93] == 0 and got[None, 93] == 0
 
 
-@pytest.mark.parametrize("size", [1000, 3000, 5000])
-def test_long_items_are_found_at_all_edits_allowed(size):
+def edited_bytes(rng: random.Random, item: bytes, edits: int, kinds: str = "dir") -> str:
+    text = list(item.decode())
+    for at in rng.sample(range(len(text)), edits):
+        text[at] = {"d": "", "i": text[at] + "q", "r": "q"}[rng.choice(kinds)]
+    return "".join(text)
+
+
+@pytest.mark.parametrize(("size", "count"), [(40, 120), (100, 120), (300, 80), (1000, 24), (3000, 8)])
+def test_recall_at_all_edits_allowed(size, count):
+    """Items with as many edits as they allow, alone and of each kind, in a document each."""
     rng = random.Random(size)
-    items = [(k, fx.prose(rng, size // 5)[:size]) for k in range(6)]
-    bench = op6.Benchmark(items)
-    missed = 0
+    bench = op6.Benchmark([(k, fx.prose(rng, size // 4)[:size]) for k in range(count)])
+    found = wanted = 0
     for k, item in enumerate(bench.items):
-        text = list(item.decode())
-        for at in rng.sample(range(len(text)), int(bench.edits[k])):
-            text[at] = rng.choice(["", "q", text[at] + "q"])
-        document = f"{fx.prose(rng, 30)} {''.join(text)} {fx.prose(rng, 30)}"
-        missed += all((0, k) not in bench.found(op6.normalised(t)) for t in ta.slices(pa.array([document]), lower=True))
-    assert missed == 0
+        document = f"{fx.prose(rng, 12)} {edited_bytes(rng, item, int(bench.edits[k]), rng.choice(['d', 'i', 'r', 'dir']))} {fx.prose(rng, 12)}"
+        for t in ta.slices(pa.array([document]), lower=True):
+            text = op6.normalised(t)
+            if op6.edits_within(item, text.data.tobytes(), int(bench.edits[k])) is not None:
+                wanted += 1
+                found += (0, k) in bench.found(text)
+    assert wanted > count / 2 and found >= 0.9 * wanted, (found, wanted)
+
+
+def test_items_that_share_a_passage_are_told_apart(monkeypatch):
+    """Grams of very many items, counted few places at a time."""
+    monkeypatch.setattr(op6, "EXPANDED", 500)
+    rng = random.Random(21)
+    question = "which of the following statements about the subject is not correct at all"
+    items = [(k, f"{question} {fx.prose(rng, 8)}") for k in range(90)]
+    bench = op6.Benchmark(items)
+    docs = [f"{fx.prose(rng, 10)} {edited_bytes(rng, bench.items[k], 3)} {fx.prose(rng, 10)}" for k in range(0, 90, 3)]
+    want = {(d, i) for d, text in enumerate(docs) for i, item in enumerate(bench.items) if op6.edits_within(item, op6.normalised_text(text), int(bench.edits[i])) is not None}
+    got = {(t.first + d, i) for t in ta.slices(pa.array(docs), lower=True) for d, i in bench.found(op6.normalised(t))}
+    assert got <= want and len(got) >= 0.95 * len(want) and len(want) >= 30
+
+
+def test_very_long_items_and_texts_are_compared():
+    rng = random.Random(22)
+    item = fx.prose(rng, 1500)
+    bench = op6.Benchmark([(1, item), (2, "x " * 40)])
+    text = f"{fx.prose(rng, 4000)} {edited_bytes(rng, bench.items[0], 60)} {fx.prose(rng, 4000)}"
+    got = [bench.ids[i] for t in ta.slices(pa.array([text]), lower=True) for _, i in bench.found(op6.normalised(t))]
+    assert got == [1]
 
 
 def test_very_short_items_are_looked_up():

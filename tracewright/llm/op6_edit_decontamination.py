@@ -5,14 +5,14 @@ space. An item of m bytes allows ``floor(MAX_EDITS * m)`` edits (fewer where an
 that number would use it up).
 
 1. Windows. A place with e edits against an item still shares at least ``m - GRAM + 1 - GRAM * e`` of its grams (q-gram
-   lemma), all on nearly one diagonal (text place minus item place). Grams of all items are looked up at every byte of
-   every text; item-sized windows are opened at the diagonals of those (document, item) pairs that reach the count. The
-   lemma loses nothing.
+   lemma), nearly all on a few diagonals (text place minus item place). Item-sized windows are opened where the grams of
+   a document reach that count for some item of that size; the lemma loses nothing. Grams that many items
+   share are counted ``EXPANDED`` places at a time.
 2. Embedding. Windows and items take the CGK random walk (Chakraborty, Goldenberg, Koucky 2016): a cursor advances or
-   stays by a shared random bit per step and byte, so edit distance becomes Hamming distance. Each of ``REPEATS`` walks
-   samples ``SAMPLED`` places as an LSH key; ``REPEATS`` follows from ``RECALL`` at the share of equal places that an
-   allowed number of edits leaves. A window goes on if one of its keys is the item's. That share falls with length, so
-   the windows of items above ``EMBEDDED_BYTES`` all go on: for them, exact verification costs less than the walks needed.
+   stays by a shared random bit per step and byte, so edit distance becomes Hamming distance. Each of several walks
+   samples ``SAMPLED`` places, while both cursors are inside, as an LSH key; a window's candidates are the items, of all
+   those of its size, that have one of its keys. How many walks there are follows from ``RECALL`` and from the share of
+   equal places that is measured, for items of about that size, at the number of edits allowed.
 3. Verification. The exact least edit distance between the item and any substring around the window (bit-parallel
    dynamic programming).
 
@@ -20,7 +20,8 @@ The benchmark is broadcast in blocks of ``BLOCK_ITEMS``, one pass over the docum
 
 Nulls: null texts and null or blank items match nothing. Items shorter than two grams
 allow no edits, and those shorter than one gram are looked up as whole words. A null doc_id comes back null. Repeated
-items or rows are reported once each by id. Empty tables give an empty result. Extra columns are not read.
+items or rows are reported once each by id. A text or an item is held whole by a task; walks need no tables, so very long
+ones cost time in proportion. Empty tables give an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -40,13 +41,16 @@ from .common import table
 
 GRAM = 8
 MAX_EDITS = 0.1
-SAMPLED = 4
-#: Share of equal embedded places that windows at the allowed edits were seen to keep at least.
-KEPT_SHARE = 0.6
+SAMPLED = 3
 RECALL = 0.99
-REPEATS = math.ceil(math.log(1 - RECALL) / math.log(1 - KEPT_SHARE**SAMPLED))
-#: Items up to this length keep ``KEPT_SHARE``.
-EMBEDDED_BYTES = 500
+#: Places are sampled in this share of twice the item's length, where a cursor ends on average.
+SAMPLED_SPAN = 0.9
+#: Pairs of an item and an edited copy by which the share of equal places of a size is measured.
+MEASURED_PAIRS = 24
+#: (Text place, item place) pairs of equal grams that are held at a time.
+EXPANDED = 1 << 20
+#: Walks of a size at most; sizes that would need more are all verified.
+MOST_WALKS = 256
 BLOCK_ITEMS = 5000
 SCHEMA = "doc_id long, item_id long, distance int, item_bytes int"
 
@@ -134,35 +138,70 @@ class Benchmark:
         self.gram, self.gram_item, self.gram_place = self.gram[order], self.gram_item[order], self.gram_place[order]
         self.present = np.zeros(1 << _TABLE_BITS, bool)
         self.present[_slot(self.gram)] = True
-        embedded = np.flatnonzero(sizes <= EMBEDDED_BYTES)
-        longest = int(sizes[embedded].max()) if len(embedded) else 1
-        drawn = np.random.Generator(np.random.PCG64(seed))
-        self.walk = drawn.integers(0, 2, (REPEATS, 3 * longest, 257), dtype=np.uint8)
-        self.sample = drawn.random((REPEATS, SAMPLED))
-        self.item_keys = np.zeros((len(sizes), REPEATS), ta.U64)
-        self.item_keys[embedded] = self.keys([np.frombuffer(self.items[k], np.uint8) for k in embedded.tolist()], sizes[embedded])
-
-    def keys(self, windows: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-        """(windows, REPEATS) keys; ``sizes`` are the item lengths, which set how far a walk goes and where it is sampled."""
-        n = len(windows)
-        if not n:
-            return np.zeros((0, REPEATS), ta.U64)
-        width = int(sizes.max())
+        self.seed, drawn = ta.U64(seed), np.random.Generator(np.random.PCG64(seed))
+        self.bytes_at = drawn.integers(0, 1 << 63, 257, dtype=ta.U64)
+        self.fractions = drawn.random((MOST_WALKS, SAMPLED))
+        self.classes = np.log2(np.maximum(sizes, 1)).astype(np.int64)
+        self.walks = {int(c): self._walks_needed(np.flatnonzero(self.classes == c), drawn) for c in np.unique(self.classes)}
+        keys, owners = [], []
+        for k, item in enumerate(self.items):
+            own = self.keys([np.frombuffer(item, np.uint8)], int(sizes[k]), self.walks[int(self.classes[k])])[0]
+            keys.append(own)
+            owners.append(np.full(len(own), k))
+        every, owner = (np.concatenate(x) if x else np.zeros(0, kind) for x, kind in ((keys, ta.U64), (owners, np.int64)))
+        order = np.argsort(every, kind="stable")
+        self.item_keys, self.key_item = every[order], owner[order]
+
+    def _steps(self, size: int) -> int:
+        return max(1, int(SAMPLED_SPAN * 2 * size))
+
+    def embedded(self, windows: list[np.ndarray], size: int, walks: int, places: np.ndarray) -> np.ndarray:
+        """(windows, walks, SAMPLED) bytes that the cursors show at the sampled steps; 256 behind a window's end."""
+        n, width = len(windows), size
         text = np.full((n, width + 1), 256, np.int64)
         for k, w in enumerate(windows):
-            text[k, : len(w)] = w[:width]
-        places = (self.sample[None] * (3 * sizes)[:, None, None]).astype(np.int64)
-        cursor = np.zeros((n, REPEATS), np.int64)
-        key = np.zeros((n, REPEATS), ta.U64)
-        rows, walks = np.arange(n)[:, None], np.arange(REPEATS)[None]
-        for step in range(3 * width):
+            text[k, : min(len(w), width)] = w[:width]
+        out = np.zeros((n, walks, places.shape[1]), np.int64)
+        cursor, rows = np.zeros((n, walks), np.int64), np.arange(n)[:, None]
+        wanted: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for r, j in np.ndindex(walks, places.shape[1]):
+            wanted[int(places[r, j])].append((r, j))
+        walk_ids = np.arange(walks, dtype=ta.U64) + self.seed * ta.U64(1 << 20)
+        for step in range(int(places.max()) + 1):
             byte = text[rows, np.minimum(cursor, width)]
-            hit = places == step
-            if hit.any():
-                for j in range(SAMPLED):
-                    key = np.where(hit[:, :, j], key + ta.mixed((byte + 257 * j + 1).astype(ta.U64)), key)
-            cursor = cursor + self.walk[walks, step, byte]
-        return ta.mixed(key + sizes[:, None].astype(ta.U64))
+            for r, j in wanted.get(step, ()):
+                out[:, r, j] = byte[:, r]
+            bits = ta.mixed(walk_ids + np.full(1, step, ta.U64) * ta._STEP)  # one of 64 random bits each, picked by the byte
+            cursor += ((bits[None] ^ self.bytes_at[byte]) * ta._STEP >> ta.U64(63)).astype(np.int64)
+        return out
+
+    def places(self, size: int, walks: int) -> np.ndarray:
+        return (self.fractions[:walks] * self._steps(size)).astype(np.int64)
+
+    def keys(self, windows: list[np.ndarray], size: int, walks: int) -> np.ndarray:
+        """(windows, walks) keys, told apart by the walk and by the size of the items they are for."""
+        shown = self.embedded(windows, size, walks, self.places(size, walks))
+        salt = np.arange(walks, dtype=ta.U64) * ta._GRAM[50] + np.full(1, size, ta.U64) * ta._GRAM[51]
+        key = np.zeros(shown.shape[:2], ta.U64)
+        for j in range(SAMPLED):
+            key += ta.mixed((shown[:, :, j] + 257 * j + 1).astype(ta.U64))
+        return ta.mixed(key + salt[None])
+
+    def _walks_needed(self, items: np.ndarray, drawn: np.random.Generator) -> int:
+        """Walks for items of about one size: by the share of equal places that nine of ten edited copies keep."""
+        shares = []
+        for k in np.resize(items, min(MEASURED_PAIRS, 8 * len(items))).tolist():
+            item = np.frombuffer(self.items[k], np.uint8)
+            pieces = [bytes([c]) for c in item]
+            for at in drawn.choice(len(item), int(self.edits[k]), replace=False).tolist():
+                pieces[at] = (b"", b"\x01", pieces[at] + b"\x01")[int(drawn.integers(3))]
+            copy = np.frombuffer(b"".join(pieces), np.uint8)
+            at = np.tile(np.linspace(0, self._steps(len(item)) - 1, 48).astype(np.int64), (16, 1))
+            one, two = self.embedded([item, copy], len(item), 16, at)
+            shares.append(float(np.mean(one == two)))
+        share = float(np.quantile(shares, 0.1)) if shares else 1.0
+        hit = min(max(share, 0.05) ** SAMPLED, 1 - 1e-9)
+        return int(np.clip(math.ceil(math.log(1 - RECALL) / math.log(1 - hit)), 4, MOST_WALKS))
 
     def windows(self, t: ta.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, item, start in the data) of the windows to look at."""
@@ -176,12 +215,32 @@ class Benchmark:
         at, low, count, docs = at[inside], low[inside], count[inside], docs[inside]
         if not len(at):
             return none
-        each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-        at, docs = np.repeat(at, count), np.repeat(docs, count)
-        item = self.gram_item[each]
-        pair = docs * len(self.items) + item
-        kept = np.bincount(pair)[pair] >= self.needed[item]
-        at, docs, item, place = at[kept], docs[kept], item[kept], self.gram_place[each[kept]]
+        parts = np.cumsum(count) // EXPANDED
+        edges = np.flatnonzero(np.r_[True, parts[1:] != parts[:-1], True])
+
+        def expanded(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+            """Which of the text places a to b, and the entry of an item's gram, for every pair of equal grams."""
+            n = count[a:b]
+            return np.repeat(np.arange(a, b), n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[a:b], n)
+
+        pairs, times = [], []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            k, each = expanded(a, b)
+            found = np.unique(docs[k] * len(self.items) + self.gram_item[each], return_counts=True)
+            pairs.append(found[0])
+            times.append(found[1])
+        pair, back = np.unique(np.concatenate(pairs), return_inverse=True)
+        pair = pair[np.bincount(back, np.concatenate(times)) >= self.needed[pair % len(self.items)]]
+        if not len(pair):
+            return none
+        kept = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            k, each = expanded(a, b)
+            own = docs[k] * len(self.items) + self.gram_item[each]
+            there = pair[np.minimum(np.searchsorted(pair, own), len(pair) - 1)] == own
+            kept.append((k[there], each[there]))
+        k, each = (np.concatenate(x) for x in zip(*kept, strict=True))
+        at, docs, item, place = at[k], docs[k], self.gram_item[each], self.gram_place[each]
         start, need = at - place, self.needed[item]
         room = 2 * (int(self.edits.max()) + 1)
         out = []
@@ -222,28 +281,48 @@ class Benchmark:
         docs, items, starts = self.windows(t)
         if not len(docs):
             return out
-        first, last = t.offsets[docs], t.offsets[docs + 1]
-        for a in range(0, len(docs), 4096):
-            part = slice(a, a + 4096)
-            sizes = self.sizes[items[part]]
-            near = sizes > EMBEDDED_BYTES
-            walked = np.flatnonzero(~near)
-            some = walked + a
-            cut = [t.data[max(s, f) : min(s + m, e)] for s, f, e, m in zip(starts[some].tolist(), first[some].tolist(), last[some].tolist(), sizes[walked].tolist(), strict=True)]
-            near[walked] = (self.keys(cut, sizes[walked]) == self.item_keys[items[some]]).any(axis=1)
-            for k in (np.flatnonzero(near) + a).tolist():
-                d, i, e = int(docs[k]), int(items[k]), int(self.edits[items[k]])
-                if out.get((d, i)) == 0:
-                    continue
-                around = t.data[max(starts[k] - e, first[k]) : min(starts[k] + self.sizes[i] + e, last[k])].tobytes()
-                if self.items[i] in around:
-                    distance = 0
+        sizes = self.sizes[items]
+        opened = np.unique(np.stack((sizes, docs, starts)), axis=1)  # windows, whichever item opened them
+        candidates: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for size in np.unique(opened[0]).tolist():
+            chosen = opened[:, opened[0] == size]
+            for d, i, start in self._candidates(t, size, chosen[1], chosen[2]):
+                candidates[d, i].append(start)
+        for (d, i), near in candidates.items():
+            e, first, last = int(self.edits[i]), int(t.offsets[d]), int(t.offsets[d + 1])
+            regions: list[list[int]] = []  # windows that overlap are compared as one
+            for start in sorted(near):
+                a, b = max(start - e, first), min(start + int(self.sizes[i]) + e, last)
+                if regions and a <= regions[-1][1]:
+                    regions[-1][1] = max(b, regions[-1][1])
                 else:
-                    distance = edits_within(self.items[i], around, e)
+                    regions.append([a, b])
+            for a, b in regions:
+                around = t.data[a:b].tobytes()
+                distance = 0 if self.items[i] in around else edits_within(self.items[i], around, e)
                 if distance is not None:
                     out[d, i] = min(distance, out.get((d, i), e))
         return out
 
+    def _candidates(self, t: ta.Texts, size: int, docs: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, item, start) of windows of one size and the items that have one of their keys."""
+        walks = self.walks[int(math.log2(max(size, 1)))]
+        same = np.flatnonzero(self.sizes == size)
+        for a in range(0, len(docs), 1024):
+            d, s = docs[a : a + 1024], starts[a : a + 1024]
+            if walks >= MOST_WALKS:
+                windows, items = np.repeat(np.arange(len(d)), len(same)), np.tile(same, len(d))
+            else:
+                first, last = np.maximum(s, t.offsets[d]), np.minimum(s + size, t.offsets[d + 1])
+                keys = self.keys([t.data[x:y] for x, y in zip(first.tolist(), last.tolist(), strict=True)], size, walks).ravel()
+                low, high = np.searchsorted(self.item_keys, keys), np.searchsorted(self.item_keys, keys, side="right")
+                count = high - low
+                each = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+                pairs = np.unique(np.stack((np.repeat(np.arange(len(keys)) // walks, count), self.key_item[each])), axis=1)
+                windows, items = pairs
+            for w, i in zip(windows.tolist(), items.tolist(), strict=True):
+                yield int(d[w]), i, int(s[w])
+
 
 def searched(bench: Benchmark):
     """For mapInArrow over (doc_id, text)."""
