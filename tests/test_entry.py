@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import importlib
-import importlib.util
 import re
+import sys
 from pathlib import Path
 
+import pytest
+
 import __spark_entry__ as entry
 from tracewright import catalog
 
@@ -22,10 +23,15 @@ def test_entry_gives_rows(spark):
     assert df.count() > 0
 
 
-def test_queries_without_the_subpackage(monkeypatch):
-    real = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name in ("tracewright.llm", "corpus_pipeline") else real(name, *a))
-    assert set(entry.queries()) == set(catalog.QUERIES) and set(entry.oracle_sql()) == set(catalog.ORACLE_SQL)
+@pytest.mark.parametrize("absent", ["tracewright.llm", "ahocorasick", "corpus_pipeline"])
+def test_queries_without_the_subpackage_or_what_it_needs(monkeypatch, absent):
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("tracewright.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, absent, None)
+    with pytest.warns(UserWarning, match="without"):
+        names, sql = set(entry.queries()), set(entry.oracle_sql())
+    assert set(catalog.QUERIES) <= names and set(catalog.ORACLE_SQL) <= sql and "pipeline" not in names
+    assert ("op1_hilbert_shards" in names) == (absent == "corpus_pipeline")
 
 
 def test_nothing_else_imports_the_subpackage():
