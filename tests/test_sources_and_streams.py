@@ -134,3 +134,13 @@ def test_windowed_counts_equal_the_batch(spark, event_files):
     newest = got.groupBy("window", "event_type").agg(F.max("n").alias("n"))
     want = events.groupBy(F.window(F.col("ts").cast("timestamp"), "1 day"), "event_type").agg(F.count("*").alias("n"))
     assert sorted(map(str, newest.collect())) == sorted(map(str, want.collect()))
+
+
+def test_stream_of_calls_counts_each_once(spark, event_files):
+    events, folder, state = event_files
+    named = read(spark, events, folder).selectExpr("user_id", "event_id % 9 AS call", "CASE WHEN event_id % 3 = 0 THEN 'native_x' WHEN event_id % 3 = 1 THEN 'env_y' ELSE 'z' END AS name", "ts")
+    got = run(spark, event_logs.call_counts(named, "user_id", "call", "name", "ts", "400 days"), "calls", state, "complete")
+    want = {}
+    for r in events.selectExpr("user_id", "event_id % 9 AS call").distinct().collect():
+        want.setdefault(r.user_id, [0, 0, 0])[r.call % 3] += 1
+    assert {r.user_id: [r.native, r.environment, r.other] for r in got.collect()} == want

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.session import written
+
 
 def first_per_group(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """One row a group, the first in a total order (for the last, give the order reversed)."""
@@ -18,15 +20,21 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int)
 def dense_place(df: DataFrame, leading: Column, within: list[Column], name: str = "place") -> DataFrame:
     """Row numbers from 1 over the whole table, by ``leading`` descending and then ``within``.
 
-    Rows are numbered inside each value of ``leading``; what stands before comes from the counts of the values, so no
-    task holds the whole table.
+    A range shuffle on all of these sorts the rows, so neither a value that many rows share nor a table of unique values
+    is one task's; what stands before a partition comes from a count each. The sorted rows are written once, as the
+    ranges drawn for a second job could differ.
     """
-    rows = df.withColumn("_lead", leading)
-    counts = rows.groupBy("_lead").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(F.col("_lead").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inner = rows.withColumn("_inner", F.row_number().over(Window.partitionBy("_lead").orderBy(*within)))
-    joined = inner.join(before, inner["_lead"].eqNullSafe(before["_lead"])).drop("_lead")
-    return joined.withColumn(name, F.col("_before") + F.col("_inner")).drop("_before", "_inner")
+    spark, order = df.sparkSession, [leading.desc_nulls_last(), *within]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("tw_id", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("tw_id", 33)
+    starts, seen = [], 0
+    for p, count in sorted((r[0], r[1]) for r in rows.groupBy(part.alias("p")).count().collect()):  # a row per partition
+        starts.append((p, seen))
+        seen += count
+    before = spark.createDataFrame(starts, "tw_part long, tw_before long")
+    joined = rows.withColumn("tw_part", part).join(F.broadcast(before), "tw_part")
+    return joined.withColumn(name, F.col("tw_before") + F.col("tw_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("tw_part", "tw_before", "tw_id")
 
 
 def trailing(within: str, order: list[str], size: int):

@@ -44,3 +44,13 @@ def distinct_errors(stream: DataFrame, trace: str, line: str, breaker: str, limi
     """(breaker, n_errors, open): distinct (trace, line) errors per breaker, and whether it has tripped."""
     once = stream.dropDuplicates([trace, line])
     return once.groupBy(breaker).agg(F.count("*").alias("n_errors")).withColumn("open", F.col("n_errors") >= limit)
+
+
+def call_counts(stream: DataFrame, run: str, call: str, name: str, event_time: str, delay: str) -> DataFrame:
+    """(run, native, environment, other): distinct calls of a run so far, by the prefix of their tool's name.
+
+    A call that is logged again within ``delay`` counts once; offsets and lines that are cut are the source's business.
+    """
+    once = stream.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay).dropDuplicatesWithinWatermark([run, call])
+    native, environment = F.startswith(name, F.lit("native_")), F.startswith(name, F.lit("env_"))
+    return once.groupBy(run).agg(F.count_if(native).alias("native"), F.count_if(environment).alias("environment"), F.count_if(~native & ~environment).alias("other"))
