@@ -351,12 +351,20 @@ def test_bpe_matches_the_library(spark, sf_dir, odd_dir, where):
 def test_bpe_of_any_text(text):
     text = text.encode("utf-8", "ignore").decode()
     codec = op10._codec(public_tokenizers.path(op10.VOCABULARY), public_tokenizers.PATTERN)
-    chunks = op10.Chunks(codec)
+    chunks = op10.chunk_memo(codec)
     ids = [int(i) for c in op10._chunks(text) for i in chunks[c][0].split(",")[:-1]]
     assert ids == _encoding.encode_ordinary(text)
     assert codec.decode(ids) == text.encode()
 
 
+def test_memos_keep_two_generations_at_most():
+    memo = op10.Memo(3, len)
+    for k in range(40):
+        assert memo[f"{k % 5}" * (k % 5)] == k % 5
+        assert len(memo) <= 3 and len(memo.older) <= 3
+    assert memo["x" * 100] == 100 and "x" * 100 not in memo
+
+
 @pytest.mark.parametrize("window", [7, 1 << 14])
 def test_bpe_of_long_pieces(monkeypatch, window):
     """Pieces of many windows, with steps back across their edges."""

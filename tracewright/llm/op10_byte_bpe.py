@@ -22,7 +22,7 @@ import base64
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -36,8 +36,8 @@ from .common import table
 from .text_arrays import released
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Chunks and pieces that a task remembers at most, and characters of each.
-CACHED_CHUNKS = 1 << 16
+#: Chunks and pieces that a task remembers, twice as many at most, and characters of each.
+CACHED_CHUNKS, CACHED_PIECES = 1 << 17, 1 << 15
 CACHED_LENGTH = 32
 #: Pairs whose compatibility is remembered at most, and bytes of a piece that are matched at a time.
 CACHED_PAIRS, WINDOW = 1 << 18, 1 << 14
@@ -106,7 +106,7 @@ class BytePairs:
         self.longest = max(map(len, ranks))
         self.merged: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         for rank, token in sorted(self.token.items()):
             self._learn(rank, token)
         self.fits.clear()
@@ -127,7 +127,8 @@ class BytePairs:
         Undoes the later of the two merges again and again, and looks at the pair that then meets at the seam: were it
         to merge before the merge just undone, the seam would have closed.
         """
-        known = self.fits.get((left, right))
+        pair = left << 32 | right
+        known = self.fits.get(pair)
         if known is not None:
             return known
         a, b, before = left, right, 1 << 62
@@ -157,7 +158,7 @@ class BytePairs:
                     a = inner
         if len(self.fits) >= CACHED_PAIRS:
             self.fits.clear()
-        self.fits[left, right] = ok
+        self.fits[pair] = ok
         return ok
 
     def pieces(self, text: str) -> list[str]:
@@ -213,37 +214,34 @@ class BytePairs:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-class Pieces(dict):
-    """The ids of a piece, as remembered in one task."""
+class Memo(dict):
+    """Values by text, as remembered in one task: a full generation is kept until the next one is full."""
 
-    def __init__(self, codec: BytePairs):
+    def __init__(self, most: int, made: Callable[[str], object]):
         super().__init__()
-        self.codec = codec
-
-    def __missing__(self, piece: str) -> Sequence[int]:
-        ids = self.codec.encode_piece(piece.encode())
-        if len(piece) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
+        self.most, self.made, self.older = most, made, {}
+
+    def __missing__(self, text: str):
+        value = self.older.get(text)
+        if value is None:
+            value = self.made(text)
+        if len(text) <= CACHED_LENGTH:
+            if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[text] = value
+        return value
 
 
-class Chunks(dict):
-    """Per chunk the decimal ids, each with a comma after it, and the bytes they decode to, as remembered in one task."""
+def chunk_memo(codec: BytePairs) -> Memo:
+    """Per chunk the decimal ids, each with a comma after it, and the bytes they decode to."""
+    pieces = Memo(CACHED_PIECES, lambda piece: codec.encode_piece(piece.encode()))
 
-    def __init__(self, codec: BytePairs):
-        super().__init__()
-        self.codec, self.pieces = codec, Pieces(codec)
+    def made(chunk: str) -> tuple[str, bytes]:
+        ids = [i for piece in codec.pieces(chunk) for i in pieces[piece]]
+        return "".join([f"{i}," for i in ids]), codec.decode(ids)
 
-    def __missing__(self, chunk: str) -> tuple[str, bytes]:
-        ids = [i for piece in self.codec.pieces(chunk) for i in self.pieces[piece]]
-        value = ("".join([f"{i}," for i in ids]), self.codec.decode(ids))
-        if len(chunk) <= CACHED_LENGTH:
-            if len(self) >= CACHED_CHUNKS:
-                self.clear()
-            self[chunk] = value
-        return value
+    return Memo(CACHED_CHUNKS, made)
 
 
 @lru_cache(1)
@@ -255,7 +253,7 @@ def digests(path: str, pattern: str):
     """For mapInArrow over (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = Chunks(_codec(path, pattern)).__getitem__
+        chunk = chunk_memo(_codec(path, pattern)).__getitem__
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
