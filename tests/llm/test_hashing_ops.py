@@ -9,6 +9,7 @@ import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -94,6 +95,15 @@ def test_shards_bear_nulls_repeats_extra_columns_and_no_rows(spark, empty_dir):
     assert op1.op1_hilbert_shards(spark, empty_dir).count() == 0
 
 
+def test_shards_match_their_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    found = con.execute(op1.SQL)
+    names = [d[0] for d in found.description]
+    rows = op1.op1_hilbert_shards(spark, sf_dir)
+    assert sorted(tuple(r[n] for n in names) for r in rows.collect()) == sorted(found.fetchall())
+
+
 # ---- line rules
 
 

@@ -38,26 +38,30 @@ def name_cell(col: Column, bits: int = BITS) -> Column:
     return F.coalesce(F.pmod(F.crc32(col.cast("binary")), F.lit(1 << bits)), F.lit(0)).cast("int")
 
 
-def hilbert_steps(cells: list[str], bits: int) -> list[tuple[str, str]]:
-    """The transform from axes to the transposed curve index (Skilling 2004), as assignments over integer columns."""
+def hilbert_steps(cells: list[str], bits: int, xor: str = "({} ^ {})") -> list[tuple[str, str]]:
+    """The transform from axes to the transposed curve index (Skilling 2004), as assignments over integer columns.
+
+    ``xor``: how the SQL dialect writes it.
+    """
     n, steps = len(cells), []
+    of = xor.format
     x = list(cells)
     q = 1 << (bits - 1)
     while q > 1:
         p = q - 1
         for i in range(n):
             if i == 0:
-                steps.append((x[0], f"CASE WHEN {x[0]} & {q} <> 0 THEN {x[0]} ^ {p} ELSE {x[0]} END"))
+                steps.append((x[0], f"CASE WHEN {x[0]} & {q} <> 0 THEN {of(x[0], p)} ELSE {x[0]} END"))
             else:
-                swap = f"(({x[0]} ^ {x[i]}) & {p})"
+                swap = f"({of(x[0], x[i])} & {p})"
                 steps.append(("_t", f"CASE WHEN {x[i]} & {q} <> 0 THEN 0 ELSE {swap} END"))
-                steps.append((x[0], f"CASE WHEN {x[i]} & {q} <> 0 THEN {x[0]} ^ {p} ELSE {x[0]} ^ _t END"))
-                steps.append((x[i], f"{x[i]} ^ _t"))
+                steps.append((x[0], f"CASE WHEN {x[i]} & {q} <> 0 THEN {of(x[0], p)} ELSE {of(x[0], '_t')} END"))
+                steps.append((x[i], of(x[i], "_t")))
         q >>= 1
     for i in range(1, n):
-        steps.append((x[i], f"{x[i]} ^ {x[i - 1]}"))
-    steps.append(("_t", " ^ ".join(f"(CASE WHEN {x[n - 1]} & {1 << b} <> 0 THEN {(1 << b) - 1} ELSE 0 END)" for b in range(1, bits))))
-    steps += [(c, f"{c} ^ _t") for c in x]
+        steps.append((x[i], of(x[i], x[i - 1])))
+    steps.append(("_t", reduce(of, (f"(CASE WHEN {x[n - 1]} & {1 << b} <> 0 THEN {(1 << b) - 1} ELSE 0 END)" for b in range(1, bits)))))
+    steps += [(c, of(c, "_t")) for c in x]
     return steps
 
 
@@ -124,3 +128,50 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = [(F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
     rows = hilbert_shards(table(spark, sf_dir, "documents"), document_dimensions(), "doc_id", keep=keep)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve", "lang_cell", "source_cell", "length_cell")
+
+
+def _crc_table() -> list[int]:
+    """CRC-32's table, by its rule."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+def _oracle() -> str:
+    """The query in DuckDB's SQL, where CRC-32 and the curve are written out."""
+
+    def crc(text: str) -> str:
+        bytes_ = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+        step = "xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+        return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: {step}), 4294967295)"
+
+    cells = ["lang_cell", "source_cell", "length_cell"]
+    work = [f"_h{i}" for i in range(len(cells))]
+    stage, ctes = "celled", []
+    for k, (name, expression) in enumerate(hilbert_steps(work, BITS, "xor({}, {})")):
+        kept = [w for w in (*work, "_t") if w != name and not (w == "_t" and k == 0)]
+        ctes.append(f"s{k} AS (SELECT doc_id, {', '.join(kept)}, {expression} AS {name} FROM {stage})")
+        stage = f"s{k}"
+    n = len(work)
+    index = " + ".join(f"(CAST(({w} >> {b}) & 1 AS BIGINT) << {b * n + n - 1 - i})" for b in range(BITS) for i, w in enumerate(work))
+    return f"""
+WITH crc_table AS (SELECT {_crc_table()} AS t),
+docs AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size, {crc("coalesce(text, '')")} AS text_crc32, lang, source, n_chars FROM documents, crc_table),
+names AS (SELECT name, CAST({crc("name")} % {1 << BITS} AS INT) AS cell FROM (SELECT lang AS name FROM documents UNION SELECT source FROM documents), crc_table WHERE name IS NOT NULL),
+cells AS (SELECT d.doc_id, coalesce(a.cell, 0) AS lang_cell, coalesce(b.cell, 0) AS source_cell, CAST(least(floor(2 * log2(greatest(coalesce(n_chars, 0), 0) + 1)), {(1 << BITS) - 1}) AS INT) AS length_cell
+  FROM docs d LEFT JOIN names a ON a.name = d.lang LEFT JOIN names b ON b.name = d.source),
+celled AS (SELECT doc_id, {', '.join(f'{c} AS {w}' for c, w in zip(cells, work, strict=True))} FROM cells),
+{', '.join(ctes)},
+curves AS (SELECT doc_id, {index} AS curve FROM {stage}),
+ranked AS (SELECT doc_id, curve, row_number() OVER (ORDER BY curve, doc_id) - 1 AS rank, count(*) OVER () AS n FROM curves),
+sharded AS (SELECT *, (rank * {SHARDS}) // n AS shard FROM ranked)
+SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, CAST(d.text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(s.shard AS INT) AS shard, CAST(s.rank - (s.shard * s.n + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard,
+  s.curve, c.lang_cell, c.source_cell, c.length_cell
+FROM docs d JOIN sharded s USING (doc_id) JOIN cells c USING (doc_id)
+"""
+
+
+SQL = _oracle()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .op1_hilbert_shards import SQL as OP1_SQL
 from .op1_hilbert_shards import op1_hilbert_shards
 from .op2_ngram_jaccard import op2_ngram_jaccard
 from .op3_line_crf import op3_line_crf
@@ -27,4 +28,4 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_url_lists": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_hilbert_shards": OP1_SQL, "op9_url_lists": OP9_SQL}
