@@ -10,9 +10,20 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch where the session has Spark's own 10,000: whole texts travel in them, and every task holds
+#: several batches at a time on both sides.
+ROWS_OF_TEXT, SPARKS_ROWS = 1024, "10000"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for this session, unless it has a size of its own."""
+    if spark.conf.get(BATCH_ROWS, SPARKS_ROWS) == SPARKS_ROWS:
+        spark.conf.set(BATCH_ROWS, str(ROWS_OF_TEXT))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,6 +45,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     The shuffle files of the write go with it, as the table replaces them.
     """
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")

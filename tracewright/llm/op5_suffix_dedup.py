@@ -250,12 +250,11 @@ def _id_hash() -> Column:
 
 
 def _held(bloom, inside: bool):
-    """For mapInArrow: the rows whose last column the filter may hold, or those it surely doesn't."""
+    """A function of a hash Column: whether the filter may hold it, or surely doesn't. Only hashes go to Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yes = bloom.value.held(batch.column(batch.num_columns - 1).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(yes == inside))
+    @F.arrow_udf("boolean")
+    def run(hashes: pa.Array) -> pa.Array:
+        return pa.array(bloom.value.held(hashes.to_numpy(zero_copy_only=False).view(np.uint64)) == inside)
 
     return run
 
@@ -272,7 +271,7 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
     starts = written(starts, "mixed")
     dropped(sampled)
     bloom = spark.sparkContext.broadcast(bloom_of(starts.select(_id_hash().alias("h"))))
-    some = docs.withColumn("h", _id_hash()).mapInArrow(_held(bloom, True), "doc long, version long, text string, h long")
+    some = docs.where(_held(bloom, True)(_id_hash()))
     singles = some.join(starts, ["doc", "version"]).select("doc", "version", "text", "starts").mapInArrow(_single, ENTRIES)
     singles = written(singles, "singles")
     more = compared(singles, "strings", False)
@@ -306,22 +305,24 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_runs(docs: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, text, runs, *keep) without and with repeated strings; only the latter are shuffled."""
+    """Documents (doc_id, text, *keep) without repeated strings, and (doc_id, text, runs, *keep) that may have some; only the
+    latter are shuffled."""
     spark = docs.sparkSession
     own = identified(docs, keep)
     runs = repeated_strings(own).groupBy("doc", "version").agg(F.collect_list(F.expr("shiftleft(cast(at AS long), 32) | cast(n AS long)")).alias("runs"))
     runs = written(runs, "runs")
     bloom = spark.sparkContext.broadcast(bloom_of(runs.select(_id_hash().alias("h"))))
-    out = ["doc_id", "text", "runs", *(keep or [])]
-    own = own.withColumn("h", _id_hash())
-    clean = own.mapInArrow(_held(bloom, False), own.schema).withColumn("runs", F.lit(None).cast("array<long>")).select(out)
-    hit = own.mapInArrow(_held(bloom, True), own.schema).join(runs, ["doc", "version"], "left").select(out)
+    out = ["doc_id", "text", *(keep or [])]
+    clean = own.where(_held(bloom, False)(_id_hash())).select(out)
+    hit = own.where(_held(bloom, True)(_id_hash())).join(runs, ["doc", "version"], "left").select("doc_id", "text", "runs", *(keep or []))
     return clean, hit
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
     clean, hit = with_runs(docs)
-    return clean.mapInArrow(_digests, SCHEMA).unionByName(hit.mapInArrow(_digests, SCHEMA))
+    text = F.coalesce("text", F.lit(""))
+    whole = clean.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(text, 256).alias("kept_sha256"))
+    return whole.unionByName(hit.mapInArrow(_digests, SCHEMA))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,9 +340,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remaining_texts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """(doc_id, text, n_removed, *keep) with the repeated bytes taken out."""
     clean, hit = with_runs(docs, keep)
-    rows = clean.unionByName(hit)
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[3:]]
-    return rows.mapInArrow(_texts, ", ".join(["doc_id long, text string, n_removed long", *fields]))
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in hit.schema.fields[3:]]
+    cut_texts = hit.mapInArrow(_texts, ", ".join(["doc_id long, text string, n_removed long", *fields]))
+    return clean.select("doc_id", "text", F.lit(0).cast("long").alias("n_removed"), *(keep or [])).unionByName(cut_texts)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
