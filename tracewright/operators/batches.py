@@ -11,9 +11,9 @@ def preflight(requests: DataFrame, known: DataFrame, key: str, valid: Column) ->
 
     Requests are counted per key first, so one key with many requests is one row in the join.
     """
-    counts = requests.groupBy(key).agg(F.count("*").alias("n"), F.bool_and(F.coalesce(valid, F.lit(False))).alias("_valid"))
-    there = known.select(key).distinct().withColumn("_known", F.lit(True))
-    status = F.when(F.col(key).isNull(), "missing_id").when(F.col("n") > 1, "duplicate").when(F.col("_known").isNull(), "unknown").when(~F.col("_valid"), "invalid").otherwise("ready")
+    counts = requests.groupBy(key).agg(F.count("*").alias("n"), F.bool_and(F.coalesce(valid, F.lit(False))).alias("tw_valid"))
+    there = known.select(key).distinct().withColumn("tw_known", F.lit(True))
+    status = F.when(F.col(key).isNull(), "missing_id").when(F.col("n") > 1, "duplicate").when(F.col("tw_known").isNull(), "unknown").when(~F.col("tw_valid"), "invalid").otherwise("ready")
     return counts.join(there, key, "left").select(key, "n", status.alias("status"))
 
 
@@ -24,14 +24,14 @@ def pending(targets: DataFrame, done: DataFrame, key: str) -> DataFrame:
 def until_target(rows: DataFrame, within: str, order: list[str], accepted: Column, target: int) -> DataFrame:
     """The rows of each group up to the one that reaches the target, with the running count."""
     frame = Window.partitionBy(within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    counted = rows.withColumn("_hit", accepted.cast("long")).withColumn("accepted_so_far", F.sum("_hit").over(frame))
-    return counted.where(F.col("accepted_so_far") - F.col("_hit") < target).drop("_hit")
+    counted = rows.withColumn("tw_hit", accepted.cast("long")).withColumn("accepted_so_far", F.sum("tw_hit").over(frame))
+    return counted.where(F.col("accepted_so_far") - F.col("tw_hit") < target).drop("tw_hit")
 
 
 def attempts(runs: DataFrame, slot: list[str], order: list[str], seconds: str) -> DataFrame:
     """Per slot the number of attempts, their cumulative time and the latest one."""
     last = F.struct(*order)
-    return runs.groupBy(*slot).agg(F.count("*").alias("attempts"), F.sum(seconds).alias("total"), F.max(last).alias("_last")).select(*slot, "attempts", "total", F.col(f"_last.{order[-1]}").alias("latest"))
+    return runs.groupBy(*slot).agg(F.count("*").alias("attempts"), F.sum(seconds).alias("total"), F.max(last).alias("tw_last")).select(*slot, "attempts", "total", F.col(f"tw_last.{order[-1]}").alias("latest"))
 
 
 def first_known(rows: DataFrame, key: Column, order: str, fields: list[str]) -> DataFrame:
@@ -42,18 +42,18 @@ def first_known(rows: DataFrame, key: Column, order: str, fields: list[str]) ->
 
 def differing_fields(local: DataFrame, remote: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, fields) of keys on both sides whose values differ."""
-    a = local.select(key, F.struct(*fields).alias("_l"))
-    b = remote.select(key, F.struct(*fields).alias("_r"))
-    names = F.array_compact(F.array(*(F.when(~F.col(f"_l.{f}").eqNullSafe(F.col(f"_r.{f}")), F.lit(f)) for f in fields)))
+    a = local.select(key, F.struct(*fields).alias("tw_l"))
+    b = remote.select(key, F.struct(*fields).alias("tw_r"))
+    names = F.array_compact(F.array(*(F.when(~F.col(f"tw_l.{f}").eqNullSafe(F.col(f"tw_r.{f}")), F.lit(f)) for f in fields)))
     return a.join(b, key).select(key, names.alias("fields")).where("size(fields) > 0")
 
 
 def one_sided(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, side) of keys that only one side has."""
-    a = left.select(key).distinct().withColumn("_a", F.lit(1))
-    b = right.select(key).distinct().withColumn("_b", F.lit(1))
+    a = left.select(key).distinct().withColumn("tw_a", F.lit(1))
+    b = right.select(key).distinct().withColumn("tw_b", F.lit(1))
     both = a.join(b, key, "full")
-    return both.where("_a IS NULL OR _b IS NULL").select(key, F.when(F.col("_a").isNull(), "right").otherwise("left").alias("side"))
+    return both.where("tw_a IS NULL OR tw_b IS NULL").select(key, F.when(F.col("tw_a").isNull(), "right").otherwise("left").alias("side"))
 
 
 def mentions(docs: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:

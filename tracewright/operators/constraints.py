@@ -75,8 +75,8 @@ def _failures(name: str, f: Field) -> list[tuple[str, Column]]:
 def row_issues(df: DataFrame, keys: list[str], fields: dict[str, Field]) -> DataFrame:
     """(keys, field, rule) of every value that breaks its declaration; all rules are tested in one pass."""
     issues = [F.when(bad, F.struct(F.lit(name).alias("field"), F.lit(rule).alias("rule"))) for name, f in fields.items() for rule, bad in _failures(name, f)]
-    found = df.select(*keys, F.explode(F.array_compact(F.array(*issues))).alias("_issue"))
-    return found.select(*keys, "_issue.field", "_issue.rule")
+    found = df.select(*keys, F.explode(F.array_compact(F.array(*issues))).alias("tw_issue"))
+    return found.select(*keys, "tw_issue.field", "tw_issue.rule")
 
 
 def first_of(checks: list[tuple[Column, str]]) -> Column:

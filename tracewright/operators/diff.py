@@ -14,21 +14,21 @@ def row_text(df: DataFrame, columns: list[str] | None = None) -> Column:
 def row_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change): inserted, updated or deleted, by a hash of the other fields."""
     rest = [c for c in before.columns if c not in keys]
-    a = before.select(*keys, F.sha2(row_text(before, rest), 256).alias("_a"))
-    b = after.select(*keys, F.sha2(row_text(after, rest), 256).alias("_b"))
+    a = before.select(*keys, F.sha2(row_text(before, rest), 256).alias("tw_a"))
+    b = after.select(*keys, F.sha2(row_text(after, rest), 256).alias("tw_b"))
     both = a.join(b, keys, "full")
-    change = F.when(F.col("_a").isNull(), "inserted").when(F.col("_b").isNull(), "deleted").when(F.col("_a") != F.col("_b"), "updated")
+    change = F.when(F.col("tw_a").isNull(), "inserted").when(F.col("tw_b").isNull(), "deleted").when(F.col("tw_a") != F.col("tw_b"), "updated")
     return both.withColumn("change", change).where("change IS NOT NULL").select(*keys, "change")
 
 
 def field_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change, changed_fields): as ``row_changes``, with the names of the fields that differ."""
     rest = [c for c in before.columns if c not in keys]
-    a = before.select(*keys, F.struct(*rest).alias("_a"))
-    b = after.select(*keys, F.struct(*rest).alias("_b"))
+    a = before.select(*keys, F.struct(*rest).alias("tw_a"))
+    b = after.select(*keys, F.struct(*rest).alias("tw_b"))
     both = a.join(b, keys, "full")
-    fields = F.array_compact(F.array(*(F.when(~F.col(f"_a.{c}").eqNullSafe(F.col(f"_b.{c}")), F.lit(c)) for c in rest)))
-    change = F.when(F.col("_a").isNull(), "inserted").when(F.col("_b").isNull(), "deleted").when(F.size(fields) > 0, "updated")
+    fields = F.array_compact(F.array(*(F.when(~F.col(f"tw_a.{c}").eqNullSafe(F.col(f"tw_b.{c}")), F.lit(c)) for c in rest)))
+    change = F.when(F.col("tw_a").isNull(), "inserted").when(F.col("tw_b").isNull(), "deleted").when(F.size(fields) > 0, "updated")
     both = both.withColumns({"change": change, "changed_fields": F.when(change == "updated", fields).otherwise(F.array().cast("array<string>"))})
     return both.where("change IS NOT NULL").select(*keys, "change", "changed_fields")
 
@@ -43,8 +43,8 @@ def keyless_changes(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def path_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """(path, change) of two lists (path, sha256): created, modified or deleted."""
-    both = before.select("path", F.col("sha256").alias("_a")).join(after.select("path", F.col("sha256").alias("_b")), "path", "full")
-    change = F.when(F.col("_a").isNull(), "created").when(F.col("_b").isNull(), "deleted").when(F.col("_a") != F.col("_b"), "modified")
+    both = before.select("path", F.col("sha256").alias("tw_a")).join(after.select("path", F.col("sha256").alias("tw_b")), "path", "full")
+    change = F.when(F.col("tw_a").isNull(), "created").when(F.col("tw_b").isNull(), "deleted").when(F.col("tw_a") != F.col("tw_b"), "modified")
     return both.select("path", change.alias("change")).where("change IS NOT NULL")
 
 

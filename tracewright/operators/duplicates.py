@@ -30,11 +30,11 @@ def ascii_form(text: Column) -> Column:
 
 def duplicate_classes(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, exact_id, number_id): the smallest key with the same normal form, and with the same form up to numbers."""
-    forms = df.select(key, normal_form(F.col(text)).alias("_form"))
-    hashed = forms.select(key, F.sha2("_form", 256).alias("_e"), F.sha2(F.regexp_replace("_form", r"\p{Nd}+", "#"), 256).alias("_n"))
-    exact = hashed.groupBy("_e").agg(F.min(key).alias("exact_id"), F.min("_n").alias("_n"))
-    numbers = exact.groupBy("_n").agg(F.min("exact_id").alias("number_id"))
-    return hashed.drop("_n").join(exact.join(numbers, "_n").drop("_n"), "_e").select(key, "exact_id", "number_id")
+    forms = df.select(key, normal_form(F.col(text)).alias("tw_form"))
+    hashed = forms.select(key, F.sha2("tw_form", 256).alias("tw_e"), F.sha2(F.regexp_replace("tw_form", r"\p{Nd}+", "#"), 256).alias("tw_n"))
+    exact = hashed.groupBy("tw_e").agg(F.min(key).alias("exact_id"), F.min("tw_n").alias("tw_n"))
+    numbers = exact.groupBy("tw_n").agg(F.min("exact_id").alias("number_id"))
+    return hashed.drop("tw_n").join(exact.join(numbers, "tw_n").drop("tw_n"), "tw_e").select(key, "exact_id", "number_id")
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:
@@ -54,6 +54,6 @@ def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column],
     prefix = known.withColumn("place", place).where(f"place <= n - ceil({min(JACCARD, CONTAINMENT)} * n) + 1").select(F.col("id").alias("s"), F.col("n").alias("s_n"), "gram")
     met = prefix.join(known.select("id", "n", "gram"), "gram").where("s <> id AND (n > s_n OR (n = s_n AND s < id))")
     pairs = met.select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")).distinct()
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("_x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("_y")), "b")
-    measured = joined.select("a", "b", F.size(F.array_intersect("_x", "_y")).cast("long").alias("shared"), F.size("_x").cast("long").alias("size_a"), F.size("_y").cast("long").alias("size_b"))
+    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("tw_x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("tw_y")), "b")
+    measured = joined.select("a", "b", F.size(F.array_intersect("tw_x", "tw_y")).cast("long").alias("shared"), F.size("tw_x").cast("long").alias("size_a"), F.size("tw_y").cast("long").alias("size_b"))
     return measured.where(f"shared >= {JACCARD} * (size_a + size_b - shared) OR shared >= {CONTAINMENT} * least(size_a, size_b)")

@@ -19,7 +19,7 @@ WRITE_TURNS = 5
 def first_definitions(edges: DataFrame, order: str) -> DataFrame:
     """One row for each (from_tool, to_tool), the one defined first; no edge leads to its own tool."""
     place = F.row_number().over(Window.partitionBy("from_tool", "to_tool").orderBy(order))
-    return edges.where("from_tool <> to_tool").withColumn("_place", place).where("_place = 1").drop("_place")
+    return edges.where("from_tool <> to_tool").withColumn("tw_place", place).where("tw_place = 1").drop("tw_place")
 
 
 def roots(tools: DataFrame, edges: DataFrame, weight: int) -> DataFrame:
@@ -102,11 +102,11 @@ def sampled_walks(spark: SparkSession, edges: DataFrame, n: int, seed: int, leas
 
 def chain_scores(chains: DataFrame, edges: DataFrame, key: str, alpha: float = 1.0) -> DataFrame:
     """(key, n_edges, score, eligibility): summed weights of adjacent pairs, and their mean plus alpha * ln(length)."""
-    pairs = chains.select(key, F.size("chain").alias("_n"), F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("chain") - 1, F.lit(1))), lambda i: F.struct(F.try_element_at("chain", i).alias("from_tool"), F.try_element_at("chain", i + 1).alias("to_tool")))).alias("_at", "_pair"))
-    weighed = pairs.select(key, "_n", "_pair.from_tool", "_pair.to_tool").join(edges.select("from_tool", "to_tool", "weight"), ["from_tool", "to_tool"], "left")
-    sums = weighed.groupBy(key).agg(F.max("_n").alias("_n"), F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
-    n = F.greatest(F.col("_n") - 1, F.lit(0))
-    return sums.select(key, n.cast("long").alias("n_edges"), "score", F.when(n > 0, F.col("score") / n + alpha * F.log(F.col("_n").cast("double"))).otherwise(F.lit(0.0)).alias("eligibility"))
+    pairs = chains.select(key, F.size("chain").alias("tw_n"), F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("chain") - 1, F.lit(1))), lambda i: F.struct(F.try_element_at("chain", i).alias("from_tool"), F.try_element_at("chain", i + 1).alias("to_tool")))).alias("tw_at", "tw_pair"))
+    weighed = pairs.select(key, "tw_n", "tw_pair.from_tool", "tw_pair.to_tool").join(edges.select("from_tool", "to_tool", "weight"), ["from_tool", "to_tool"], "left")
+    sums = weighed.groupBy(key).agg(F.max("tw_n").alias("tw_n"), F.coalesce(F.sum("weight"), F.lit(0)).cast("long").alias("score"))
+    n = F.greatest(F.col("tw_n") - 1, F.lit(0))
+    return sums.select(key, n.cast("long").alias("n_edges"), "score", F.when(n > 0, F.col("score") / n + alpha * F.log(F.col("tw_n").cast("double"))).otherwise(F.lit(0.0)).alias("eligibility"))
 
 
 def diverse_selection(chains: DataFrame, key: str, score: str, count: int, penalty: float) -> DataFrame:
@@ -117,16 +117,16 @@ def diverse_selection(chains: DataFrame, key: str, score: str, count: int, penal
     ``WRITE_TURNS`` turns the table is written to the shared folder. The driver holds the chosen chains alone.
     """
     tools = F.array_distinct("chain")
-    left = written(chains.select(F.col(key).alias("_key"), "chain", tools.alias("_tools"), F.col(score).cast("double").alias("_score"), F.lit(0.0).alias("_worst")), "chains")
+    left = written(chains.select(F.col(key).alias("tw_key"), "chain", tools.alias("tw_tools"), F.col(score).cast("double").alias("tw_score"), F.lit(0.0).alias("tw_worst")), "chains")
     out: list[tuple] = []
     while len(out) < count:
-        gain = F.col("_score") - penalty * F.col("_worst")
-        best = left.withColumn("_gain", gain).orderBy(F.desc("_gain"), F.desc("_score"), F.size("chain").desc(), F.desc("chain"), "_key").limit(1).collect()
+        gain = F.col("tw_score") - penalty * F.col("tw_worst")
+        best = left.withColumn("tw_gain", gain).orderBy(F.desc("tw_gain"), F.desc("tw_score"), F.size("chain").desc(), F.desc("chain"), "tw_key").limit(1).collect()
         if not best:
             break
-        out.append((best[0]["_key"], len(out) + 1, best[0]["_gain"]))
-        chosen = F.array(*map(F.lit, best[0]["_tools"])).cast("array<string>")
-        left = left.where(F.col("_key") != F.lit(best[0]["_key"])).withColumn("_worst", F.greatest("_worst", overlap(F.col("_tools"), chosen)))
+        out.append((best[0]["tw_key"], len(out) + 1, best[0]["tw_gain"]))
+        chosen = F.array(*map(F.lit, best[0]["tw_tools"])).cast("array<string>")
+        left = left.where(F.col("tw_key") != F.lit(best[0]["tw_key"])).withColumn("tw_worst", F.greatest("tw_worst", overlap(F.col("tw_tools"), chosen)))
         if len(out) % WRITE_TURNS == 0 and len(out) < count:
             left = written(left, "chains")
     kind = dict(chains.dtypes)[key]

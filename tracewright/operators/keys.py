@@ -21,13 +21,13 @@ def reference_counts(source: DataFrame, fields: list[str], target: DataFrame, ke
 
     Counts are per source row: a target key that occurs twice doesn't count twice.
     """
-    per_key = source.groupBy(*fields).agg(F.count("*").alias("_n"))
-    there = target.select(*(F.col(k).alias(f) for k, f in zip(keys, fields, strict=True))).distinct().withColumn("_met", F.lit(True))
+    per_key = source.groupBy(*fields).agg(F.count("*").alias("tw_n"))
+    there = target.select(*(F.col(k).alias(f) for k, f in zip(keys, fields, strict=True))).distinct().withColumn("tw_met", F.lit(True))
     nulls = sum((F.col(f).isNull().cast("int") for f in fields), F.lit(0))
-    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0))
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("tw_n"))), F.lit(0))
     return per_key.join(there, fields, "left").agg(
-        total((nulls == 0) & F.col("_met")).alias("matched"),
-        total((nulls == 0) & F.col("_met").isNull()).alias("missing"),
+        total((nulls == 0) & F.col("tw_met")).alias("matched"),
+        total((nulls == 0) & F.col("tw_met").isNull()).alias("missing"),
         total((nulls > 0) & (nulls < len(fields))).alias("partly_null"),
         total(nulls == len(fields)).alias("all_null"),
     )
@@ -41,7 +41,7 @@ def missing_references(source: DataFrame, fields: list[str], target: DataFrame,
 
 def key_report(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
     """One row: rows, distinct whole keys, rows with a null in the key, whether the key is unique."""
-    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("tw_n"))
     whole = _all_set(keys)
-    sums = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.count_if(whole).alias("distinct_keys"), F.coalesce(F.sum(F.when(~whole, F.col("_n"))), F.lit(0)).alias("null_keys"))
+    sums = per_key.agg(F.coalesce(F.sum("tw_n"), F.lit(0)).alias("n_rows"), F.count_if(whole).alias("distinct_keys"), F.coalesce(F.sum(F.when(~whole, F.col("tw_n"))), F.lit(0)).alias("null_keys"))
     return sums.select(F.lit(label).alias("label"), "*", (F.col("n_rows") == F.col("distinct_keys")).alias("is_key"))

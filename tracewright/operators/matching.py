@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 def multiset_match(calls: DataFrame, records: DataFrame, on: list[str], call_order: str, record_order: str) -> DataFrame:
     """Every call takes the first record of the same values that no earlier call took; unmatched calls have a null."""
-    a = calls.withColumn("_turn", F.row_number().over(Window.partitionBy(*on).orderBy(call_order)))
-    b = records.select(*on, F.col(record_order).alias("matched"), F.row_number().over(Window.partitionBy(*on).orderBy(record_order)).alias("_turn"))
-    return a.join(b, [*on, "_turn"], "left").drop("_turn")
+    a = calls.withColumn("tw_turn", F.row_number().over(Window.partitionBy(*on).orderBy(call_order)))
+    b = records.select(*on, F.col(record_order).alias("matched"), F.row_number().over(Window.partitionBy(*on).orderBy(record_order)).alias("tw_turn"))
+    return a.join(b, [*on, "tw_turn"], "left").drop("tw_turn")
 
 
 def multiset_excess(part: DataFrame, whole: DataFrame) -> DataFrame:
     """Rows of ``part`` beyond those of ``whole``, with how many; empty if it is contained."""
     columns = part.columns
-    a = part.withColumn("_n", F.lit(1))
-    b = whole.select(columns).withColumn("_n", F.lit(-1))
-    return a.unionByName(b).groupBy(*columns).agg(F.sum("_n").alias("excess")).where("excess > 0")
+    a = part.withColumn("tw_n", F.lit(1))
+    b = whole.select(columns).withColumn("tw_n", F.lit(-1))
+    return a.unionByName(b).groupBy(*columns).agg(F.sum("tw_n").alias("excess")).where("excess > 0")
 
 
 def positional_join(left: DataFrame, right: DataFrame, within: str, left_order: str, right_order: str) -> DataFrame:
@@ -42,7 +42,7 @@ def set_equality_join(left: DataFrame, right: DataFrame, group: str, member: str
 def prefix_aliases(names: DataFrame, column: str, length: int) -> DataFrame:
     """(alias, name) where only one name starts with the alias, the first ``length`` characters."""
     grouped = names.select(F.col(column).alias("name")).distinct().groupBy(F.substring("name", 1, length).alias("alias"))
-    return grouped.agg(F.count("*").alias("_n"), F.min("name").alias("name")).where("_n = 1").drop("_n")
+    return grouped.agg(F.count("*").alias("tw_n"), F.min("name").alias("name")).where("tw_n = 1").drop("tw_n")
 
 
 def most_specific_rule(df: DataFrame, column: str, rules: list[tuple[str, str]]) -> Column:

@@ -49,5 +49,5 @@ def within_budget(df: DataFrame, within: str, order: list[str], limit: int) -> D
 def running_distinct(df: DataFrame, within: str, value: str, order: list[str]) -> DataFrame:
     """Adds how many distinct values the group has shown up to each row: a running sum over first occurrences."""
     seen = F.row_number().over(Window.partitionBy(within, value).orderBy(*order))
-    df = df.withColumn("_new", (F.col(value).isNotNull() & (seen == 1)).cast("long"))
-    return df.withColumn("distinct_so_far", F.sum("_new").over(Window.partitionBy(within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    df = df.withColumn("tw_new", (F.col(value).isNotNull() & (seen == 1)).cast("long"))
+    return df.withColumn("distinct_so_far", F.sum("tw_new").over(Window.partitionBy(within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).drop("tw_new")

@@ -35,8 +35,8 @@ def get(df: DataFrame, key: dict, keys: list[str]) -> DataFrame:
     if sorted(key) != sorted(keys):
         raise ValueError(f"the key is ({', '.join(keys)})")
     found = df.where(matches(df, key)).limit(2)
-    alone = found.agg(F.count("*").alias("_n")).select(F.when(F.col("_n") > 1, F.raise_error(F.lit("the key is not unique"))).otherwise(F.lit(True)).alias("_alone"))
-    return found.crossJoin(F.broadcast(alone)).where("coalesce(_alone, true)").drop("_alone")  # two rows at most, and one
+    alone = found.agg(F.count("*").alias("tw_n")).select(F.when(F.col("tw_n") > 1, F.raise_error(F.lit("the key is not unique"))).otherwise(F.lit(True)).alias("tw_alone"))
+    return found.crossJoin(F.broadcast(alone)).where("coalesce(tw_alone, true)").drop("tw_alone")  # two rows at most, and one
 
 
 def create(df: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,6 +66,6 @@ def delete(df: DataFrame, key: dict, keys: list[str], referencing: list[tuple[Da
     rest = df.where(~matches(df, key))
     for other, fields in referencing:
         used = other.where(matches(other, {f: key[k] for f, k in zip(fields, keys, strict=True)})).limit(1)
-        guard = used.agg(F.count("*").alias("_n")).select(F.when(F.col("_n") > 0, F.raise_error(F.lit("the row is referenced"))).otherwise(F.lit(True)).alias("_free"))
-        rest = rest.crossJoin(F.broadcast(guard)).where("coalesce(_free, true)").drop("_free")  # one row
+        guard = used.agg(F.count("*").alias("tw_n")).select(F.when(F.col("tw_n") > 0, F.raise_error(F.lit("the row is referenced"))).otherwise(F.lit(True)).alias("tw_free"))
+        rest = rest.crossJoin(F.broadcast(guard)).where("coalesce(tw_free, true)").drop("tw_free")  # one row
     return rest

@@ -13,8 +13,8 @@ from .ranking import first_per_group
 def merged(parts: list[DataFrame], key: str) -> DataFrame:
     """All records of all parts; an id in two of them is an error when the result is read."""
     rows = reduce(DataFrame.unionByName, parts)
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    return rows.join(counts, key).where(F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("duplicate id "), F.col(key).cast("string")))).otherwise(F.lit(True))).drop("_n")
+    counts = rows.groupBy(key).agg(F.count("*").alias("tw_n"))
+    return rows.join(counts, key).where(F.when(F.col("tw_n") > 1, F.raise_error(F.concat(F.lit("duplicate id "), F.col(key).cast("string")))).otherwise(F.lit(True))).drop("tw_n")
 
 
 def replaced(base: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
@@ -30,12 +30,12 @@ def appended(base: DataFrame, found: DataFrame, key: str, order: list[Column]) -
 
 def split(df: DataFrame, flags: Column) -> tuple[DataFrame, DataFrame]:
     """Records without quality flags, and the others."""
-    marked = df.withColumn("_flags", flags)
-    return marked.where(F.size("_flags") == 0).drop("_flags"), marked.where(F.size("_flags") > 0).withColumnRenamed("_flags", "quality_flags")
+    marked = df.withColumn("tw_flags", flags)
+    return marked.where(F.size("tw_flags") == 0).drop("tw_flags"), marked.where(F.size("tw_flags") > 0).withColumnRenamed("tw_flags", "quality_flags")
 
 
 def preserved(before: DataFrame, after: DataFrame, key: str, digest: str) -> DataFrame:
     """(key, issue) of records of the earlier release that the later one removed or modified; additions are allowed."""
-    both = before.select(key, F.col(digest).alias("_a")).join(after.select(key, F.col(digest).alias("_b"), F.lit(True).alias("_there")), key, "left")
-    issue = F.when(F.col("_there").isNull(), "removed").when(~F.col("_a").eqNullSafe(F.col("_b")), "modified")
+    both = before.select(key, F.col(digest).alias("tw_a")).join(after.select(key, F.col(digest).alias("tw_b"), F.lit(True).alias("tw_there")), key, "left")
+    issue = F.when(F.col("tw_there").isNull(), "removed").when(~F.col("tw_a").eqNullSafe(F.col("tw_b")), "modified")
     return both.select(key, issue.alias("issue")).where("issue IS NOT NULL")

@@ -39,9 +39,9 @@ def merged_intervals(found: DataFrame, key: str, start: str, end: str) -> DataFr
     """Overlapping or touching intervals of a key as one: (key, start, end)."""
     order = Window.partitionBy(key).orderBy(start, end)
     reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = found.withColumn("_new", (reach.isNull() | (F.col(start) > reach)).cast("int"))
-    islands = opened.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy(key, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+    opened = found.withColumn("tw_new", (reach.isNull() | (F.col(start) > reach)).cast("int"))
+    islands = opened.withColumn("tw_island", F.sum("tw_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return islands.groupBy(key, "tw_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("tw_island")
 
 
 def similar_pairs(names: DataFrame, key: str, text: str, n: int, least: float) -> DataFrame:
@@ -57,7 +57,7 @@ def similar_pairs(names: DataFrame, key: str, text: str, n: int, least: float) -
     prefix = grams.join(frequency.where("f > 1"), "gram").withColumn("place", place).where(f"place <= n - ceil({least} * n) + 1").select("id", "n", "gram")
     other = prefix.select(F.col("id").alias("b"), F.col("n").alias("b_n"), "gram")
     pairs = prefix.join(other, "gram").where(f"id < b AND least(n, b_n) >= {least} * greatest(n, b_n)").select(F.col("id").alias("a"), "b").distinct()
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("_x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("_y")), "b")
-    shared = F.size(F.array_intersect("_x", "_y")).cast("long")
-    measured = joined.select("a", "b", shared.alias("shared"), (F.size("_x") + F.size("_y") - shared).alias("united"))
+    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("tw_x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("tw_y")), "b")
+    shared = F.size(F.array_intersect("tw_x", "tw_y")).cast("long")
+    measured = joined.select("a", "b", shared.alias("shared"), (F.size("tw_x") + F.size("tw_y") - shared).alias("united"))
     return measured.where(F.col("shared") >= least * F.col("united"))

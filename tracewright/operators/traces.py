@@ -20,15 +20,15 @@ def conversation_flags(turns: DataFrame, conversation: str = "conv_id", order: s
     """Per conversation: gapless turns from 0, known roles only, an assistant message, the last role, all in one pass."""
     grouped = turns.groupBy(conversation).agg(
         F.count("*").alias("n"),
-        F.count_distinct(order).alias("_distinct"),
-        F.min(order).alias("_first"),
-        F.max(order).alias("_last"),
+        F.count_distinct(order).alias("tw_distinct"),
+        F.min(order).alias("tw_first"),
+        F.max(order).alias("tw_last"),
         F.count_if(~F.col("role").isin(*ROLES) | F.col("role").isNull()).alias("unknown_roles"),
         F.count_if(F.col("role") == "assistant").alias("n_assistant"),
-        F.max(F.struct(order, "role")).alias("_end"),
+        F.max(F.struct(order, "role")).alias("tw_end"),
     )
-    gapless = (F.col("_first") == 0) & (F.col("_last") == F.col("n") - 1) & (F.col("_distinct") == F.col("n"))
-    return grouped.select(conversation, "n", gapless.alias("gapless"), "unknown_roles", "n_assistant", F.col("_end.role").alias("last_role"))
+    gapless = (F.col("tw_first") == 0) & (F.col("tw_last") == F.col("n") - 1) & (F.col("tw_distinct") == F.col("n"))
+    return grouped.select(conversation, "n", gapless.alias("gapless"), "unknown_roles", "n_assistant", F.col("tw_end.role").alias("last_role"))
 
 
 def call_issues(messages: DataFrame, conversation: str) -> DataFrame:
