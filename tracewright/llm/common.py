@@ -39,8 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation.
+def written_by(df: DataFrame, label: str, *partition_by: str) -> str:
+    """Writes ``df`` as Parquet to the shared folder, in folders by the given columns; returns the path.
 
     The shuffle files of the write go with it, as the table replaces them.
     """
@@ -50,10 +50,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: lineage ends there, and a lost executor costs no recomputation."""
+    return df.sparkSession.read.schema(df.schema).parquet(written_by(df, label))
 
 
 def dropped(*frames: DataFrame) -> None:

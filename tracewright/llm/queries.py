@@ -14,6 +14,11 @@ from .op8_license_scan import op8_license_scan
 from .op9_url_lists import SQL as OP9_SQL
 from .op9_url_lists import op9_url_lists
 from .op10_byte_bpe import op10_byte_bpe
+from .op11_prefix_trie import SQL as OP11_SQL
+from .op11_prefix_trie import op11_prefix_trie
+from .op12_pieces import op12_pieces
+from .op13_merkle_manifest import SQL as OP13_SQL
+from .op13_merkle_manifest import op13_merkle_manifest
 
 QUERIES = {
     "op1_hilbert_shards": op1_hilbert_shards,
@@ -26,6 +31,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_url_lists": op9_url_lists,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_pieces": op12_pieces,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_hilbert_shards": OP1_SQL, "op9_url_lists": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_hilbert_shards": OP1_SQL, "op9_url_lists": OP9_SQL, "op11_prefix_trie": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
