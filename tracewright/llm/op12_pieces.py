@@ -5,8 +5,8 @@ marker after another character (checked when the model is loaded), no merge cros
 are segmented alike wherever they stand. Each distinct word of the corpus is segmented once:
 
 1. Every unit of documents (an input partition, cut each ``UNIT_BYTES`` of text) gives its distinct words.
-2. (word, unit) rows meet by word; the word is segmented, and its ids go back to every unit that asked. A word has one
-   row a unit, so frequent words are no hot keys, and nothing is broadcast.
+2. (word, unit) rows meet by word, sorted; the word is segmented, and its ids go back to every unit that asked, packed
+   into blocks. A word has one row a unit, so frequent words are no hot keys, and nothing is broadcast.
 3. A unit's words are a folder of the shared table; the task that reads the unit's documents again loads it and joins
    ids back by position in the text.
 
@@ -53,6 +53,8 @@ MARK = "▁"
 UNIT_BYTES = 48 << 20
 #: Words in an Arrow batch of the asking tasks, and documents whose words are joined at a time.
 BATCH, ROWS = 1 << 15, 256
+#: Rows (word, unit) that a segmenting task turns into blocks at a time.
+HELD = 1 << 18
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, n_missed long"
 
 
@@ -75,13 +77,17 @@ class Pieces:
         """The model adds the opening marker itself, but to nothing it adds none."""
         return [ids or [self.mark] for ids in self.model.encode(words, num_threads=1)]
 
-    def entries(self, words: list[str]) -> tuple[pa.Array, pa.Array]:
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids."""
+        found = self.segmented(words)
+        return np.fromiter(map(len, found), np.int32, len(found)), np.fromiter(chain.from_iterable(found), np.int32)
+
+    def shown(self, counts: np.ndarray, flat: np.ndarray) -> tuple[pa.Array, pa.Array]:
         """Per word its decimal ids, and the surface of the ids without the opening space; both joined."""
-        ids = self.segmented(words)
-        at = pa.array(np.concatenate([[0], np.cumsum(list(map(len, ids)))]), pa.int32())
-        flat = pa.array(np.fromiter(chain.from_iterable(ids), np.int32))
-        shown = pc.binary_join(pa.ListArray.from_arrays(at, self.surface.take(flat)), b"")
-        return pc.binary_join(pa.ListArray.from_arrays(at, self.decimal.take(flat)), " "), pc.binary_slice(shown, 1, 1 << 30).cast(pa.string())
+        at, flat = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat)
+        surface = pc.binary_join(pa.ListArray.from_arrays(at, self.surface.take(flat)), b"")
+        decimal = pc.binary_join(pa.ListArray.from_arrays(at, self.decimal.take(flat)), " ")
+        return decimal.cast(pa.large_string()), pc.binary_slice(surface, 1, 1 << 30).cast(pa.large_string())
 
 
 @lru_cache(1)
@@ -155,36 +161,72 @@ def asked(most: int):
     return run
 
 
+def packed(words: pa.Array, counts: np.ndarray, flat: np.ndarray, units: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """(unit, bytes unpacked, block): the words of each unit with their ids, as lengths, counts, ids and text."""
+    order = np.argsort(units, kind="stable")
+    words, units, ends = words.take(pa.array(order)), units[order], np.concatenate([[0], np.cumsum(counts)])
+    counts = counts[order]
+    flat = flat[np.repeat(ends[order] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())] if len(order) else flat
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    offsets, text = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1], words.buffers()[2]
+    cuts = np.flatnonzero(np.diff(units, prepend=units[:1] - 1, append=units[-1:] + 1))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        parts = [np.int32([b - a]), np.diff(offsets[a : b + 1]), counts[a:b], flat[ends[a] : ends[b]]]
+        raw = b"".join([*(x.astype(np.int32).tobytes() for x in parts), bytes(text[offsets[a] : offsets[b]]) if text else b""])
+        yield int(units[a]), len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpacked(size: int, block: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of a block, their number of ids, and all ids."""
+    raw = pa.decompress(block, size, codec="zstd", asbytes=True)
+    n = int(np.frombuffer(raw, np.int32, 1)[0])
+    lengths, counts = np.frombuffer(raw, np.int32, n, 4), np.frombuffer(raw, np.int32, n, 4 + 4 * n)
+    flat = np.frombuffer(raw, np.int32, counts.sum(), 4 + 8 * n)
+    offsets = pa.py_buffer(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64))
+    return pa.LargeStringArray.from_buffers(n, offsets, pa.py_buffer(raw[4 + 8 * n + flat.nbytes :])), counts, flat
+
+
 def segment(path: str):
-    """For mapInArrow over (word, unit), equal words side by side: ids and surface, made once for each word."""
+    """For mapInArrow over (word, unit), equal words side by side: each word's ids, made once, in blocks by unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, last = loaded(path), None
+        codec, last, held = loaded(path), (None, None), []
+
+        def blocks() -> pa.RecordBatch:
+            words, counts, ids, units = (list(x) for x in zip(*held, strict=True))
+            rows = list(packed(pa.concat_arrays(words), np.concatenate(counts), np.concatenate(ids), np.concatenate(units)))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _BLOCK_TYPES, strict=True)], names=["unit", "size", "block"])
+
         for batch in batches:
             runs = pc.dictionary_encode(batch.column(0))
-            words = runs.dictionary.to_pylist()
-            kept = last is not None and words[0] == last[0]
-            ids, shown = codec.entries(words[kept:]) if len(words) > kept else (pa.array([], pa.string()),) * 2
+            words, at = runs.dictionary.to_pylist(), runs.indices.to_numpy()
+            kept = words[0] == last[0]
+            counts, flat = codec.ids(words[kept:])
             if kept:
-                ids, shown = pa.concat_arrays([last[1], ids]), pa.concat_arrays([last[2], shown])
-            # the copies free the batch that the slices come from
-            last = (words[-1], pa.array(ids[-1:].to_pylist(), pa.string()), pa.array(shown[-1:].to_pylist(), pa.string()))
-            shown = shown.take(runs.indices)
-            shown = pc.if_else(pc.equal(shown, batch.column(0)), None, shown)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), ids.take(runs.indices), shown], names=["unit", "word", "ids", "shown"])
+                counts, flat = np.concatenate([[len(last[1])], counts]).astype(np.int32), np.concatenate([last[1], flat])
+            last = (words[-1], flat[len(flat) - counts[-1] :].copy())
+            ends = np.cumsum(counts)
+            many = counts[at]
+            place = np.repeat(ends[at] - many - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
+            held.append((batch.column(0), many, flat[place], batch.column(1).to_numpy()))
+            if sum(len(h[0]) for h in held) >= HELD:
+                yield blocks()
+        if held:
+            yield blocks()
         released()
 
     return run
 
 
-def word_table(docs: DataFrame, path: str, unit_bytes: int = UNIT_BYTES) -> str:
-    """The folder of the table (unit, word, ids, shown), partitioned by unit; every distinct word is segmented once.
+_BLOCK_TYPES = (pa.int64(), pa.int64(), pa.binary())
 
-    ``shown`` is null where the surface is the word itself.
-    """
+
+def word_table(docs: DataFrame, path: str, unit_bytes: int = UNIT_BYTES) -> str:
+    """The folder of the table (unit, size, block), partitioned by unit; every distinct word is segmented once."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = docs.select("text").mapInArrow(asked(unit_bytes), "word string, unit long").repartition(n, "word").sortWithinPartitions("word")
-    made = words.mapInArrow(segment(path), "unit long, word string, ids string, shown string")
+    made = words.mapInArrow(segment(path), "unit long, size long, block binary")
     return written_by(made.repartition(n, "unit"), "pieces", "unit")
 
 
@@ -194,14 +236,12 @@ class UnitWords:
     def __init__(self, folder: str, unit: int, codec: Pieces):
         self.codec, self.missed = codec, 0
         store, root = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}")
-        where = f"{root}/unit={unit}"
-        found = None
+        where, blocks = f"{root}/unit={unit}", []
         if store.get_file_info(where).type != fs.FileType.NotFound:
-            found = ds.dataset(where, filesystem=store, format="parquet").to_table(columns=["word", "ids", "shown"])
-        if not found:
-            found = pa.table({k: pa.array([], pa.string()) for k in ("word", "ids", "shown")})
-        self.word, self.ids, shown = (found[k].combine_chunks().cast(pa.large_string()) for k in ("word", "ids", "shown"))
-        self.shown = pc.coalesce(shown, self.word)
+            for batch in ds.dataset(where, filesystem=store, format="parquet").to_batches(columns=["size", "block"]):
+                blocks += map(unpacked, batch.column(0).to_pylist(), batch.column(1).to_pylist())
+        self.word = pa.concat_arrays([b[0] for b in blocks]) if blocks else pa.array([], pa.large_string())
+        self.ids, self.shown = codec.shown(*(np.concatenate([np.int32([]), *(b[k] for b in blocks)]).astype(np.int32) for k in (1, 2)))
 
     def texts(self, lists: pa.LargeListArray) -> tuple[pa.Array, pa.Array]:
         """Per list of words the ids and the surfaces, joined by spaces."""
@@ -212,8 +252,7 @@ class UnitWords:
             lost = pc.is_null(at)
             rest = pc.dictionary_encode(words.filter(lost))
             self.missed += len(rest)
-            made = self.codec.entries(rest.dictionary.to_pylist())
-            ids, shown = (pa.concat_arrays([x, y.cast(pa.large_string())]) for x, y in ((ids, made[0]), (shown, made[1])))
+            ids, shown = (pa.concat_arrays(pair) for pair in zip((ids, shown), self.codec.shown(*self.codec.ids(rest.dictionary.to_pylist())), strict=True))
             place = at.to_numpy(zero_copy_only=False)
             place[np.isnan(place)] = len(self.word) + rest.indices.to_numpy()
             at = pa.array(place.astype(np.int64))
