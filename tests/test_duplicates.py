@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import unicodedata
 
-from tests.llm import fixtures as fx
+from tests import prose as fx
 from tracewright.operators import duplicates
 
 

@@ -6,10 +6,11 @@ Nulls rank last unless said otherwise, ties are broken by the named columns, emp
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.operators.assignment import first_distinct, maximum_matching
+
 
 def capped(tools: DataFrame, group: str, usage: str, order: str, most: int) -> DataFrame:
     """At most ``most`` tools a group: by usage if every one has a valid count, else in source order; adds ``place``."""
@@ -39,13 +40,12 @@ def seeded_order(key: Column, seed: int) -> Column:
 
 
 def seeded_distinct(df: DataFrame, keys: list[str], seed: int, taken: DataFrame, names: list[str], count: int) -> DataFrame:
-    """The first ``count`` rows in seeded order with names (each of ``names``) that no row before and no taken row has."""
-    place = seeded_order(F.concat_ws("|", *keys), seed)
-    rows = df.withColumn("tw_place", place)
+    """The first ``count`` rows of a pass in seeded order that skips rows with a name (one of ``names``) of a row taken
+    before; ``taken`` holds earlier ones. A row that is skipped bars none."""
+    rows = df.withColumn("tw_place", seeded_order(F.concat_ws("|", *keys), seed))
     for n in names:
         rows = rows.join(taken.select(n).distinct(), n, "left_anti")
-        rows = rows.withColumn("tw_first", F.row_number().over(Window.partitionBy(n).orderBy("tw_place", *keys))).where("tw_first = 1").drop("tw_first")
-    return rows.orderBy("tw_place", *keys).limit(count).drop("tw_place")
+    return first_distinct(rows, ["tw_place", *keys], names).orderBy("tw_place", *keys).limit(count).drop("tw_place")
 
 
 def archetype_order(archetypes: DataFrame, key: str) -> DataFrame:
@@ -63,31 +63,27 @@ def token_budget(requests: DataFrame, context: str, server: str, given: str, out
     return requests.withColumns({"input_budget": size - F.col(output) - margin, "accepted": F.coalesce(F.col(given) + F.col(output) + margin <= size, F.lit(False))})
 
 
+#: What ends a shortened name.
+ALIAS_MARKS = ("_[0-9a-f]{8}", "-[0-9a-f]{8}", "_-[0-9a-f]{7,8}")
+
+
 def shortened_match(names: DataFrame, case: str, limit: int = 64) -> DataFrame:
     """(case, matched): whether observed names are the expected ones, some shortened to ``limit`` characters.
 
-    ``names``: (case, side 'observed' or 'expected', name). A shortened name keeps a prefix of its own and ends in a
-    hexadecimal mark. Names left over on both sides match one to one if they can be paired; as the stems that begin one
-    name are prefixes of each other, giving the longest stems their names first finds a pairing if there is one. A
-    case's names are one tool set, a small group.
+    ``names``: (case, side 'observed' or 'expected', name). A shortened name keeps the beginning of its own and ends in a
+    mark. A case matches if the names left over on both sides can be paired one to one, by a maximum matching.
     """
-    mark = r"(_[0-9a-f]{8}|-[0-9a-f]{8}|_-[0-9a-f]{7,8})$"
-
-    def decide(group: pd.DataFrame) -> pd.DataFrame:
-        observed, expected = (set(group.loc[group["side"] == s, "name"]) for s in ("observed", "expected"))
-        stems = dict(zip(group["name"], group["stem"], strict=True))
-        free = {n for n in expected - observed if len(n) > limit}
-        matched = len(observed) == len(expected)
-        for alias in sorted(observed - expected, key=lambda n: (-len(stems[n] or ""), n)):
-            found = min((n for n in free if len(alias) == limit and stems[alias] and n.startswith(stems[alias])), default=None)
-            matched = matched and found is not None
-            free.discard(found)
-        return pd.DataFrame({"case": [group["case"].iloc[0]], "matched": [matched]})
-
-    stem = F.when(F.col("name").rlike(mark), F.regexp_replace("name", mark, ""))
-    rows = names.select(F.col(case).alias("case"), "side", "name", stem.alias("stem")).distinct()
-    kind = rows.schema["case"].dataType.simpleString()
-    return rows.groupBy("case").applyInPandas(decide, f"case {kind}, matched boolean").withColumnRenamed("case", case)
+    rows = names.select(F.col(case).alias("case"), "side", "name").distinct()
+    sides = rows.groupBy("case", "name").agg(F.count_if(F.col("side") == "observed").alias("o"), F.count_if(F.col("side") == "expected").alias("e"))
+    # the leftmost mark, as "_-" and digits hold the form "-" and digits
+    stem = F.regexp_extract("name", f"^(.*?)(?:{'|'.join(ALIAS_MARKS)})$", 1)
+    aliases = sides.where("o > 0 AND e = 0").select("case", F.col("name").alias("alias"), F.when((F.length("name") == limit) & F.col("name").rlike(f"(?:{'|'.join(ALIAS_MARKS)})$"), stem).alias("stem"))
+    long_ = sides.where(f"e > 0 AND o = 0 AND length(name) > {limit}").select("case", F.col("name").alias("full"))
+    edges = aliases.join(long_, "case").where(F.col("full").startswith(F.col("stem"))).select("case", "alias", "full")
+    paired = maximum_matching(edges, "case", "alias", "full").groupBy("case").agg(F.count("*").alias("paired"))
+    sizes = sides.groupBy("case").agg(F.sum("o").alias("observed"), F.sum("e").alias("expected"), F.count_if((F.col("o") > 0) & (F.col("e") == 0)).alias("open"))
+    out = sizes.join(paired, "case", "left").select("case", ((F.col("observed") == F.col("expected")) & (F.col("open") == F.coalesce("paired", F.lit(0)))).alias("matched"))
+    return out.withColumnRenamed("case", case)
 
 
 def toolset_groups(tools: DataFrame, owner: str, definition: str) -> DataFrame:

@@ -108,9 +108,13 @@ ORACLE_SQL = {
     "seed_scores": f"SELECT p_partkey, CASE WHEN p_partkey % 10 > 0 THEN CAST(({_SUM}) // 5 AS BIGINT) END AS floored, CASE WHEN p_partkey % 10 > 0 THEN CAST(round_even(({_SUM}) / 5, 0) AS BIGINT) END AS rounded FROM part",
     "priority_list": "SELECT p_partkey, p_size FROM part ORDER BY p_size DESC, p_partkey LIMIT 20",
     "seeded_themes": """
-        WITH t AS (SELECT p_partkey, p_name AS label, p_type || p_size AS url, md5('42:' || p_partkey) AS place FROM part), a AS (SELECT * FROM t WHERE url NOT IN (SELECT url FROM t WHERE p_partkey < 40)),
-        b AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY url ORDER BY place, p_partkey) = 1), c AS (SELECT * FROM b WHERE label NOT IN (SELECT label FROM t WHERE p_partkey < 40)),
-        d AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY label ORDER BY place, p_partkey) = 1) SELECT p_partkey, label, url FROM d ORDER BY place, p_partkey LIMIT 15""",
+        WITH RECURSIVE t AS (SELECT p_partkey, p_name AS label, p_type || p_size AS url, md5('42:' || p_partkey) AS place FROM part),
+        open AS (SELECT *, row_number() OVER (ORDER BY place, p_partkey) AS k FROM t WHERE url NOT IN (SELECT url FROM t WHERE p_partkey < 40) AND label NOT IN (SELECT label FROM t WHERE p_partkey < 40)),
+        pass AS (
+          SELECT 0::BIGINT AS k, []::VARCHAR[] AS labels, []::VARCHAR[] AS urls, []::BIGINT[] AS picked
+          UNION ALL SELECT o.k, CASE WHEN free THEN list_append(labels, label) ELSE labels END, CASE WHEN free THEN list_append(urls, url) ELSE urls END, CASE WHEN free THEN list_append(picked, p_partkey) ELSE picked END
+          FROM (SELECT o.*, p.labels, p.urls, p.picked, NOT list_contains(p.labels, o.label) AND NOT list_contains(p.urls, o.url) AS free FROM pass p JOIN open o ON o.k = p.k + 1 WHERE len(p.picked) < 15) o)
+        SELECT p_partkey, label, url FROM t WHERE list_contains((SELECT picked FROM pass ORDER BY k DESC LIMIT 1), p_partkey)""",
     "archetype_ranks": """
         SELECT p_name, CAST(count(*) FILTER (p_brand LIKE '%2') > 0 AS INT) AS grounded, CAST(count(DISTINCT p_brand) FILTER (p_brand LIKE '%2') AS INT) AS stateful, CAST(count(DISTINCT p_brand) AS INT) AS n_tools,
           CAST(count(DISTINCT p_type) AS INT) AS n_resources, CAST(max(p_size) % 5 + length(string_agg(p_brand, ',')) // 200 AS INT) AS breadth FROM part GROUP BY p_name""",
