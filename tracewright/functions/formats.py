@@ -49,11 +49,30 @@ def has_format(text: Column, name: str) -> Column:
     return text.rlike(_whole(patterns[name]))
 
 
+#: Hosts that serve repositories, the number of path parts from which a revision is named, and where it is.
+REVISIONS = {"raw.githubusercontent.com": (3, "third"), "github.com": (4, "by kind"), "codeload.github.com": (4, "last"), "api.github.com": (1, "query")}
+ARCHIVES = (".zip", ".tar.gz")
+
+
 def url_stability(url: Column) -> Column:
-    """Whether what a repository URL names can change: immutable with a commit of 40 hex digits in its path, a branch or
-    tag where one follows tree, blob or raw, else unpinned; null where there is no URL."""
-    path = F.regexp_extract(url, r"^https?://[^/?#]+([^?#]*)", 1)
-    return F.when(url.isNull() | ~url.rlike("^https?://"), None).when(path.rlike("/[0-9a-fA-F]{40}(/|$)"), "immutable").when(path.rlike("/(tree|blob|raw)/[^/]+"), "named").otherwise("unpinned")
+    """Whether what a repository URL names can change: ``immutable_repository`` if its revision is a commit of 40 hex digits,
+    ``mutable_repository`` if it is anything else; null where the host or the path names no revision."""
+    split = lambda k: F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)(?:\?([^#]*))?", k)
+    host, parts, query = F.lower(split(1)), F.filter(F.split(split(2), "/"), lambda p: p != ""), split(3)
+    last = F.element_at(parts, -1)
+    for suffix in ARCHIVES:
+        last = F.regexp_replace(last, suffix.replace(".", r"\.") + "$", "")
+    ref = F.filter(F.split(query, "&"), lambda q: q.startswith("ref=") & (q != "ref="))
+    found = {
+        "third": F.try_element_at(parts, F.lit(3)),
+        "by kind": F.when(F.try_element_at(parts, F.lit(3)).isin("raw", "blob"), F.try_element_at(parts, F.lit(4))).when(F.try_element_at(parts, F.lit(3)) == "archive", last),
+        "last": F.element_at(parts, -1),
+        "query": F.when(F.get(parts, 0) == "repos", F.url_decode(F.substring(F.get(ref, 0), 5, 1 << 20))),
+    }
+    revision = F.lit(None).cast("string")
+    for name, (least, where) in REVISIONS.items():
+        revision = F.when((host == name) & (F.size(parts) >= least), found[where]).otherwise(revision)
+    return F.when(revision.rlike("^[0-9a-fA-F]{40}$"), "immutable_repository").when(revision.isNotNull(), "mutable_repository")
 
 
 def safe_relative(path: Column) -> Column:

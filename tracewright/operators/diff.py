@@ -1,10 +1,15 @@
-"""Differences between versions of record sets and file lists, and digests of whole tables."""
+"""Differences between versions of record sets and file lists, and digests of whole tables.
+
+Null keys are equal to each other, and a row that is there with null fields is there.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.operators.nullsafe import sides
+
 
 def row_text(df: DataFrame, columns: list[str] | None = None) -> Column:
     """A row as one string, with nulls told from empty strings."""
@@ -14,21 +19,18 @@ def row_text(df: DataFrame, columns: list[str] | None = None) -> Column:
 def row_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change): inserted, updated or deleted, by a hash of the other fields."""
     rest = [c for c in before.columns if c not in keys]
-    a = before.select(*keys, F.sha2(row_text(before, rest), 256).alias("tw_a"))
-    b = after.select(*keys, F.sha2(row_text(after, rest), 256).alias("tw_b"))
-    both = a.join(b, keys, "full")
-    change = F.when(F.col("tw_a").isNull(), "inserted").when(F.col("tw_b").isNull(), "deleted").when(F.col("tw_a") != F.col("tw_b"), "updated")
+    hashed = lambda df: df.select(*keys, F.sha2(row_text(df, rest), 256).alias("tw_row"))
+    both = sides(hashed(before), hashed(after), keys)
+    change = F.when(~F.col("tw_in_a"), "inserted").when(~F.col("tw_in_b"), "deleted").when(F.col("tw_a.tw_row") != F.col("tw_b.tw_row"), "updated")
     return both.withColumn("change", change).where("change IS NOT NULL").select(*keys, "change")
 
 
 def field_changes(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, change, changed_fields): as ``row_changes``, with the names of the fields that differ."""
     rest = [c for c in before.columns if c not in keys]
-    a = before.select(*keys, F.struct(*rest).alias("tw_a"))
-    b = after.select(*keys, F.struct(*rest).alias("tw_b"))
-    both = a.join(b, keys, "full")
+    both = sides(before.select(*keys, *rest), after.select(*keys, *rest), keys)
     fields = F.array_compact(F.array(*(F.when(~F.col(f"tw_a.{c}").eqNullSafe(F.col(f"tw_b.{c}")), F.lit(c)) for c in rest)))
-    change = F.when(F.col("tw_a").isNull(), "inserted").when(F.col("tw_b").isNull(), "deleted").when(F.size(fields) > 0, "updated")
+    change = F.when(~F.col("tw_in_a"), "inserted").when(~F.col("tw_in_b"), "deleted").when(F.size(fields) > 0, "updated")
     both = both.withColumns({"change": change, "changed_fields": F.when(change == "updated", fields).otherwise(F.array().cast("array<string>"))})
     return both.where("change IS NOT NULL").select(*keys, "change", "changed_fields")
 
@@ -43,8 +45,8 @@ def keyless_changes(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def path_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """(path, change) of two lists (path, sha256): created, modified or deleted."""
-    both = before.select("path", F.col("sha256").alias("tw_a")).join(after.select("path", F.col("sha256").alias("tw_b")), "path", "full")
-    change = F.when(F.col("tw_a").isNull(), "created").when(F.col("tw_b").isNull(), "deleted").when(F.col("tw_a") != F.col("tw_b"), "modified")
+    both = sides(before.select("path", "sha256"), after.select("path", "sha256"), ["path"])
+    change = F.when(~F.col("tw_in_a"), "created").when(~F.col("tw_in_b"), "deleted").when(~F.col("tw_a.sha256").eqNullSafe(F.col("tw_b.sha256")), "modified")
     return both.select("path", change.alias("change")).where("change IS NOT NULL")
 
 

@@ -29,12 +29,13 @@ def ascii_form(text: Column) -> Column:
 
 
 def duplicate_classes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, exact_id, number_id): the smallest key with the same normal form, and with the same form up to numbers."""
+    """(key, exact_id, number_id): the smallest key with the same normal form, and with the same form up to numbers; both
+    null where the text is null."""
     forms = df.select(key, normal_form(F.col(text)).alias("tw_form"))
     hashed = forms.select(key, F.sha2("tw_form", 256).alias("tw_e"), F.sha2(F.regexp_replace("tw_form", r"\p{Nd}+", "#"), 256).alias("tw_n"))
     exact = hashed.groupBy("tw_e").agg(F.min(key).alias("exact_id"), F.min("tw_n").alias("tw_n"))
     numbers = exact.groupBy("tw_n").agg(F.min("exact_id").alias("number_id"))
-    return hashed.drop("tw_n").join(exact.join(numbers, "tw_n").drop("tw_n"), "tw_e").select(key, "exact_id", "number_id")
+    return hashed.drop("tw_n").join(exact.join(numbers, "tw_n").drop("tw_n"), "tw_e", "left").select(key, "exact_id", "number_id")
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:

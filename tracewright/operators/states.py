@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.operators.nullsafe import sides
+
 
 def numbered(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Adds ``ordinal``: the number of a row among those with equal keys."""
@@ -40,11 +42,10 @@ def ordered_digest(rows: DataFrame, group: list[str], order: str, digest: str, c
 
 
 def state_diff(before: DataFrame, after: DataFrame, asset: str, key: str, digest: str) -> DataFrame:
-    """(asset, key, change) of the rows that differ: inserted, updated or deleted."""
-    a = before.select(asset, key, F.col(digest).alias("tw_a"))
-    b = after.select(asset, key, F.col(digest).alias("tw_b"))
-    both = a.join(b, [asset, key], "full")
-    change = F.when(F.col("tw_a").isNull(), "inserted").when(F.col("tw_b").isNull(), "deleted").when(F.col("tw_a") != F.col("tw_b"), "updated")
+    """(asset, key, change) of the rows that differ: inserted, updated or deleted. Null assets, keys and digests are
+    values like others."""
+    both = sides(before.select(asset, key, digest), after.select(asset, key, digest), [asset, key])
+    change = F.when(~F.col("tw_in_a"), "inserted").when(~F.col("tw_in_b"), "deleted").when(~F.col(f"tw_a.{digest}").eqNullSafe(F.col(f"tw_b.{digest}")), "updated")
     return both.select(asset, key, change.alias("change")).where("change IS NOT NULL")
 
 
@@ -68,15 +69,16 @@ def replay_stability(runs: DataFrame, case: str, run: str, component: str, diges
 
 def first_difference(left: DataFrame, right: DataFrame, keys: list[str], order: str = "pointer") -> DataFrame:
     """Per key the least pointer at which two flattened values differ, and both values; none where they agree."""
-    both = left.select(*keys, order, F.col("value").alias("a")).join(right.select(*keys, order, F.col("value").alias("b")), [*keys, order], "full")
-    differ = both.where(~F.col("a").eqNullSafe(F.col("b")))
+    both = sides(left.select(*keys, order, "value"), right.select(*keys, order, "value"), [*keys, order]).withColumns({"a": F.col("tw_a.value"), "b": F.col("tw_b.value")})
+    differ = both.where(~F.col("a").eqNullSafe(F.col("b")) | (F.col("tw_in_a") != F.col("tw_in_b")))
     return differ.groupBy(*keys).agg(F.min(F.struct(order, "a", "b")).alias("first")).select(*keys, F.col(f"first.{order}").alias(order), "first.a", "first.b")
 
 
 def receipt_integrity(files: DataFrame, receipts: DataFrame) -> DataFrame:
-    """(path, status) of files and receipts: ok, mismatch, no receipt, or no file. Both have (path, sha256)."""
-    both = files.select("path", F.col("sha256").alias("a")).join(receipts.select("path", F.col("sha256").alias("b")), "path", "full")
-    status = F.when(F.col("b").isNull(), "no receipt").when(F.col("a").isNull(), "no file").when(F.col("a") == F.col("b"), "ok").otherwise("mismatch")
+    """(path, status) of files and receipts: ok, mismatch, no receipt, or no file. Both have (path, sha256); a null digest
+    proves nothing, so it is a mismatch."""
+    both = sides(files.select("path", "sha256"), receipts.select("path", "sha256"), ["path"])
+    status = F.when(~F.col("tw_in_b"), "no receipt").when(~F.col("tw_in_a"), "no file").when(F.col("tw_a.sha256") == F.col("tw_b.sha256"), "ok").otherwise("mismatch")
     return both.select("path", status.alias("status"))
 
 
@@ -90,8 +92,8 @@ def union_by_priority(frames: list[DataFrame], keys: list[str]) -> DataFrame:
 
 def presence_audit(selected: DataFrame, index: DataFrame, key: str) -> DataFrame:
     """(key, state): selected symbols that the index has or lacks, and all of the index that were not selected."""
-    both = selected.select(key).distinct().withColumn("s", F.lit(True)).join(index.select(key).distinct().withColumn("i", F.lit(True)), key, "full")
-    return both.select(key, F.when(F.col("i").isNull(), "missing").when(F.col("s").isNull(), "unselected").otherwise("present").alias("state"))
+    both = sides(selected.select(key).distinct(), index.select(key).distinct(), [key])
+    return both.select(key, F.when(~F.col("tw_in_b"), "missing").when(~F.col("tw_in_a"), "unselected").otherwise("present").alias("state"))
 
 
 def evidence_subset(reviews: DataFrame, seeds: DataFrame, key: str) -> DataFrame:

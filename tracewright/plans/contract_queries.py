@@ -61,7 +61,7 @@ def format_constraint_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.row_issues(rows, [_KEY], _FORMAT_FIELDS)
 
 
-_URLS = "CASE o_orderkey % 5 WHEN 0 THEN concat('https://code.example/a/b/tree/', repeat('0a1B', 10)) WHEN 1 THEN 'https://code.example/a/b/tree/main' WHEN 2 THEN 'https://code.example/a/b' WHEN 3 THEN concat('https://code.example/a/b/', repeat('0a', 20), 'f') ELSE 'mailto:x' END"
+_URLS = "CASE o_orderkey % 5 WHEN 0 THEN concat('https://raw.githubusercontent.com/a/b/', repeat('0a1B', 10), '/f') WHEN 1 THEN 'https://github.com/a/b/archive/main.zip' WHEN 2 THEN 'https://github.com/a/b' WHEN 3 THEN concat('https://api.github.com/repos/a/b/contents/x?z=1&ref=', repeat('0a', 20), 'f') ELSE concat('http://codeload.github.com/a/b/zip/', repeat('f0', 20)) END"
 _PATHS = "CASE o_orderkey % 8 WHEN 0 THEN 'a/b.txt' WHEN 1 THEN '/etc/x' WHEN 2 THEN 'a/../b' WHEN 3 THEN 'a//b' WHEN 4 THEN 'a\\\\b' WHEN 5 THEN '__pycache__/m.pyc' WHEN 6 THEN 'src/m.pyo' ELSE 'C:x' END"
 _QUANTITIES = "CASE o_orderkey % 5 WHEN 0 THEN concat(o_orderkey, ' GHz') WHEN 1 THEN '2.5khz' WHEN 2 THEN '3e2 Hz' WHEN 3 THEN '7 parsec' ELSE 'fast' END"
 
@@ -138,17 +138,17 @@ def history_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rubric_symmetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").selectExpr("l_partkey % 300 AS rubric", "l_suppkey % 90 AS tool", "l_linenumber AS n")
-    return contracts.one_way_links(lines.where("n <= 2"), lines.where("n >= 2 AND n <= 3"), "rubric", "tool")
+    return contracts.one_way_links(lines.where("n <= 4"), lines.where("n >= 3"), "rubric", "tool")
 
 
 def graph_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tools = table(spark, sf_dir, "events").selectExpr("user_id % 10 AS env", "event_type AS name")
-    steps = table(spark, sf_dir, "events").selectExpr("user_id % 10 AS env", "event_type AS from_tool", "element_at(array('view', 'click', 'error', 'purchase', 'other'), cast(event_id % 5 + 1 AS int)) AS to_tool", "event_id % 40 AS k", "cast(event_id % 6 AS int) - 1 AS weight", "event_id % 3 = 0 AS prerequisite")
-    return contracts.graph_decision_issues(steps.where("k = 7 AND from_tool <> to_tool"), tools, "env", "name")
+    tools = table(spark, sf_dir, "events").selectExpr("user_id AS env", "event_type AS name")
+    steps = table(spark, sf_dir, "events").selectExpr("user_id AS env", "event_type AS from_tool", "element_at(array('view', 'click', 'error', 'purchase', 'other'), cast(event_id % 5 + 1 AS int)) AS to_tool", "cast(event_id % 6 AS int) - 1 AS weight", "event_id % 3 = 0 AS prerequisite")
+    return contracts.graph_decision_issues(steps.where("from_tool <> to_tool"), tools, "env", "name")
 
 
 def graph_edge_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = table(spark, sf_dir, "lineitem").selectExpr("concat('t', l_suppkey % 40) AS from_tool", "concat('t', l_partkey % 40) AS to_tool", "cast(l_quantity % 5 AS int) AS weight", "l_orderkey").where("l_orderkey < 400")
+    edges = table(spark, sf_dir, "lineitem").selectExpr("concat('t', l_suppkey % 40) AS from_tool", "concat('t', l_partkey % 40) AS to_tool", "cast(l_quantity % 5 AS int) AS weight")
     known = table(spark, sf_dir, "supplier").selectExpr("concat('t', s_suppkey % 35) AS name")
     return contracts.edge_issues(edges, known)
 
@@ -180,13 +180,13 @@ _VIOLATIONS = f"""(SELECT doc_id, '/id' AS path, 'minimum' AS rule FROM document
   UNION ALL SELECT doc_id, '/lines/' || k, 'maxLength' FROM {_LINES} WHERE length(line) > 400 UNION ALL SELECT doc_id, '/size', 'maximum' FROM documents WHERE doc_id % 4 > 0 AND n_chars > 5000)"""
 _SCORE = "(SELECT p_partkey, 2.0 * (p_size % 7) + 0.5 * (p_size % 5) AS s FROM part)"
 _ROUTE = "CASE WHEN s >= 8 THEN 'keep' WHEN s >= 4 THEN 'review' ELSE 'drop' END"
-_DECISIONS = "(SELECT user_id % 10 AS env, event_type AS from_tool, ['view', 'click', 'error', 'purchase', 'other'][event_id % 5 + 1] AS to_tool, CAST(event_id % 6 AS INT) - 1 AS weight, event_id % 3 = 0 AS prerequisite FROM events WHERE event_id % 40 = 7)"
+_DECISIONS = "(SELECT user_id AS env, event_type AS from_tool, ['view', 'click', 'error', 'purchase', 'other'][event_id % 5 + 1] AS to_tool, CAST(event_id % 6 AS INT) - 1 AS weight, event_id % 3 = 0 AS prerequisite FROM events)"
 ORACLE_SQL = {
     "string_formats": "SELECT o_orderkey, " + ", ".join(f"{valid} AS {n.replace('-', '_')}" for n, (_, valid) in _SAMPLES.items()) + " FROM orders",
     "nested_violations": f"SELECT doc_id, path, rule FROM {_VIOLATIONS}",
     "first_violations": f"SELECT d.doc_id, v.path, v.rule FROM documents d LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY path, rule) AS k FROM {_VIOLATIONS}) v ON v.doc_id = d.doc_id AND v.k = 1",
     "format_constraint_issues": "SELECT o_orderkey, 'ip' AS field, 'format' AS rule FROM orders WHERE o_orderkey % 400 > 255 UNION ALL SELECT o_orderkey, 'n', 'multiple_of' FROM orders WHERE o_orderkey % 3 > 0 UNION ALL SELECT o_orderkey, 'c', 'const' FROM orders WHERE o_orderstatus <> 'O'",
-    "url_path_and_unit_values": """SELECT o_orderkey, ['immutable', 'named', 'unpinned', 'unpinned', NULL][o_orderkey % 5 + 1] AS stability, o_orderkey % 8 IN (0, 5, 6) AS is_safe, o_orderkey % 8 IN (5, 6) AS is_cache,
+    "url_path_and_unit_values": """SELECT o_orderkey, ['immutable_repository', 'mutable_repository', NULL, 'mutable_repository', 'immutable_repository'][o_orderkey % 5 + 1] AS stability, o_orderkey % 8 IN (0, 5, 6) AS is_safe, o_orderkey % 8 IN (5, 6) AS is_cache,
         CASE WHEN o_orderkey % 8 IN (0, 5, 6) THEN 'files' END AS scope, CASE o_orderkey % 8 WHEN 0 THEN 'a/b.txt' WHEN 5 THEN '__pycache__/m.pyc' WHEN 6 THEN 'src/m.pyo' END AS scoped_path,
         CASE o_orderkey % 5 WHEN 0 THEN o_orderkey * 1e9::DOUBLE WHEN 1 THEN 2500.0::DOUBLE WHEN 2 THEN 300.0::DOUBLE END AS hertz FROM orders""",
     "tool_name_mapping": "SELECT p_partkey, replace(replace(replace(replace(p_name, 'red widget', 'gadget'), 'small', 'little'), 'bolt', 'pin'), 'red', 'crimson') AS name FROM part",
@@ -207,16 +207,16 @@ ORACLE_SQL = {
         SELECT * FROM (SELECT c.asset, CASE WHEN a.asset IS NULL THEN 'undeclared' ELSE a.reason END AS reason FROM (SELECT DISTINCT o_orderstatus || o_custkey % 9 AS asset FROM orders) c LEFT JOIN access a USING (asset)) WHERE reason IS NOT NULL""",
     "history_consistency": "SELECT o_custkey, count(DISTINCT CASE WHEN o_custkey % 5 = 0 THEN o_orderstatus ELSE 'O' END) AS environments, count(*) - count(DISTINCT o_orderkey % 100) AS repeated_tasks FROM orders GROUP BY o_custkey HAVING environments > 1 OR repeated_tasks > 0",
     "rubric_symmetry": """
-        WITH f AS (SELECT DISTINCT l_partkey % 300 AS rubric, l_suppkey % 90 AS tool FROM lineitem WHERE l_linenumber <= 2), b AS (SELECT DISTINCT l_partkey % 300 AS rubric, l_suppkey % 90 AS tool FROM lineitem WHERE l_linenumber BETWEEN 2 AND 3)
+        WITH f AS (SELECT DISTINCT l_partkey % 300 AS rubric, l_suppkey % 90 AS tool FROM lineitem WHERE l_linenumber <= 4), b AS (SELECT DISTINCT l_partkey % 300 AS rubric, l_suppkey % 90 AS tool FROM lineitem WHERE l_linenumber >= 3)
         SELECT *, 'forward' AS side FROM (FROM f EXCEPT FROM b) UNION ALL SELECT *, 'backward' FROM (FROM b EXCEPT FROM f)""",
     "graph_decisions": f"""
-        WITH t AS (SELECT DISTINCT user_id % 10 AS env, event_type AS name FROM events), pairs AS (SELECT a.env, a.name AS from_tool, b.name AS to_tool FROM t a JOIN t b ON a.env = b.env AND a.name <> b.name),
+        WITH t AS (SELECT DISTINCT user_id AS env, event_type AS name FROM events), pairs AS (SELECT a.env, a.name AS from_tool, b.name AS to_tool FROM t a JOIN t b ON a.env = b.env AND a.name <> b.name),
         told AS (SELECT env, from_tool, to_tool, count(*) AS times, min(weight) AS lo, max(weight) AS hi, bool_or(prerequisite) AS needed FROM {_DECISIONS} WHERE from_tool <> to_tool GROUP BY ALL),
         joined AS (SELECT coalesce(p.env, t.env) AS env, coalesce(p.from_tool, t.from_tool) AS from_tool, coalesce(p.to_tool, t.to_tool) AS to_tool, p.env IS NOT NULL AS known, times, lo, hi, needed FROM pairs p FULL JOIN told t ON p.env = t.env AND p.from_tool = t.from_tool AND p.to_tool = t.to_tool)
         SELECT env, from_tool, to_tool, 'not judged' AS issue FROM joined WHERE times IS NULL UNION ALL SELECT env, from_tool, to_tool, 'unknown pair' FROM joined WHERE NOT known UNION ALL SELECT env, from_tool, to_tool, 'judged twice' FROM joined WHERE times > 1
         UNION ALL SELECT env, from_tool, to_tool, 'weight outside 0 to 3' FROM joined WHERE lo < 0 OR hi > 3 UNION ALL SELECT env, from_tool, to_tool, 'prerequisite without edge' FROM joined WHERE needed AND hi <= 0""",
     "graph_edge_contract": """
-        WITH told AS (SELECT 't' || l_suppkey % 40 AS from_tool, 't' || l_partkey % 40 AS to_tool, count(*) AS times, min(CAST(l_quantity % 5 AS INT)) AS lo, max(CAST(l_quantity % 5 AS INT)) AS hi FROM lineitem WHERE l_orderkey < 400 GROUP BY ALL), known AS (SELECT DISTINCT 't' || s_suppkey % 35 AS name FROM supplier)
+        WITH told AS (SELECT 't' || l_suppkey % 40 AS from_tool, 't' || l_partkey % 40 AS to_tool, count(*) AS times, min(CAST(l_quantity % 5 AS INT)) AS lo, max(CAST(l_quantity % 5 AS INT)) AS hi FROM lineitem GROUP BY ALL), known AS (SELECT DISTINCT 't' || s_suppkey % 35 AS name FROM supplier)
         SELECT from_tool, to_tool, 'self edge' AS issue FROM told WHERE from_tool = to_tool UNION ALL SELECT from_tool, to_tool, 'told twice' FROM told WHERE times > 1 UNION ALL SELECT from_tool, to_tool, 'weight outside 1 to 3' FROM told WHERE lo < 1 OR hi > 3
         UNION ALL SELECT from_tool, to_tool, 'unknown tool' FROM told WHERE from_tool NOT IN (FROM known) OR to_tool NOT IN (FROM known)""",
     "claimed_classes": """

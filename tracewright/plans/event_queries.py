@@ -73,7 +73,7 @@ def multiset_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multiset_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return matching.multiset_excess(orders.where("o_orderkey % 3 = 0").select("o_custkey", "o_orderstatus"), orders.where("o_orderkey % 2 = 0").select("o_custkey", "o_orderstatus"))
+    return matching.multiset_excess(orders.where("o_orderkey % 3 > 0").select("o_custkey", "o_orderstatus"), orders.where("o_orderkey % 3 = 0").select("o_custkey", "o_orderstatus"))
 
 
 def positional_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +125,7 @@ ORACLE_SQL = {
     "forward_asof": f"SELECT event_id, next_purchase FROM (SELECT event_id, event_type, first_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER ({_W} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_purchase FROM events) WHERE event_type = 'error'",
     "next_boundary": f"SELECT user_id, event_id, lead(event_id) OVER w AS next_id, lag(event_id) OVER w > event_id AS goes_back FROM events WHERE event_type = 'signup' WINDOW w AS ({_W})",
     "multiset_match": f"WITH {_ITEMS}, a AS (SELECT item, supp, row_number() OVER (PARTITION BY supp ORDER BY item) AS k FROM items WHERE flag = 'R'), b AS (SELECT item AS matched, supp, row_number() OVER (PARTITION BY supp ORDER BY item) AS k FROM items WHERE flag = 'A') SELECT item, matched FROM a LEFT JOIN b USING (supp, k)",
-    "multiset_containment": "SELECT o_custkey, o_orderstatus, count(*) AS excess FROM (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0 EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0) GROUP BY ALL",
+    "multiset_containment": "SELECT o_custkey, o_orderstatus, count(*) AS excess FROM (SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 > 0 EXCEPT ALL SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 3 = 0) GROUP BY ALL",
     "positional_join": "WITH a AS (SELECT user_id, event_id AS left_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events WHERE event_type = 'view'), b AS (SELECT user_id, event_id AS right_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events WHERE event_type = 'click') SELECT user_id, place, left_id, right_id FROM a FULL JOIN b USING (user_id, place)",
     "set_equality_join": f"SELECT members, a.n AS left_n, a.least AS left_least, b.n AS right_n, b.least AS right_least FROM ({_SETS.format(k=0)}) a JOIN ({_SETS.format(k=1)}) b USING (members)",
     "prefix_alias_join": "SELECT substr(p_name, 1, 8) AS alias, min(p_name) AS name FROM part GROUP BY 1 HAVING count(DISTINCT p_name) = 1",

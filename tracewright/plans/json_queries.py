@@ -85,7 +85,7 @@ ORACLE_SQL = {
     "bounded_results": """
         WITH items AS (SELECT o_orderkey, 1 + o_orderkey % 12 AS n, list_transform(range(1, CAST(2 + o_orderkey % 12 AS BIGINT)), lambda i: '"item-000' || (i + 100) || '"') AS list FROM orders)
         SELECT o_orderkey, CASE WHEN 14 * n + 1 <= 120 THEN '[' || array_to_string(list, ',') || ']'
-          ELSE '{"_truncated":true,"data":{"_truncated":true,"items":[' || array_to_string(list[1:2], ',') || '],"omitted_items":' || (n - 2) || '}}' END AS result FROM items""",
+          ELSE '{"cut_array":[' || array_to_string(list[1:(120 - length('{"cut_array":[],"items":' || n || '}') + 1) // 14], ',') || '],"items":' || n || '}' END AS result FROM items""",
     "typed_enums": """SELECT p_partkey, concat('{"properties":{"p":{"anyOf":[{"enum":["', p_brand, '"],"type":"string"},{"enum":[', p_size, ',0.5],"type":"number"}', CASE WHEN p_partkey % 2 = 0 THEN ',{"enum":[null],"type":"null"}' ELSE '' END, ',{"enum":[true],"type":"boolean"}],"title":"t"},"q":{"enum":["a","b"]}},"type":"object"}') AS schema FROM part""",
     "stripped_descriptions": """SELECT p_partkey, concat('{"properties":{"size":{"maximum":', p_size, ',"type":"integer"}},"type":"object"}') AS schema FROM part""",
 }

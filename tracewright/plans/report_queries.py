@@ -105,7 +105,7 @@ def prerequisite_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_chain_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     chains = table(spark, sf_dir, "events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))), lambda e: F.concat_ws("_", e["event_type"], F.expr("user_id % 4").cast("string"))).alias("chain"))
-    return graphs.chain_scores(chains, _edges(spark, sf_dir), "user_id").select("user_id", "n_edges", "score")
+    return graphs.chain_scores(chains, _edges(spark, sf_dir), "user_id").select("user_id", "n_edges", "score", F.round("eligibility", 9).alias("eligibility"))
 
 
 def graph_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,6 +146,6 @@ ORACLE_SQL = {
     "graph_edges": f"WITH {_EDGES} SELECT * FROM e",
     "graph_roots": f"WITH {_EDGES} SELECT DISTINCT from_tool AS tool FROM e WHERE from_tool NOT IN (SELECT to_tool FROM e WHERE weight >= 3 AND from_tool < to_tool)",
     "prerequisite_check": "SELECT user_id, (bool_or(event_type = 'signup') AND bool_or(event_type = 'purchase')) OR bool_or(event_type = 'error') AS met FROM events GROUP BY user_id",
-    "user_chain_scores": f"WITH {_EDGES}, p AS (SELECT user_id, event_type || '_' || user_id % 4 AS from_tool, lead(event_type || '_' || user_id % 4) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS to_tool FROM events) SELECT user_id, count(*) - 1 AS n_edges, CAST(coalesce(sum(weight), 0) AS BIGINT) AS score FROM p LEFT JOIN e USING (from_tool, to_tool) GROUP BY user_id",
+    "user_chain_scores": f"WITH {_EDGES}, p AS (SELECT user_id, event_type || '_' || user_id % 4 AS from_tool, lead(event_type || '_' || user_id % 4) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS to_tool FROM events) SELECT user_id, count(*) - 1 AS n_edges, CAST(coalesce(sum(weight), 0) AS BIGINT) AS score, round(CASE WHEN count(*) > 1 THEN coalesce(sum(weight), 0) / (count(*) - 1) + ln(count(*)) ELSE 0 END, 9)::DOUBLE AS eligibility FROM p LEFT JOIN e USING (from_tool, to_tool) GROUP BY user_id",
     "graph_chains": f"WITH RECURSIVE {_EDGES}, c AS (SELECT DISTINCT [from_tool] AS chain, 0::BIGINT AS score FROM e WHERE from_tool LIKE 'signup%' UNION ALL SELECT list_append(c.chain, e.to_tool), c.score + e.weight FROM c JOIN e ON e.from_tool = c.chain[-1] WHERE NOT list_contains(c.chain, e.to_tool) AND len(c.chain) < 4) SELECT array_to_string(chain, '>') AS chain, score FROM c",
 }

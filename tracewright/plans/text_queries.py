@@ -111,5 +111,5 @@ ORACLE_SQL = {
     "seeded_sample": "SELECT doc_id, lang FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 50",
     "best_evidence": "SELECT d.doc_id, l.rank FROM documents d LEFT JOIN (SELECT doc_id, max(quality * 2 + 1 - toxic) AS rank FROM labels GROUP BY doc_id) l USING (doc_id)",
     "json_key_counts": "SELECT event_id, json_valid(props) AS is_json, CAST(len(json_keys(props)) AS BIGINT) AS n_keys FROM events",
-    "json_pointer_values": "SELECT event_id, " + ", ".join(f"CAST(json_extract(props, '{p}') AS VARCHAR) AS {n}, CASE WHEN json_type(props, '{p}') IS NOT NULL THEN NULL WHEN json_type(props, '{up}') IN ('OBJECT', 'ARRAY') THEN 'missing' ELSE 'traverses a scalar' END AS {n}_issue" for n, p, up in (("hit", "/k", ""), ("miss", "/~0k~1", ""), ("crossed", "/k/0", "/k"))) + " FROM events",
+    "json_pointer_values": "SELECT event_id, " + ", ".join(f"CAST(json_extract(props, '{p}') AS VARCHAR) AS {n}, CASE WHEN json_type(props, '{p}') IS NOT NULL THEN NULL WHEN json_type(props, '{up}') IN ('OBJECT', 'ARRAY') THEN 'absent' ELSE 'leaf' END AS {n}_issue" for n, p, up in (("hit", "/k", ""), ("miss", "/~0k~1", ""), ("crossed", "/k/0", "/k"))) + " FROM events",
 }

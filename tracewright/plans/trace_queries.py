@@ -51,14 +51,14 @@ def strict_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def release_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    base = releases.merged([docs.where("doc_id % 4 = 0"), docs.where("doc_id % 4 = 1"), docs.where("doc_id % 4 = 2")], "doc_id")
+    base = releases.merged([docs.where("doc_id % 4 = 0"), docs.where("doc_id % 4 = 1"), docs.where("doc_id % 4 >= 2")], "doc_id")
     fresh = docs.where("doc_id % 4 = 2 AND doc_id % 3 = 0").withColumn("lang", F.lit("zz"))
     return releases.replaced(base, fresh, "doc_id")
 
 
 def release_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    found = docs.where("doc_id % 5 < 4").unionByName(docs.where("doc_id % 5 = 3").withColumn("n_chars", F.lit(-1).cast("long")))
+    found = docs.unionByName(docs.where("doc_id % 5 = 3").withColumn("n_chars", F.lit(-1).cast("long")))
     return releases.appended(docs.where("doc_id % 5 < 2"), found, "doc_id", [F.col("n_chars").asc()])
 
 
@@ -92,8 +92,8 @@ ORACLE_SQL = {
     + " UNION ALL ".join(f" SELECT conv_id, call_id, '{n}' AS issue FROM g WHERE {c}" for n, c in (("duplicate call", "calls > 1"), ("result without call", "calls = 0"), ("undefined tool", "bad > 0"), ("unresolved", "results = 0"), ("duplicate result", "results > 1"), ("result before call", "answered < called"))),
     "event_fold": "WITH s AS (SELECT *, CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS step FROM events) SELECT user_id, step, count(*) AS n, count(*) FILTER (event_type = 'error') AS errors, max(event_id) AS last_id FROM s GROUP BY user_id, step",
     "strict_split": "SELECT doc_id, concat_ws(',', CASE WHEN quality = 0 THEN 'low_quality' END, CASE WHEN toxic = 1 THEN 'toxic' END, CASE WHEN n_chars < 100 THEN 'short' END) AS flags FROM documents LEFT JOIN labels USING (doc_id)",
-    "release_merge": "SELECT doc_id, CASE WHEN doc_id % 4 = 2 AND doc_id % 3 = 0 THEN 'zz' ELSE lang END AS lang, n_chars FROM documents WHERE doc_id % 4 < 3",
-    "release_append": "SELECT doc_id, lang, CASE WHEN doc_id % 5 = 3 THEN -1 ELSE n_chars END AS n_chars FROM documents WHERE doc_id % 5 < 4",
+    "release_merge": "SELECT doc_id, CASE WHEN doc_id % 4 = 2 AND doc_id % 3 = 0 THEN 'zz' ELSE lang END AS lang, n_chars FROM documents",
+    "release_append": "SELECT doc_id, lang, CASE WHEN doc_id % 5 = 3 THEN -1 ELSE n_chars END AS n_chars FROM documents",
     "release_merge_whole": "SELECT doc_id, CASE WHEN doc_id % 4 = 2 AND doc_id % 3 = 0 THEN 'zz' ELSE lang END AS lang, n_chars FROM documents",
     "release_append_whole": "SELECT doc_id, lang, CASE WHEN doc_id % 5 = 3 THEN -1 ELSE n_chars END AS n_chars FROM documents",
     "release_preserved": "SELECT doc_id, CASE WHEN doc_id % 9 = 4 THEN 'removed' ELSE 'modified' END AS issue FROM documents WHERE doc_id % 9 IN (4, 5)",
