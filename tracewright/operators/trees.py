@@ -96,8 +96,8 @@ def flat_paths(schema: Column, deepest: int = FLAT_DEPTH) -> Column:
 
         def field(e: Column) -> Column:
             path = F.when(prefix != "", F.concat(prefix, F.lit("."), e["key"])).otherwise(e["key"])
-            below = flat(e["value"], path, depth + 1)
-            return F.when(F.size(below) > 0, below).otherwise(F.array(path))
+            below = F.array(flat(e["value"], path, depth + 1))  # as an argument, so that it is computed once
+            return F.get(F.transform(below, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(path))), 0)
 
         inside = F.flatten(F.transform(F.array_sort(F.map_keys(members)), lambda k: field(F.struct(k.alias("key"), F.try_element_at(members, k).alias("value")))))
         found = F.when((kind == "array") & items.isNotNull(), flat(F.try_variant_get(node, "$.items", "variant"), F.concat(prefix, F.lit("[]")), depth + 1))

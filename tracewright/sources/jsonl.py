@@ -1,51 +1,55 @@
 """Lines of text files with their physical numbers, and JSON objects from them.
 
-A plain text read has no line numbers. Files are read whole by one task each (as a split has no way to know how many
-lines stand before it), so many files of moderate size spread well; one huge file should be cut by its writer.
+Files are read by Spark's text source in byte ranges, so one file is as many tasks as it has ranges, and none is held
+whole. A range doesn't know how many lines stand before it: each range's lines are counted, the counts of a file are
+summed up in the order of ranges, and a line's number is its place in its range plus that sum. Only the counts, a row a
+range, are shuffled and sorted by file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LINES = "path string, line long, value string"
-
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow over (path, content)."""
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            lines = content.as_py().decode("utf-8", "replace").split("\n")
-            if lines and lines[-1] == "":
-                lines.pop()
-            for at in range(0, len(lines), 50_000):
-                part = [x.removesuffix("\r") for x in lines[at : at + 50_000]]
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(part), pa.string()), pa.array(range(at + 1, at + len(part) + 1), pa.int64()), pa.array(part, pa.string())], names=["path", "line", "value"])
+def _ranges(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(path, at, id, value): ``at`` is the byte at which the range begins, ``id`` ascends within a range."""
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"), "value")
 
 
 def numbered_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
-    """(path, line, value); blank lines count. Read by Spark's binary source, so any store it knows will do."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInArrow(_numbered, LINES)
+    """(path, line, value); lines end in \\n or \\r\\n, blank ones count, and what follows the last end is a line if it
+    isn't empty. Any store that Spark reads will do; files must not change while they are read, as they are scanned
+    twice. An empty file or folder gives no rows."""
+    counts = _ranges(spark, path, glob).groupBy("path", "at").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(F.col("path").alias("_path"), F.col("at").alias("_at"), (before - F.col("first") + 1).alias("_shift"))
+    rows = _ranges(spark, path, glob)
+    joined = rows.join(starts, (F.col("path") == F.col("_path")) & (F.col("at") == F.col("_at")))
+    return joined.select("path", (F.col("id") + F.col("_shift")).alias("line"), F.regexp_replace("value", "\r$", "").alias("value"))
+
+
+def lines_in_ranges(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
+    """(path, ranges, lines) of each file: how many tasks share it."""
+    return _ranges(spark, path, glob).groupBy("path").agg(F.count_distinct("at").alias("ranges"), F.count("*").alias("lines"))
+
+
+def is_object(value: Column) -> Column:
+    return F.trim(value).startswith("{") & F.try_parse_json(value).isNotNull()
 
 
 def strict_objects(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     """(path, line, fields): blank lines are skipped; a line that is no object is an error naming it."""
     rows = lines.where(F.trim("value") != "")
-    object_ = F.trim("value").startswith("{") & F.try_parse_json("value").isNotNull()
-    checked = F.when(object_, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no JSON object at "), F.col("path"), F.lit(":"), F.col("line").cast("string"))))
+    checked = F.when(is_object(F.col("value")), F.col("value")).otherwise(F.raise_error(F.concat(F.lit("no JSON object at "), F.col("path"), F.lit(":"), F.col("line").cast("string"))))
     return rows.select("path", "line", F.from_json(checked, schema).alias("_row")).select("path", "line", "_row.*")
 
 
 def lenient_objects(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
     """As ``strict_objects``, but other lines are dropped."""
-    good = F.trim("value").startswith("{") & F.try_parse_json("value").isNotNull()
-    return lines.where(good).select("path", "line", F.from_json("value", schema).alias("_row")).select("path", "line", "_row.*")
+    return lines.where(is_object(F.col("value"))).select("path", "line", F.from_json("value", schema).alias("_row")).select("path", "line", "_row.*")
 
 
 def paired(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
