@@ -10,7 +10,8 @@ A chunk (white space, then other characters) is encoded alike in any text, as ev
 where white space begins after something else; chunks are memoised up to a bounded number.
 
 A piece is matched ``WINDOW`` bytes at a time and its ids are held in arrays, so a very long piece takes some 20 bytes
-of memory a byte; memos live as long as a task and are bounded.
+of memory a byte; memos live as long as a worker
+process and are bounded, to some 200 MB.
 
 Nulls: a null text is empty (no ids). A null id passes through; equal rows are encoded alike; an empty table gives an
 empty result. Extra columns are not read.
@@ -36,8 +37,8 @@ from .common import table
 from .text_arrays import released
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Chunks and pieces that a task remembers, twice as many at most, and characters of each.
-CACHED_CHUNKS, CACHED_PIECES = 1 << 17, 1 << 15
+#: Chunks and pieces that a process remembers, twice as many at most, and characters of each.
+CACHED_CHUNKS, CACHED_PIECES = 1 << 18, 1 << 16
 CACHED_LENGTH = 32
 #: Pairs whose compatibility is remembered at most, and bytes of a piece that are matched at a time.
 CACHED_PAIRS, WINDOW = 1 << 18, 1 << 14
@@ -249,11 +250,17 @@ def _codec(path: str, pattern: str) -> BytePairs:
     return BytePairs(read_ranks(path), pattern)
 
 
+@lru_cache(1)
+def _memo(path: str, pattern: str) -> Memo:
+    """The chunks that this process remembers: tasks that it runs one after another find them warm."""
+    return chunk_memo(_codec(path, pattern))
+
+
 def digests(path: str, pattern: str):
     """For mapInArrow over (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = chunk_memo(_codec(path, pattern)).__getitem__
+        chunk = _memo(path, pattern).__getitem__
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
@@ -263,7 +270,6 @@ def digests(path: str, pattern: str):
                 ids.append(hashlib.sha256(joined[:-1].encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([p[1] for p in parts])).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        del chunk
         released()
 
     return run
