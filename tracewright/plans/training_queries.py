@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.operators import training
+from tracewright.operators import assembly, training
 from tracewright.session import table
 
 _RULES = [("[0-9]+", "#"), ("[eé]r", "<er>"), ("src#", "web")]
@@ -108,7 +108,41 @@ def compaction_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training.pointed_requests(compactions, requests, ["user_id"]).select("user_id", "compaction", "after_line", "request_id", "reason")
 
 
-QUERIES = {f.__name__: f for f in (deep_rewrite, audit_free_steps, chat_messages, annotated_calls, undefined_tool_flags, task_prompts, system_roots, message_integrity, cleaned_name_collisions, window_partitions, compaction_targets)}
+def _base_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Joined rows and base records of conversations; every fourth environment was not delivered, some have no request."""
+    turns = table(spark, sf_dir, "conversations")
+    trajectories = _steps(spark, sf_dir).withColumns({"env": F.col("conv_id") % 4, "tools": F.array(F.lit("tool2"), F.lit("tool0")), "steps": F.transform("steps", lambda s: s.dropFields("turn"))})
+    said = turns.where("role <> 'assistant'").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages"))
+    requests = said.where("conv_id % 7 > 0").select("conv_id", F.lit(1).alias("line"), F.transform("messages", lambda m: m.dropFields("turn")).alias("messages"), F.array(F.lit("tool0")).alias("defined"))
+    requests = requests.unionByName(requests.where("conv_id % 2 = 0").withColumns({"line": F.lit(9), "messages": F.slice("messages", 1, 1)}))
+    deliveries = turns.where("conv_id % 4 < 3").select((F.col("conv_id") % 4).alias("env"), F.concat(F.lit("v"), F.col("turn")).alias("path"), F.array(F.lit("tool0"), F.lit("tool2")).alias("delivered")).distinct()
+    rows = assembly.joined(trajectories, requests, deliveries, "conv_id", "env")
+    first = F.get(F.filter("messages", lambda m: m["role"] == "user"), F.lit(0))["content"]
+    prompt = F.concat(F.lit("Task: "), first)
+    names = F.create_map(F.lit("tool1"), F.when(F.col("conv_id") % 3 == 0, "tool0").otherwise("tool9"))
+    return rows, assembly.base_records(rows, "conv_id", "steps", "messages", prompt, first, _kind, {"started"}, "no root (.)", names)
+
+
+def training_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole training records of conversations: cleaned, joined with requests and deliveries, annotated and flagged."""
+    records = _base_records(spark, sf_dir)[1]
+    text = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), F.coalesce(m["content"], F.lit("")))), "\n")
+    return records.select("conv_id", "path", F.size("messages").alias("n_messages"), F.size("annotations").alias("n_annotations"), F.array_join("flags", ",").alias("flags"), F.coalesce(F.try_element_at("scrubbed", F.lit("names")), F.lit(0).cast("long")).alias("renamed"), F.sha2(text, 256).alias("messages_sha256"))
+
+
+def unassembled_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assembly.unassembled(_base_records(spark, sf_dir)[0], "conv_id")
+
+
+def continuation_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuation records of windows of two steps."""
+    records = _base_records(spark, sf_dir)[1]
+    windows = records.select("conv_id", F.explode(F.sequence(F.lit(0), F.floor(F.size("steps") / 2).cast("int"))).alias("window")).where("window > 0").select("conv_id", "window", (F.col("window") * 2 - 2).alias("first"), F.lit(2).alias("n"), F.concat(F.lit("part "), F.col("window")).alias("summary"))
+    found = assembly.continuation_records(records, windows, "conv_id")
+    return found.select("conv_id", "window", F.size("messages").alias("n_messages"), F.array_join(F.array_sort(F.map_keys("annotations")), ",").alias("call_ids"))
+
+
+QUERIES = {f.__name__: f for f in (deep_rewrite, audit_free_steps, chat_messages, annotated_calls, undefined_tool_flags, task_prompts, system_roots, message_integrity, cleaned_name_collisions, window_partitions, compaction_targets, training_records, unassembled_records, continuation_windows)}
 
 
 def _sql_replaced(col: str) -> str:
@@ -135,6 +169,9 @@ def _integrity_sql(end: bool) -> str:
     ], lambda x: x IS NOT NULL), ',') AS issues FROM {_ROLES} m GROUP BY conv_id)"""
 
 
+_ASSEMBLED = "conv_id % 7 > 0 AND conv_id % 4 < 3 AND conv_id IN (SELECT conv_id FROM conversations WHERE role <> 'assistant')"
+_CALLS = "(SELECT conv_id, turn, unnest(CASE WHEN turn % 6 = 1 THEN [5, 4] WHEN turn % 3 = 1 THEN [5] END) AS m, generate_subscripts(CASE WHEN turn % 6 = 1 THEN [5, 4] WHEN turn % 3 = 1 THEN [5] END, 1) AS k, text FROM conversations WHERE role = 'assistant')"
+_STEPS = "(SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, CASE WHEN turn % 5 = 3 THEN '' ELSE text END) - 1 AS step FROM conversations WHERE role = 'assistant')"
 ORACLE_SQL = {
     "deep_rewrite": f"SELECT doc_id, sha256(concat_ws('|', {_sql_replaced('source')}, {_sql_replaced('lang')}, array_to_string(list_transform(string_split(text, chr(10)), lambda x: {_sql_replaced('x')}), chr(10)), n_chars)) AS record_sha256 FROM documents",
     "audit_free_steps": f"""
@@ -173,4 +210,18 @@ ORACLE_SQL = {
         SELECT p.user_id, p.compaction, p.after_line, CASE WHEN l.event_type <> 'error' AND l.event_id % 10 > 0 THEN l.event_id END AS request_id,
           CASE WHEN l.event_id IS NULL THEN 'no such request' WHEN l.event_type = 'error' OR l.event_id % 10 = 0 THEN 'not an agent step' END AS reason
         FROM pointed p LEFT JOIN lines l ON l.user_id = p.user_id AND l.line = p.after_line""",
+    "training_records": f"""
+        WITH said AS (SELECT *, role = 'user' AND text = arg_min(text, turn) FILTER (role = 'user') OVER (PARTITION BY conv_id) AS task FROM conversations),
+        m AS (SELECT conv_id, 0 AS part, turn, 0 AS sub, role || ':' || CASE WHEN task THEN 'Task: ' || text ELSE text END AS line FROM said WHERE role <> 'assistant'
+          UNION ALL SELECT conv_id, 1, turn, 0, 'assistant:' || CASE WHEN turn % 5 = 3 THEN '' ELSE text END FROM conversations WHERE role = 'assistant'
+          UNION ALL SELECT conv_id, 1, turn, k, 'tool:' || substring(text, 1, m) FROM {_CALLS}),
+        c AS (SELECT conv_id, count(*) AS calls, count(DISTINCT 'c' || turn % m) AS ids FROM {_CALLS} GROUP BY conv_id)
+        SELECT m.conv_id, p.path, CAST(count(*) AS INT) AS n_messages, CAST(coalesce(max(c.ids), 0) AS INT) AS n_annotations, CASE WHEN max(c.calls) > 0 AND m.conv_id % 3 > 0 THEN 'undefined:tool9' ELSE '' END AS flags, coalesce(max(c.calls), 0) AS renamed,
+          sha256(string_agg(line, chr(10) ORDER BY part, turn, sub)) AS messages_sha256
+        FROM m LEFT JOIN c USING (conv_id) JOIN (SELECT conv_id % 4 AS env, min('v' || turn) AS path FROM conversations GROUP BY 1) p ON p.env = m.conv_id % 4
+        WHERE {_ASSEMBLED} AND m.conv_id IN (SELECT conv_id FROM conversations WHERE role = 'assistant') GROUP BY m.conv_id, p.path""",
+    "unassembled_records": "SELECT DISTINCT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'no request' ELSE 'no delivery with these tools' END AS reason FROM conversations WHERE role = 'assistant' AND (conv_id % 7 = 0 OR conv_id % 4 = 3)",
+    "continuation_windows": f"""
+        SELECT s.conv_id, CAST(s.step // 2 + 1 AS INT) AS "window", CAST(1 + count(DISTINCT s.step) + count(c.k) AS INT) AS n_messages, coalesce(string_agg(DISTINCT 'c' || c.turn % c.m, ',' ORDER BY 'c' || c.turn % c.m), '') AS call_ids
+        FROM {_STEPS} s LEFT JOIN {_CALLS} c USING (conv_id, turn) WHERE {_ASSEMBLED} GROUP BY s.conv_id, s.step // 2 HAVING count(DISTINCT s.step) = 2""",
 }
