@@ -170,8 +170,8 @@ def _integrity_sql(end: bool) -> str:
 
 
 _ASSEMBLED = "conv_id % 7 > 0 AND conv_id % 4 < 3 AND conv_id IN (SELECT conv_id FROM conversations WHERE role <> 'assistant')"
-_CALLS = "(SELECT conv_id, turn, unnest(CASE WHEN turn % 6 = 1 THEN [5, 4] WHEN turn % 3 = 1 THEN [5] END) AS m, generate_subscripts(CASE WHEN turn % 6 = 1 THEN [5, 4] WHEN turn % 3 = 1 THEN [5] END, 1) AS k, text FROM conversations WHERE role = 'assistant')"
-_STEPS = "(SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, CASE WHEN turn % 5 = 3 THEN '' ELSE text END) - 1 AS step FROM conversations WHERE role = 'assistant')"
+_NUMBERED_CALLS = "(SELECT conv_id, turn, unnest(CASE WHEN turn % 6 = 1 THEN [5, 4] WHEN turn % 3 = 1 THEN [5] END) AS m, generate_subscripts(CASE WHEN turn % 6 = 1 THEN [5, 4] WHEN turn % 3 = 1 THEN [5] END, 1) AS k, text FROM conversations WHERE role = 'assistant')"
+_NUMBERED_STEPS = "(SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, CASE WHEN turn % 5 = 3 THEN '' ELSE text END) - 1 AS step FROM conversations WHERE role = 'assistant')"
 ORACLE_SQL = {
     "deep_rewrite": f"SELECT doc_id, sha256(concat_ws('|', {_sql_replaced('source')}, {_sql_replaced('lang')}, array_to_string(list_transform(string_split(text, chr(10)), lambda x: {_sql_replaced('x')}), chr(10)), n_chars)) AS record_sha256 FROM documents",
     "audit_free_steps": f"""
@@ -214,8 +214,8 @@ ORACLE_SQL = {
         WITH said AS (SELECT *, role = 'user' AND text = arg_min(text, turn) FILTER (role = 'user') OVER (PARTITION BY conv_id) AS task FROM conversations),
         m AS (SELECT conv_id, 0 AS part, turn, 0 AS sub, role || ':' || CASE WHEN task THEN 'Task: ' || text ELSE text END AS line FROM said WHERE role <> 'assistant'
           UNION ALL SELECT conv_id, 1, turn, 0, 'assistant:' || CASE WHEN turn % 5 = 3 THEN '' ELSE text END FROM conversations WHERE role = 'assistant'
-          UNION ALL SELECT conv_id, 1, turn, k, 'tool:' || substring(text, 1, m) FROM {_CALLS}),
-        c AS (SELECT conv_id, count(*) AS calls, count(DISTINCT 'c' || turn % m) AS ids FROM {_CALLS} GROUP BY conv_id)
+          UNION ALL SELECT conv_id, 1, turn, k, 'tool:' || substring(text, 1, m) FROM {_NUMBERED_CALLS}),
+        c AS (SELECT conv_id, count(*) AS calls, count(DISTINCT 'c' || turn % m) AS ids FROM {_NUMBERED_CALLS} GROUP BY conv_id)
         SELECT m.conv_id, p.path, CAST(count(*) AS INT) AS n_messages, CAST(coalesce(max(c.ids), 0) AS INT) AS n_annotations, CASE WHEN max(c.calls) > 0 AND m.conv_id % 3 > 0 THEN 'undefined:tool9' ELSE '' END AS flags, coalesce(max(c.calls), 0) AS renamed,
           sha256(string_agg(line, chr(10) ORDER BY part, turn, sub)) AS messages_sha256
         FROM m LEFT JOIN c USING (conv_id) JOIN (SELECT conv_id % 4 AS env, min('v' || turn) AS path FROM conversations GROUP BY 1) p ON p.env = m.conv_id % 4
@@ -223,5 +223,5 @@ ORACLE_SQL = {
     "unassembled_records": "SELECT DISTINCT conv_id, CASE WHEN conv_id % 7 = 0 THEN 'no request' ELSE 'no delivery with these tools' END AS reason FROM conversations WHERE role = 'assistant' AND (conv_id % 7 = 0 OR conv_id % 4 = 3)",
     "continuation_windows": f"""
         SELECT s.conv_id, CAST(s.step // 2 + 1 AS INT) AS "window", CAST(1 + count(DISTINCT s.step) + count(c.k) AS INT) AS n_messages, coalesce(string_agg(DISTINCT 'c' || c.turn % c.m, ',' ORDER BY 'c' || c.turn % c.m), '') AS call_ids
-        FROM {_STEPS} s LEFT JOIN {_CALLS} c USING (conv_id, turn) WHERE {_ASSEMBLED} GROUP BY s.conv_id, s.step // 2 HAVING count(DISTINCT s.step) = 2""",
+        FROM {_NUMBERED_STEPS} s LEFT JOIN {_NUMBERED_CALLS} c USING (conv_id, turn) WHERE {_ASSEMBLED} GROUP BY s.conv_id, s.step // 2 HAVING count(DISTINCT s.step) = 2""",
 }
