@@ -10,8 +10,8 @@ A chunk (white space, then other characters) is encoded alike in any text, as ev
 where white space begins after something else; chunks are memoised up to a bounded number.
 
 A piece is matched ``WINDOW`` bytes at a time and its ids are held in arrays, so a very long piece takes some 20 bytes
-of memory a byte; memos live as long as a worker
-process and are bounded, to some 200 MB.
+of memory a byte; memos outlive a task in its worker
+process, are bounded to some 200 MB, and go after two seconds without a task.
 
 Nulls: a null text is empty (no ids). A null id passes through; equal rows are encoded alike; an empty table gives an
 empty result. Extra columns are not read.
@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import threading
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -40,6 +41,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Chunks and pieces that a process remembers, twice as many at most, and characters of each.
 CACHED_CHUNKS, CACHED_PIECES = 1 << 18, 1 << 16
 CACHED_LENGTH = 32
+#: Seconds without a task after which a process forgets them.
+IDLE_SECONDS = 2.0
 #: Pairs whose compatibility is remembered at most, and bytes of a piece that are matched at a time.
 CACHED_PAIRS, WINDOW = 1 << 18, 1 << 14
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -256,11 +259,32 @@ def _memo(path: str, pattern: str) -> Memo:
     return chunk_memo(_codec(path, pattern))
 
 
+_forgetting: list[threading.Timer] = []
+
+
+def _forget() -> None:
+    _memo.cache_clear()
+    released()
+
+
+def _remembered(path: str, pattern: str) -> Memo:
+    """The process's memo, kept for now: workers go on to tasks of other operators, which need its memory."""
+    while _forgetting:
+        _forgetting.pop().cancel()
+    return _memo(path, pattern)
+
+
+def _forget_later() -> None:
+    _forgetting.append(threading.Timer(IDLE_SECONDS, _forget))
+    _forgetting[-1].daemon = True
+    _forgetting[-1].start()
+
+
 def digests(path: str, pattern: str):
     """For mapInArrow over (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _memo(path, pattern).__getitem__
+        chunk = _remembered(path, pattern).__getitem__
         for batch in batches:
             counts, ids, decoded = [], [], []
             for text in batch.column(1):
@@ -270,7 +294,9 @@ def digests(path: str, pattern: str):
                 ids.append(hashlib.sha256(joined[:-1].encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([p[1] for p in parts])).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        del chunk
         released()
+        _forget_later()
 
     return run
 
