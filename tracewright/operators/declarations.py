@@ -7,11 +7,11 @@ ids are ids of their own and never known; equal declarations give equal issues,
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.functions.issues import at_path, bad_value, found, holds, issue, listed, of_each, repeated, texts
+
 FIELD = "struct<type:string,nullable:boolean,scope:string>"
 RECORD_SETS = f"array<struct<id:string,fields:map<string,{FIELD}>,key_fields:array<string>>>"
 END = "struct<record_set:string,fields:array<string>>"
@@ -21,83 +21,43 @@ RESERVED_IDS, RESERVED_PREFIX = ("raw", "derived", "output", "temp", "misc"), "s
 SCALARS = ("string", "integer", "number", "boolean")
 
 
-def _list(c: Column, kind: str) -> Column:
-    return F.coalesce(c, F.array().cast(kind))
-
-
-def _texts(c: Column) -> Column:
-    return _list(c, "array<string>")
-
-
-def _issue(code: str, path: Column, detail: Column) -> Column:
-    return F.struct(F.lit(code).alias("code"), path.alias("path"), F.coalesce(detail, F.lit("")).alias("detail"))
-
-
-def _when(bad: Column, issue: Column) -> Column:
-    """The issue as a list of one, or an empty one; a test that is null finds nothing."""
-    return F.filter(F.array(issue), lambda _: F.coalesce(bad, F.lit(False)))
-
-
-def _each(items: Column, issues: Callable[[Column, Column], Column]) -> Column:
-    """All issues of ``issues(item, number)``."""
-    return F.flatten(F.transform(items, issues))
-
-
-def _at(*parts: str | Column) -> Column:
-    return F.concat(*(p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts))
-
-
-def repeated(values: Column) -> Column:
-    """The values that occur more than once, once each and in order."""
-    return F.array_sort(F.array_distinct(F.filter(values, lambda v: F.size(F.filter(values, lambda w: w.eqNullSafe(v))) > 1)))
-
-
-def _known(names: Column, name: Column) -> Column:
-    return F.coalesce(F.array_contains(names, name), F.lit(False))
-
-
-def _named(bad: Callable[[Column], Column], code: str, member: str) -> Callable[[Column, Column], Column]:
-    """The issue of a value of the list ``member`` that is bad."""
-    return lambda value, i: _when(bad(value), _issue(code, _at(f"/{member}/", i), value))
-
-
 def environment_issues(df: DataFrame, key: str, record_sets: str, scopes: str, relationships: str) -> DataFrame:
     """Repeated and reserved ids; keys that are no fields or not plain values that are always there; fields of unknown scopes;
     relationship ends of unknown record sets, without fields, with fields that aren't plain values, of unequal lengths."""
-    sets, files, links = _list(F.col(record_sets), RECORD_SETS), _texts(F.col(scopes)), _list(F.col(relationships), RELATIONSHIPS)
+    sets, files, links = listed(F.col(record_sets), RECORD_SETS), texts(F.col(scopes)), listed(F.col(relationships), RELATIONSHIPS)
     ids = {record_sets: F.transform(sets, lambda s: s["id"]), scopes: files, relationships: F.transform(links, lambda r: r["id"])}
-    found = [_when(F.size(repeated(v)) > 0, _issue("duplicate_id", _at(f"/{c}"), F.array_join(repeated(v), ",", "null"))) for c, v in ids.items()]
+    every_issue = [found(F.size(repeated(v)) > 0, issue("duplicate_id", at_path(f"/{c}"), F.array_join(repeated(v), ",", "null"))) for c, v in ids.items()]
     reserved = lambda v: v.isin(*RESERVED_IDS) | v.startswith(RESERVED_PREFIX)
-    found += [_each(ids[c], _named(reserved, "reserved_id", c)) for c in (record_sets, scopes)]
+    every_issue += [of_each(ids[c], bad_value(reserved, "reserved_id", c)) for c in (record_sets, scopes)]
 
     def of_set(s: Column, i: Column) -> Column:
         entries = F.array_sort(F.coalesce(F.map_entries(s["fields"]), F.array().cast(f"array<struct<key:string,value:{FIELD}>>")))
-        strays = _each(entries, lambda e, _: _when(e["value"]["scope"].isNotNull() & ~_known(files, e["value"]["scope"]), _issue("unknown_scope", _at(f"/{record_sets}/", i, "/fields/", e["key"]), e["value"]["scope"])))
+        strays = of_each(entries, lambda e, _: found(e["value"]["scope"].isNotNull() & ~holds(files, e["value"]["scope"]), issue("unknown_scope", at_path(f"/{record_sets}/", i, "/fields/", e["key"]), e["value"]["scope"])))
 
         def of_key(name: Column, _: Column) -> Column:
-            field, at = F.try_element_at(s["fields"], name), _at(f"/{record_sets}/", i, "/key_fields")
+            field, at = F.try_element_at(s["fields"], name), at_path(f"/{record_sets}/", i, "/key_fields")
             plain = F.coalesce(field["type"].isin(*SCALARS), F.lit(False)) & field["nullable"].eqNullSafe(False)
-            return F.concat(_when(field.isNull(), _issue("unknown_key_field", at, name)), _when(field.isNotNull() & ~plain, _issue("invalid_key_field", at, name)))
+            return F.concat(found(field.isNull(), issue("unknown_key_field", at, name)), found(field.isNotNull() & ~plain, issue("invalid_key_field", at, name)))
 
-        return F.concat(strays, _each(_texts(s["key_fields"]), of_key))
+        return F.concat(strays, of_each(texts(s["key_fields"]), of_key))
 
     by_id = F.map_from_entries(F.transform(F.filter(sets, lambda s, i: s["id"].isNotNull() & (F.array_position(F.transform(sets, lambda t: t["id"]), s["id"]) == i + 1)), lambda s: F.struct(s["id"], s["fields"])))
 
     def of_link(r: Column, i: Column) -> Column:
         def of_end(side: str) -> Column:
-            end, at = r[side], _at(f"/{relationships}/", i, f"/{side}")
+            end, at = r[side], at_path(f"/{relationships}/", i, f"/{side}")
             there = F.coalesce(F.map_contains_key(by_id, end["record_set"]), F.lit(False))
             fields = F.try_element_at(by_id, end["record_set"])
             plain = lambda name: F.coalesce(F.try_element_at(fields, name)["type"].isin(*SCALARS), F.lit(False))
-            names = _texts(end["fields"])
-            inner = F.concat(_when(F.size(names) == 0, _issue("empty_end", at, end["record_set"])), _each(names, lambda name, _: _when(~plain(name), _issue("invalid_end_field", at, name))))
-            return F.when(end.isNull(), F.array().cast("array<struct<code:string,path:string,detail:string>>")).when(~there, F.array(_issue("unknown_record_set", at, end["record_set"]))).otherwise(inner)
+            names = texts(end["fields"])
+            inner = F.concat(found(F.size(names) == 0, issue("empty_end", at, end["record_set"])), of_each(names, lambda name, _: found(~plain(name), issue("invalid_end_field", at, name))))
+            return F.when(end.isNull(), F.array().cast("array<struct<code:string,path:string,detail:string>>")).when(~there, F.array(issue("unknown_record_set", at, end["record_set"]))).otherwise(inner)
 
-        n = [F.size(_texts(r[side]["fields"])) for side in ("left", "right")]
-        uneven = _when(r["left"].isNotNull() & r["right"].isNotNull() & (n[0] != n[1]), _issue("unequal_ends", _at(f"/{relationships}/", i), F.concat_ws(":", *(x.cast("string") for x in n))))
+        n = [F.size(texts(r[side]["fields"])) for side in ("left", "right")]
+        uneven = found(r["left"].isNotNull() & r["right"].isNotNull() & (n[0] != n[1]), issue("unequal_ends", at_path(f"/{relationships}/", i), F.concat_ws(":", *(x.cast("string") for x in n))))
         return F.concat(of_end("left"), of_end("right"), uneven)
 
-    every = F.concat(*found, _each(sets, of_set), _each(links, of_link))
+    every = F.concat(*every_issue, of_each(sets, of_set), of_each(links, of_link))
     return df.select(key, F.explode(every).alias("issue")).select(key, "issue.*")
 
 
@@ -113,45 +73,45 @@ def package_issues(df: DataFrame, key: str, rubrics: str, tools: str, coverage:
     """Ids that repeat or are no identifiers; weights that aren't positive and finite; scales; levels without a criterion; quotes
     that the task doesn't hold (a null task: any may be right); tools and rubrics that are unknown or know each other one
     way only; required tools that aren't declared; requirements without known rubrics; rubrics that no requirement covers."""
-    rows, helpers, wanted = _list(F.col(rubrics), RUBRICS), _list(F.col(tools), TOOLS), _list(F.col(coverage), COVERAGE)
+    rows, helpers, wanted = listed(F.col(rubrics), RUBRICS), listed(F.col(tools), TOOLS), listed(F.col(coverage), COVERAGE)
     ids, tool_ids = F.transform(rows, lambda r: r["id"]), F.transform(helpers, lambda t: t["id"])
     minus = lambda a, b: F.array_join(F.array_sort(F.array_except(a, b)), ",", "null")
     unquoted = lambda q: (F.trim(F.coalesce(q, F.lit(""))) == "") | F.coalesce(~F.contains(F.col(task), q), F.lit(False))
     blank = lambda v: F.coalesce(v, F.lit("")) == ""
-    found = [_when(F.size(v) == 0, _issue("nothing", _at(f"/{c}"), F.lit(""))) for c, v in ((rubrics, rows), (coverage, wanted))]
-    found += [_when(F.size(repeated(v)) > 0, _issue("duplicate_id", _at(f"/{c}"), F.array_join(repeated(v), ",", "null"))) for c, v in ((rubrics, ids), (tools, tool_ids))]
-    found += [_each(v, _named(lambda x: ~F.coalesce(x.rlike(_IDENTIFIER), F.lit(False)), "invalid_id", c)) for c, v in ((rubrics, ids), (tools, tool_ids))]
+    every_issue = [found(F.size(v) == 0, issue("nothing", at_path(f"/{c}"), F.lit(""))) for c, v in ((rubrics, rows), (coverage, wanted))]
+    every_issue += [found(F.size(repeated(v)) > 0, issue("duplicate_id", at_path(f"/{c}"), F.array_join(repeated(v), ",", "null"))) for c, v in ((rubrics, ids), (tools, tool_ids))]
+    every_issue += [of_each(v, bad_value(lambda x: ~F.coalesce(x.rlike(_IDENTIFIER), F.lit(False)), "invalid_id", c)) for c, v in ((rubrics, ids), (tools, tool_ids))]
 
     def of_rubric(r: Column, i: Column) -> Column:
-        at = lambda member: _at(f"/{rubrics}/", i, f"/{member}")
+        at = lambda member: at_path(f"/{rubrics}/", i, f"/{member}")
         sound = (r["weight"] > 0) & (r["weight"] < float("inf"))
         levels = F.filter(F.array(*(F.lit(str(k)) for k in range(max(LEVELS.values())))), lambda k: k.cast("int") < F.try_element_at(F.create_map(*(x for s, n in LEVELS.items() for x in (F.lit(s), F.lit(n)))), r["scale"]))
         empty = F.filter(levels, lambda k: blank(F.try_element_at(r["criteria"], k)))
-        quotes, used = _texts(r["quotes"]), _texts(r["tools"])
-        silent = F.transform(F.filter(helpers, lambda t: _known(used, t["id"]) & ~_known(_texts(t["rubrics"]), r["id"])), lambda t: t["id"])
+        quotes, used = texts(r["quotes"]), texts(r["tools"])
+        silent = F.transform(F.filter(helpers, lambda t: holds(used, t["id"]) & ~holds(texts(t["rubrics"]), r["id"])), lambda t: t["id"])
         return F.concat(
-            _when(~F.coalesce(sound, F.lit(False)), _issue("invalid_weight", at("weight"), r["weight"].cast("string"))),
-            _when(~F.coalesce(r["scale"].isin(*LEVELS), F.lit(False)), _issue("invalid_scale", at("scale"), r["scale"])),
-            _when(F.size(empty) > 0, _issue("missing_criteria", at("criteria"), F.array_join(empty, ","))),
-            _when((F.size(quotes) == 0) | F.exists(quotes, unquoted), _issue("invalid_quote", at("quotes"), F.array_join(F.filter(quotes, unquoted), ",", "null"))),
-            _when(F.size(F.array_except(used, tool_ids)) > 0, _issue("unknown_tool", at("tools"), minus(used, tool_ids))),
-            _when(F.size(F.array_except(_texts(r["required"]), used)) > 0, _issue("undeclared_tool", at("required"), minus(_texts(r["required"]), used))),
-            _when(F.size(silent) > 0, _issue("one_way", at("tools"), F.array_join(F.array_sort(silent), ","))),
+            found(~F.coalesce(sound, F.lit(False)), issue("invalid_weight", at("weight"), r["weight"].cast("string"))),
+            found(~F.coalesce(r["scale"].isin(*LEVELS), F.lit(False)), issue("invalid_scale", at("scale"), r["scale"])),
+            found(F.size(empty) > 0, issue("missing_criteria", at("criteria"), F.array_join(empty, ","))),
+            found((F.size(quotes) == 0) | F.exists(quotes, unquoted), issue("invalid_quote", at("quotes"), F.array_join(F.filter(quotes, unquoted), ",", "null"))),
+            found(F.size(F.array_except(used, tool_ids)) > 0, issue("unknown_tool", at("tools"), minus(used, tool_ids))),
+            found(F.size(F.array_except(texts(r["required"]), used)) > 0, issue("undeclared_tool", at("required"), minus(texts(r["required"]), used))),
+            found(F.size(silent) > 0, issue("one_way", at("tools"), F.array_join(F.array_sort(silent), ","))),
         )
 
     def of_tool(t: Column, i: Column) -> Column:
-        own, at = _texts(t["rubrics"]), _at(f"/{tools}/", i, "/rubrics")
-        silent = F.transform(F.filter(rows, lambda r: _known(own, r["id"]) & ~_known(_texts(r["tools"]), t["id"])), lambda r: r["id"])
-        return F.concat(_when((F.size(own) == 0) | (F.size(F.array_except(own, ids)) > 0), _issue("unknown_rubric", at, minus(own, ids))), _when(F.size(silent) > 0, _issue("one_way", at, F.array_join(F.array_sort(silent), ","))))
+        own, at = texts(t["rubrics"]), at_path(f"/{tools}/", i, "/rubrics")
+        silent = F.transform(F.filter(rows, lambda r: holds(own, r["id"]) & ~holds(texts(r["tools"]), t["id"])), lambda r: r["id"])
+        return F.concat(found((F.size(own) == 0) | (F.size(F.array_except(own, ids)) > 0), issue("unknown_rubric", at, minus(own, ids))), found(F.size(silent) > 0, issue("one_way", at, F.array_join(F.array_sort(silent), ","))))
 
     def of_requirement(c: Column, i: Column) -> Column:
-        refs = _texts(c["rubrics"])
+        refs = texts(c["rubrics"])
         return F.concat(
-            _when(unquoted(c["quote"]), _issue("invalid_quote", _at(f"/{coverage}/", i, "/quote"), c["quote"])),
-            _when((F.size(refs) == 0) | (F.size(F.array_except(refs, ids)) > 0), _issue("unknown_rubric", _at(f"/{coverage}/", i, "/rubrics"), minus(refs, ids))),
+            found(unquoted(c["quote"]), issue("invalid_quote", at_path(f"/{coverage}/", i, "/quote"), c["quote"])),
+            found((F.size(refs) == 0) | (F.size(F.array_except(refs, ids)) > 0), issue("unknown_rubric", at_path(f"/{coverage}/", i, "/rubrics"), minus(refs, ids))),
         )
 
-    covered = F.flatten(F.transform(wanted, lambda c: _texts(c["rubrics"])))
-    bare = _when(F.size(F.array_except(ids, covered)) > 0, _issue("uncovered", _at(f"/{coverage}"), minus(ids, covered)))
-    every = F.concat(*found, _each(rows, of_rubric), _each(helpers, of_tool), _each(wanted, of_requirement), bare)
+    covered = F.flatten(F.transform(wanted, lambda c: texts(c["rubrics"])))
+    bare = found(F.size(F.array_except(ids, covered)) > 0, issue("uncovered", at_path(f"/{coverage}"), minus(ids, covered)))
+    every = F.concat(*every_issue, of_each(rows, of_rubric), of_each(helpers, of_tool), of_each(wanted, of_requirement), bare)
     return df.select(key, F.explode(every).alias("issue")).select(key, "issue.*")
