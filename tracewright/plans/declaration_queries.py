@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.operators import declarations
+from tracewright.operators import acceptance, declarations
 from tracewright.session import table
 
 _LINE = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
@@ -38,12 +38,39 @@ def package_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return declarations.package_issues(packages, "o_orderkey", "rubrics", "tools", "cover", "task")
 
 
-QUERIES = {f.__name__: f for f in (environment_issues, package_issues)}
+def _acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's lines as acceptance tests in JSON."""
+    test = """named_struct('calls', CASE WHEN x.l_quantity > 2 THEN array(named_struct('tool', CASE WHEN x.l_quantity > 49 THEN '' ELSE 't' END)) ELSE CAST(array() AS array<struct<tool:string>>) END,
+        'expect_success', CASE WHEN x.l_linestatus = 'O' THEN false END, 'expected_error', CASE WHEN x.l_discount >= 0.09 THEN named_struct('code', 'c') END,
+        'data_checks', CASE WHEN x.l_tax < 0.04 THEN array(named_struct('path', CASE WHEN x.l_tax = 0 THEN 'a' ELSE '/a' END, 'op', 'range', 'min', x.l_quantity, 'max', 40)) END, 'extra', CASE WHEN x.l_linenumber = 7 THEN 1 END)"""
+    return _with_lines(spark, sf_dir).selectExpr("o_orderkey", f"parse_json(to_json(transform(lines, x -> {test}))) AS tests")
+
+
+def acceptance_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where acceptance tests break their form."""
+    return acceptance.issues_of_tests(_acceptance(spark, sf_dir), "o_orderkey", "tests")
+
+
+def acceptance_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which sets of acceptance tests pass the gate."""
+    return acceptance.gate(_acceptance(spark, sf_dir), "o_orderkey", "tests")
+
+
+QUERIES = {f.__name__: f for f in (environment_issues, package_issues, acceptance_issues, acceptance_gates)}
 
 _LINES = "(SELECT *, l_orderkey AS o_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus) - 1 AS i FROM lineitem JOIN orders ON o_orderkey = l_orderkey)"
 _SETS = f"(SELECT *, CASE WHEN l_linenumber = 6 THEN 'temp' ELSE 's' || l_suppkey % 4 END AS id, CASE WHEN l_returnflag = 'A' THEN 'object' ELSE 'integer' END AS type FROM {_LINES})"
 _RUBRICS = f"(SELECT *, CASE WHEN l_quantity > 49 THEN 'r 1' ELSE 'r' || i END AS id, 't' || l_suppkey % 3 AS tool, CASE WHEN l_quantity > 47 THEN 'none' ELSE l_returnflag END AS quote FROM {_LINES})"
 ORACLE_SQL = {
+    "acceptance_issues": f"""
+        SELECT o_orderkey, '' AS path, 'not a list' AS rule FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+        UNION ALL SELECT o_orderkey, '/' || i || '/calls', 'minItems' FROM {_LINES} WHERE l_quantity <= 2
+        UNION ALL SELECT o_orderkey, '/' || i || '/calls/0/tool', 'minLength' FROM {_LINES} WHERE l_quantity > 49
+        UNION ALL SELECT o_orderkey, '/' || i, 'additionalProperties' FROM {_LINES} WHERE l_linenumber = 7
+        UNION ALL SELECT o_orderkey, '/' || i || '/data_checks/0', 'oneOf' FROM {_LINES} WHERE l_tax = 0
+        UNION ALL SELECT o_orderkey, '/' || i || '/data_checks/0', 'empty range' FROM {_LINES} WHERE l_tax < 0.04 AND l_quantity > 40
+        UNION ALL SELECT o_orderkey, '/' || i || '/expected_error', 'error of a success' FROM {_LINES} WHERE l_discount >= 0.09 AND l_linestatus <> 'O'""",
+    "acceptance_gates": "SELECT o_orderkey, CASE WHEN count(l_orderkey) = 0 THEN 'no tests' WHEN count(*) FILTER (l_linestatus <> 'O') = 0 THEN 'no successful test' WHEN count(*) FILTER (l_linestatus <> 'O' AND l_tax < 0.04) = 0 THEN 'nothing asserted' END AS gate FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey",
     "environment_issues": f"""
         WITH s AS MATERIALIZED (FROM {_SETS}), firsts AS (SELECT o_orderkey, id, type FROM s QUALIFY row_number() OVER (PARTITION BY o_orderkey, id ORDER BY i) = 1),
         o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, l.type AS l_type, r.type AS r_type FROM orders LEFT JOIN (FROM firsts WHERE id = 's0') l USING (o_orderkey) LEFT JOIN (FROM firsts WHERE id = 's1') r USING (o_orderkey))
