@@ -11,9 +11,11 @@ from tracewright.session import table
 _LINE = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 
 
-def _with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*_LINE))).alias("lines"))
-    return table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+def with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their lines; the number of partitions is told, as few bytes are much work here and would be merged into one task."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *_LINE).repartition(n, "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*_LINE))).alias("lines"))
+    return table(spark, sf_dir, "orders").repartition(n, "o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
 
 
 def environment_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +25,7 @@ def environment_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         'key_fields', CASE WHEN x.l_discount >= 0.09 THEN array('k', 'z') ELSE array('k') END))"""
     scopes = "CASE WHEN o_orderpriority = '1-URGENT' THEN array('files', 'sqlite_x') WHEN o_orderpriority = '5-LOW' THEN array('files', 'files') ELSE array('files') END"
     links = "array(named_struct('id', 'r', 'left', named_struct('record_set', 's0', 'fields', array('k')), 'right', named_struct('record_set', 's1', 'fields', CASE o_orderstatus WHEN 'F' THEN array('k', 'k') WHEN 'O' THEN CAST(array() AS array<string>) ELSE array('k') END)))"
-    envs = _with_lines(spark, sf_dir).selectExpr("o_orderkey", f"{sets} AS sets", f"{scopes} AS scopes", f"{links} AS links")
+    envs = with_lines(spark, sf_dir).selectExpr("o_orderkey", f"{sets} AS sets", f"{scopes} AS scopes", f"{links} AS links")
     return declarations.environment_issues(envs, "o_orderkey", "sets", "scopes", "links")
 
 
@@ -34,7 +36,7 @@ def package_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
         'criteria', map('0', 'no', '1', 'yes'), 'quotes', array(CASE WHEN x.l_quantity > 47 THEN 'none' ELSE x.l_returnflag END), 'tools', array(concat('t', x.l_suppkey % 3)), 'required', array('t0')))"""
     tools = f"""array(named_struct('id', 't0', 'rubrics', transform(filter(transform(lines, (x, i) -> struct({name} AS id, x.l_suppkey % 3 AS s)), y -> y.s = 0), y -> y.id)), named_struct('id', 't1', 'rubrics', transform(lines, (x, i) -> {name})))"""
     cover = f"transform(filter(transform(lines, (x, i) -> struct({name} AS id, x.l_returnflag AS quote, x.l_quantity AS n)), y -> y.n > 2), y -> struct(y.quote AS quote, array(y.id) AS rubrics))"
-    packages = _with_lines(spark, sf_dir).selectExpr("o_orderkey", f"{rubrics} AS rubrics", f"{tools} AS tools", f"{cover} AS cover", "array_join(transform(lines, x -> x.l_returnflag), ' ') AS task")
+    packages = with_lines(spark, sf_dir).selectExpr("o_orderkey", f"{rubrics} AS rubrics", f"{tools} AS tools", f"{cover} AS cover", "array_join(transform(lines, x -> x.l_returnflag), ' ') AS task")
     return declarations.package_issues(packages, "o_orderkey", "rubrics", "tools", "cover", "task")
 
 
@@ -43,7 +45,7 @@ def _acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = """named_struct('calls', CASE WHEN x.l_quantity > 2 THEN array(named_struct('tool', CASE WHEN x.l_quantity > 49 THEN '' ELSE 't' END)) ELSE CAST(array() AS array<struct<tool:string>>) END,
         'expect_success', CASE WHEN x.l_linestatus = 'O' THEN false END, 'expected_error', CASE WHEN x.l_discount >= 0.09 THEN named_struct('code', 'c') END,
         'data_checks', CASE WHEN x.l_tax < 0.04 THEN array(named_struct('path', CASE WHEN x.l_tax = 0 THEN 'a' ELSE '/a' END, 'op', 'range', 'min', x.l_quantity, 'max', 40)) END, 'extra', CASE WHEN x.l_linenumber = 7 THEN 1 END)"""
-    return _with_lines(spark, sf_dir).selectExpr("o_orderkey", f"parse_json(to_json(transform(lines, x -> {test}))) AS tests")
+    return with_lines(spark, sf_dir).selectExpr("o_orderkey", f"parse_json(to_json(transform(lines, x -> {test}))) AS tests")
 
 
 def acceptance_issues(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,22 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.operators import views
-from tracewright.session import table
+from tracewright.plans.declaration_queries import with_lines
 
-_LINE = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag")
 _TO = "element_at(array('A', 'N', 'X'), CAST(x.l_suppkey % 3 AS INT) + 1)"
 
 
 def _bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order as a bundle: edges of its lines from the second on, a task per line."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*_LINE))).alias("lines"))
-    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     edges = f"transform(filter(slice(lines, 2, 2), x -> x.l_suppkey % 3 < 2 OR x.l_quantity > 40), x -> struct(x.l_returnflag AS from_tool, {_TO} AS to_tool, CASE WHEN x.l_tax = 0 THEN 4 ELSE 1 + CAST(x.l_quantity AS INT) % 3 END AS weight, CAST(NULL AS STRING) AS reason))"
     needs = "array(struct('A' AS to_tool, array(struct(array('N') AS all_of, CASE WHEN o_orderpriority = '1-URGENT' THEN ' ' ELSE 'r' END AS reason)) AS any_of))"
     tasks = """transform(lines, (x, i) -> struct(concat('t', i) AS task_id, CASE WHEN x.l_quantity > 49 THEN CAST(array() AS array<string>) ELSE array('N', x.l_returnflag) END AS chain, x.l_tax AS score,
         CASE WHEN x.l_discount < 0.03 THEN struct(true AS passed, CAST(array() AS array<string>) AS errors) WHEN x.l_discount < 0.06 OR x.l_quantity > 49 THEN struct(false AS passed, array('e') AS errors) END AS validation,
         struct(x.l_tax > 0.02 AS success, CASE WHEN x.l_suppkey % 2 = 0 THEN array('N') END AS calls, CASE WHEN x.l_suppkey % 5 = 0 THEN array(struct('N' AS failed_tool, 'k' AS failure_kind)) END AS attempts) AS execution))"""
-    return orders.selectExpr("o_orderkey", "array('A', 'N', 'R') AS tools", f"{edges} AS edges", f"{needs} AS prerequisites", f"{tasks} AS tasks")
+    return with_lines(spark, sf_dir).selectExpr("o_orderkey", "array('A', 'N', 'R') AS tools", f"{edges} AS edges", f"{needs} AS prerequisites", f"{tasks} AS tasks")
 
 
 def graph_view_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
