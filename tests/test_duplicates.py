@@ -5,8 +5,11 @@ from __future__ import annotations
 import random
 import unicodedata
 
+import duckdb
+
 from tests import prose as fx
 from tracewright.operators import duplicates
+from tracewright.plans import duplicate_queries
 
 
 def form(text):
@@ -40,3 +43,12 @@ def test_near_duplicates_match_brute_force(spark):
                 want.add((a, b, shared, len(sets[a]), len(sets[b])))
     assert len(want) > 20
     assert {tuple(r) for r in duplicates.near_duplicates(df, "id", "text").collect()} == want
+
+
+def test_text_duplicate_classes_follow_their_sql_on_odd_texts(spark, tmp_path):
+    pairs = [("“a b” – c", "a b c"), ("ＡＢＣ", "abc"), ("abc 7", "abc ٣"), ("Straße", "STRASSE"), ("ΟΔΟΣ", "οδοσ"), ("İx", "ix"), ("café", "cafe\u0301"), (None, None), ("", " ."), ("n 12", "N 7"), ("ÄÖ", "äö")]
+    rows = [(2 * k + j, t) for k, pair in enumerate(pairs) for j, t in enumerate(pair)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = duckdb.sql(duplicate_queries.ORACLE_SQL["text_duplicate_classes"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")).fetchall()
+    got = duplicate_queries.text_duplicate_classes(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted(want)

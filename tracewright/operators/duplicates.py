@@ -24,15 +24,20 @@ def normal_form(text: pd.Series) -> pd.Series:
 
 
 def ascii_form(text: Column) -> Column:
-    """Lower case without ASCII white space and punctuation: what SQL can follow."""
-    return F.regexp_replace(F.lower(text), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", "")
+    """Lower case without ASCII white space and punctuation: what SQL can follow.
+
+    Its lower case maps one character to one; Java's own looks around for a final sigma and gives two for a dotted I.
+    """
+    return F.regexp_replace(F.lower(F.translate(text, "\u03a3\u0130", "\u03c3i")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", "")
 
 
-def duplicate_classes(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, exact_id, number_id): the smallest key with the same normal form, and with the same form up to numbers; both
-    null where the text is null."""
-    forms = df.select(key, normal_form(F.col(text)).alias("tw_form"))
-    hashed = forms.select(key, F.sha2("tw_form", 256).alias("tw_e"), F.sha2(F.regexp_replace("tw_form", r"\p{Nd}+", "#"), 256).alias("tw_n"))
+def duplicate_classes(df: DataFrame, key: str, text: str, form: Callable[[Column], Column] = normal_form, digits: str = r"\p{Nd}+", nulls_alike: bool = False) -> DataFrame:
+    """(key, exact_id, number_id): the smallest key with the same form, and with the same form up to numbers; both null where
+    the text is null, unless nulls are alike and make a class of their own."""
+    forms = df.select(key, form(F.col(text)).alias("tw_form"))
+    hashed = forms.select(key, F.sha2("tw_form", 256).alias("tw_e"), F.sha2(F.regexp_replace("tw_form", digits, "#"), 256).alias("tw_n"))
+    if nulls_alike:  # no digest is empty
+        hashed = hashed.fillna("", ["tw_e", "tw_n"])
     exact = hashed.groupBy("tw_e").agg(F.min(key).alias("exact_id"), F.min("tw_n").alias("tw_n"))
     numbers = exact.groupBy("tw_n").agg(F.min("exact_id").alias("number_id"))
     return hashed.drop("tw_n").join(exact.join(numbers, "tw_n").drop("tw_n"), "tw_e", "left").select(key, "exact_id", "number_id")
