@@ -52,3 +52,34 @@ def test_text_duplicate_classes_follow_their_sql_on_odd_texts(spark, tmp_path):
     want = duckdb.sql(duplicate_queries.ORACLE_SQL["text_duplicate_classes"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")).fetchall()
     got = duplicate_queries.text_duplicate_classes(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_near_duplicates_of_repetitive_and_reordered_texts_match_brute_force(spark):
+    rng = random.Random(8)
+    base = ["".join(rng.choice(letters) for _ in range(n)) for letters, n in (("ab", 300), ("abc", 90), ("abcdef", 400), ("a", 200), ("ab", 64))]
+    texts = base + [t[len(t) // 2 :] + t[: len(t) // 2] for t in base] + [t * 3 for t in base] + [t[:70] for t in base] + [t + "zz" + t[::-1] for t in base]
+    want = set()
+    first = {t: k for k, t in reversed(list(enumerate(texts))) if len(t) >= 60}
+    sets = {k: {t[i : i + 5] for i in range(len(t) - 4)} for t, k in first.items()}
+    for a in sets:
+        for b in sets:
+            shared = len(sets[a] & sets[b])
+            if a < b and (shared >= 0.78 * (len(sets[a]) + len(sets[b]) - shared) or shared >= 0.94 * min(len(sets[a]), len(sets[b]))):
+                want.add((a, b, shared, len(sets[a]), len(sets[b])))
+    got = duplicates.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), "id", "text")
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 10
+
+
+def test_common_grams_make_no_pairs_of_texts_that_share_little(spark):
+    """Texts of few syllables share grams with nearly all others, windows of them with few."""
+    from tracewright.functions import gram_windows
+
+    rng = random.Random(9)
+    syllables = ["the", "ion", "ent", "her", "ing", "and", "er", "on", "st", "wh", "ou", "ti"]
+    rows = [(k, "".join(rng.choice(syllables) for _ in range(120))) for k in range(300)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    keys = df.mapInArrow(gram_windows.window_keys(5, 4, 0.8764, duplicates._common_windows(df.select("id", "text").toDF("id", "form"))), gram_windows.KEYS)
+    walks = df.mapInArrow(gram_windows.walk_keys(5, 4), gram_windows.KEYS)
+    met = keys.alias("x").join(walks.alias("y"), "key").where("x.id <> y.id AND x.width = 4").count()
+    single = df.mapInArrow(gram_windows.walk_keys(5, 1), gram_windows.KEYS)
+    assert met * 4 < keys.alias("x").select("id", "n").join(single.alias("y"), "id").count() * 300

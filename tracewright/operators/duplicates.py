@@ -5,14 +5,19 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tracewright.functions import gram_windows
 from tracewright.functions.text import char_grams
+from tracewright.session import written
 
 GRAM = 5
+#: Grams of a window; texts, and characters of each, of the sample that tells which windows are common.
+WIDTH, SAMPLE = 4, 4096
 #: Near duplicates reach one of these, both texts being of the length.
 JACCARD, CONTAINMENT, LEAST_CHARS = 0.78, 0.94, 60
 
@@ -43,23 +48,44 @@ def duplicate_classes(df: DataFrame, key: str, text: str, form: Callable[[Column
     return hashed.drop("tw_n").join(exact.join(numbers, "tw_n").drop("tw_n"), "tw_e", "left").select(key, "exact_id", "number_id")
 
 
+def _common_windows(forms: DataFrame) -> gram_windows.Common:
+    """The windows that several texts of a sample hold, and how many; this orders windows only and bars none."""
+    sample = forms.orderBy(F.xxhash64("form")).limit(SAMPLE).select("id", F.substring("form", 1, SAMPLE).alias("form"))
+    keys = sample.mapInArrow(gram_windows.plain_keys(GRAM, WIDTH), gram_windows.KEYS)
+    rows = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    found, n = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    order = np.argsort(found)
+    return found[order], n[order]
+
+
 def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column], Column] = normal_form) -> DataFrame:
     """(a, b, shared, size_a, size_b) of distinct forms (each by its smallest key) that are near duplicates.
 
-    Grams are ordered rare first. With containment c or more, the smaller set's first size - ceil(c * size) + 1 grams
-    hold one of the larger set's; with Jaccard j the overlap is at least j of the smaller set, so j bounds both. Only
-    those prefixes look for partners, then the sets are compared exactly.
+    With Jaccard j the overlap is at least 2j / (1 + j) of the smaller set, with containment c at least c of it. So of a
+    set of n grams at most some m are missing in a larger near duplicate, and one of m + 1 windows of successive grams,
+    no gram in two of them, is whole in it: the smaller text gives windows, rare ones first, the larger all walks over its
+    grams. Of texts that meet, those whose marks leave it open are compared exactly.
     """
     forms = df.select(F.col(key).alias("id"), form(F.col(text)).alias("form")).where(f"length(form) >= {LEAST_CHARS}")
-    forms = forms.groupBy("form").agg(F.min("id").alias("id"))
-    sets = forms.select("id", char_grams(F.col("form"), GRAM).alias("grams"))
-    grams = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    frequency = grams.groupBy("gram").agg(F.count("*").alias("f")).where("f > 1")
-    known = grams.join(frequency, "gram")
-    place = F.row_number().over(Window.partitionBy("id").orderBy("f", "gram"))
-    prefix = known.withColumn("place", place).where(f"place <= n - ceil({min(JACCARD, CONTAINMENT)} * n) + 1").select(F.col("id").alias("s"), F.col("n").alias("s_n"), "gram")
-    met = prefix.join(known.select("id", "n", "gram"), "gram").where("s <> id AND (n > s_n OR (n = s_n AND s < id))")
-    pairs = met.select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")).distinct()
+    forms = written(forms.groupBy("form").agg(F.min("id").alias("id")).select("id", "form"), "near-forms")
+    # few bytes of text are much work here: the number of partitions is told
+    dealt = forms.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+    share = min(2 * JACCARD / (1 + JACCARD), CONTAINMENT)
+    small = written(dealt.mapInArrow(gram_windows.window_keys(GRAM, WIDTH, share, _common_windows(forms)), gram_windows.KEYS), "near-windows")
+    met = None
+    for width in (WIDTH, 1):
+        own = small.where(f"width = {width}").select(F.col("id").alias("s"), F.col("n").alias("s_n"), "key")
+        if width == 1 and own.isEmpty():
+            continue
+        others = dealt.mapInArrow(gram_windows.walk_keys(GRAM, width), gram_windows.KEYS).drop("width")
+        both = own.join(others, "key").where("s <> id AND (n > s_n OR (n = s_n AND s < id))").select("s", "s_n", "id")
+        met = both if met is None else met.unionAll(both)
+    bits = written(dealt.mapInArrow(gram_windows.marks(GRAM), gram_windows.MARKS), "near-marks")
+    met = written(met.distinct(), "near-met")
+    met = met.join(bits.selectExpr("id AS s", *gram_windows.marks_as("s_")), "s").join(bits.selectExpr("id", *gram_windows.marks_as("t_")), "id")
+    close = met.where(f"{gram_windows.lacking('s_', 't_')} <= s_n - ceil({share} * s_n - 1e-9)")
+    pairs = written(close.select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")), "near-pairs")
+    sets = written(dealt.select("id", char_grams(F.col("form"), GRAM).alias("grams")), "near-sets")
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("tw_x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("tw_y")), "b")
     measured = joined.select("a", "b", F.size(F.array_intersect("tw_x", "tw_y")).cast("long").alias("shared"), F.size("tw_x").cast("long").alias("size_a"), F.size("tw_y").cast("long").alias("size_b"))
     return measured.where(f"shared >= {JACCARD} * (size_a + size_b - shared) OR shared >= {CONTAINMENT} * least(size_a, size_b)")
