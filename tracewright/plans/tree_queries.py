@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import json_schema
 from tracewright.operators import coverage, fuzzy, trees
-from tracewright.session import table
+from tracewright.session import dealt, table
 
 #: A contract of order records with references, alternatives and closed objects.
 ORDER_SCHEMA = {
@@ -26,10 +26,14 @@ ORDER_SCHEMA = {
 
 
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON text of every order with its lines; some lack members or hold what the contract bars."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"), F.when(F.col("l_linenumber") == 7, F.lit("x")).alias("extra"), F.col("l_extendedprice").alias("w")))).alias("lines"))
+    """JSON text of every order with its lines; some lack members or hold what the contract bars.
+
+    The number of partitions is told, as few bytes are much work here and would be merged into one task.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice").repartition(n, "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"), F.when(F.col("l_linenumber") == 7, F.lit("x")).alias("extra"), F.col("l_extendedprice").alias("w")))).alias("lines"))
     lines = lines.select("l_orderkey", F.transform("lines", lambda x: F.struct(x["part"].alias("part"), x["quantity"].alias("quantity"), x["extra"].alias("extra"))).alias("lines"))
-    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    orders = table(spark, sf_dir, "orders").repartition(n, "o_orderkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     payment = F.struct(F.when(F.col("o_orderkey") % 3 != 1, "c").alias("card"), F.when(F.col("o_orderkey") % 3 != 2, "a").alias("account"))
     record = F.struct(F.when(F.col("o_custkey") % 10 > 0, F.col("o_custkey")).alias("customer"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("price"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), payment.alias("payment"), "lines")
     return orders.select("o_orderkey", F.to_json(record).alias("json"))
@@ -37,13 +41,13 @@ def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def schema_first_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first error of each order record against a contract, if it has one."""
-    first = json_schema.first_error(F.parse_json("json"), ORDER_SCHEMA)
-    return _order_records(spark, sf_dir).select("o_orderkey", first.alias("e")).select("o_orderkey", "e.path", "e.rule")
+    first = json_schema.first_error(F.col("v"), ORDER_SCHEMA)
+    return _order_records(spark, sf_dir).select("o_orderkey", F.parse_json("json").alias("v")).select("o_orderkey", first.alias("e")).select("o_orderkey", "e.path", "e.rule")
 
 
 def schema_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often order records break each rule of the contract, lines' numbers aside."""
-    errors = _order_records(spark, sf_dir).select(F.explode(json_schema.schema_errors(F.parse_json("json"), ORDER_SCHEMA)).alias("e"))
+    errors = _order_records(spark, sf_dir).select(F.parse_json("json").alias("v")).select(F.explode(json_schema.schema_errors(F.col("v"), ORDER_SCHEMA)).alias("e"))
     return errors.groupBy(F.regexp_replace("e.path", "/[0-9]+", "/*").alias("path"), F.col("e.rule").alias("rule")).agg(F.count("*").alias("n"))
 
 
@@ -66,7 +70,7 @@ def output_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = "concat('{\"properties\":{\"count\":{},\"items\":{\"type\":\"array\",\"items\":{\"properties\":{\"', p_name, '\":{\"properties\":{\"x\":{}}},\"id\":{}}}}}}')"
     text = f"concat('{{\"oneOf\":[{{\"properties\":{{\"success\":{{\"const\":false}},\"data\":{{}}}}}},{{\"properties\":{{\"success\":{{\"const\":', CASE WHEN p_partkey % 2 = 0 THEN 'true' ELSE '1' END, '}},\"data\":', {data}, '}}}}]}}')"
     paths = trees.flat_paths(trees.success_data(F.col("v")))
-    return table(spark, sf_dir, "part").selectExpr("p_partkey", f"parse_json({text}) AS v").select("p_partkey", F.array_join(paths, ",").alias("paths"))
+    return dealt(table(spark, sf_dir, "part"), "p_partkey").selectExpr("p_partkey", f"parse_json({text}) AS v").select("p_partkey", F.array_join(paths, ",").alias("paths"))
 
 
 def _required(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
