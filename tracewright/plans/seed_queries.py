@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.operators import seeds
-from tracewright.session import table
+from tracewright.session import dealt, table
 
 SITE, SOURCE, MOST = "https://catalogue/", "cat", 3
 
@@ -19,7 +19,7 @@ _OLD = """to_json(named_struct('environment', named_struct('basic_info', named_s
 
 
 def _parts(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return table(spark, sf_dir, "part").selectExpr("p_partkey", "p_size", f"parse_json({text}) AS v")
+    return dealt(table(spark, sf_dir, "part"), "p_partkey").selectExpr("p_partkey", "p_size", f"parse_json({text}) AS v")
 
 
 def catalogue_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
