@@ -81,3 +81,29 @@ def test_silent_runs_end_by_a_timer(spark, tmp_path, rocks):
     fed(spark, tmp_path / "in", tmp_path / "check", tmp_path / "out", limits)
     got = sorted((r.run, r.reason) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert ("done", "upstream") in got and ("quiet", "idle") in got and [g[0] for g in got].count("quiet") == 1
+
+
+def test_the_store_is_asked_once_a_run_however_many_events_it_has():
+    import pandas as pd
+
+    class Store(dict):
+        asked = 0
+
+        def containsKey(self, key):
+            self.asked += 1
+            return key in self
+
+        def updateValue(self, key, value):
+            self[key] = value
+
+    class Total:
+        exists, update = staticmethod(lambda: False), staticmethod(lambda value: None)
+
+    class Handle:
+        registerTimer = staticmethod(lambda ms: None)
+
+    m = monitor.StopMonitor(monitor.Limits())
+    m.handle, m.runs, m.seen, m.totals = Handle(), Store(), Store(), Total()
+    rows = pd.DataFrame([(f"r{k % 2}", pd.Timestamp(START) + pd.Timedelta(seconds=k), 1, "note") for k in range(50)], columns=["run", "at", "line", "kind"])
+    list(m.handleInputRows(("b",), iter([rows]), None))
+    assert m.runs.asked == 2 and len(m.runs) == 2

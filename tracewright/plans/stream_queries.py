@@ -11,6 +11,8 @@ from tracewright.session import shared_dir, table
 from tracewright.sources import jsonl
 from tracewright.streaming import monitor
 
+#: Users of a batch: no breaker joins them, and batches must not grow with the table.
+RUNS = 64
 LIMITS = monitor.Limits(calls=12, errors=3, batch_errors=10**9, idle=10**9, keep=2 * 10**9)
 
 
@@ -21,7 +23,7 @@ def live_run_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     kinds = F.when(F.col("event_type") == "error", "error").when(F.col("event_type").isin("click", "purchase"), "call").otherwise("note")
-    rows = events.select(F.concat(F.lit("b"), F.col("user_id") % 16).alias("b"), F.col("user_id").cast("string").alias("r"), F.col("ts").cast("timestamp").alias("t"), (F.col("event_id") % 7).alias("l"), kinds.alias("k"))
+    rows = events.select(F.concat(F.lit("b"), F.expr(f"user_id div {RUNS}")).alias("b"), F.col("user_id").cast("string").alias("r"), F.col("ts").cast("timestamp").alias("t"), (F.col("event_id") % 7).alias("l"), kinds.alias("k"))
     spark.conf.set(name, provider)
     try:
         stops = monitor.live_stops(rows, "b", "r", "t", "l", "k", "1 hour", LIMITS)

@@ -68,7 +68,9 @@ class StopMonitor(StatefulProcessor):
             out.append((key[0], run, at, line, reason, state[0], state[1]))
 
         for e in events.itertuples(index=False):
-            state = states.setdefault(e.run, self._run(e.run))
+            if e.run not in states:  # the store is asked once a run
+                states[e.run] = self._run(e.run)
+            state = states[e.run]
             ms = int(e.at.value // 1_000_000)
             last, state[2] = max(last, ms), max(state[2], ms)
             if state[3]:
