@@ -43,3 +43,12 @@ def test_gates(spark, asserted):
     sets = [[], None, [{**CALL, **asserted, "expect_success": False}], [CALL, {**CALL, **asserted, "expect_success": False}], [CALL, {**CALL, **asserted}], [{**CALL, "expected_data": {}, "data_checks": []}]]
     got = [r.gate for r in acceptance.gate(_df(spark, sets), "k", "v").orderBy("k").collect()]
     assert got == ["no tests", "no tests", "no successful test", "nothing asserted", None, "nothing asserted"]
+
+
+def test_a_test_that_many_sets_repeat_is_checked_once(spark):
+    bad, worse = {"calls": []}, {"calls": [], "odd": 1}
+    df = _df(spark, [[CALL, bad]] * 40 + [[worse, bad, CALL, bad]] * 3 + [None]).coalesce(1)
+    issues = acceptance.issues_of_tests(df, "k", "v")
+    want = [(k, "/1/calls", "minItems") for k in range(40)] + [(k, f"/{i}/calls", "minItems") for k in range(40, 43) for i in (0, 1, 3)] + [(k, "/0", "additionalProperties") for k in range(40, 43)] + [(43, "", "not a list")]
+    assert sorted(map(tuple, issues.collect())) == sorted(want)
+    assert "collect_list" in issues._jdf.queryExecution().optimizedPlan().toString()

@@ -59,3 +59,10 @@ def test_compiled_schemas_run_without_python(spark):
 def test_references_to_nothing_are_refused(spark, pointer):
     with pytest.raises((KeyError, TypeError)):
         first_error(F.lit(None), {"$ref": pointer, "x": 1})
+
+
+def test_facts_of_a_value_are_computed_once(spark):
+    df = spark.createDataFrame([("{}",)], "t string").select(F.parse_json("t").alias("v"))
+    plan = lambda schema: df.select(schema_errors(F.col("v"), schema).alias("e"))._jdf.queryExecution().analyzed().toString()
+    assert plan({"type": "string", "minLength": 1}).count("schema_of_variant(") == 1
+    assert plan({"oneOf": [{"required": ["a"]}, {"required": ["b"]}]}).count("try_variant_get(") == 1

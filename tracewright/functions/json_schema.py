@@ -30,27 +30,58 @@ from tracewright.functions.pointers import pointer_tokens
 ERRORS = "array<struct<path:string,rule:string>>"
 DEEPEST = 3
 _OF_TEXT, _OF_ITEMS, _OF_MEMBERS = ("minLength", "maxLength", "pattern", "format"), ("minItems", "maxItems", "uniqueItems"), ("minProperties", "maxProperties")
+_LOOKS_AT = {
+    **dict.fromkeys(("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf"), "number"),
+    **dict.fromkeys(_OF_TEXT, "text"),
+    **dict.fromkeys((*_OF_ITEMS, "items", "prefixItems", "contains"), "items"),
+    **dict.fromkeys((*_OF_MEMBERS, "required", "properties", "patternProperties", "additionalProperties", "propertyNames", "dependentRequired", "dependentSchemas"), "members"),
+}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), 0)
+    """``body`` of a value that is computed once.
 
+    The value is the start of an empty aggregation and ``body`` its end. As the one element of a transformed list it would be
+    right too, but such a list's type is derived from all of ``body`` anew, by each rule of the planner and for each row.
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda x, _: x, body)
 
-def _facts(v: Column) -> Column:
-    """What keywords ask of a value: its kind, members, items, number, text and type name."""
-    members, items, name = F.try_variant_get(v, "$", "map<string,variant>"), F.try_variant_get(v, "$", "array<variant>"), F.schema_of_variant(v)
-    scalar = F.when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null").when(name.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), "number").otherwise("other")
-    kind = F.when(members.isNotNull(), "object").when(items.isNotNull(), "array").otherwise(scalar)
-    number = F.when(kind == "number", F.try_variant_get(v, "$", "double"))
-    text = F.when(kind == "string", F.try_variant_get(v, "$", "string"))
-    return F.struct(v.alias("v"), kind.alias("kind"), members.alias("members"), items.alias("items"), number.alias("number"), text.alias("text"), name.alias("name"))
+
+def _facts(v: Column, needs: set[str], body: Callable[[Column], Column]) -> Column:
+    """``body`` of what keywords ask of a value: its members, items, type name, number and text, each computed once and only
+    if needed. Values that are no containers have short type names; those of containers are not looked at where it is known."""
+    get = lambda x, kind: F.try_variant_get(x, "$", kind)
+    held = [k for k in ("members", "items") if k in needs]
+    scalars = [k for k in ("number", "text") if k in needs]
+    named = "name" in needs or len(scalars) > 1
+
+    def with_scalars(x: Column) -> Column:
+        if not scalars:
+            return body(x)
+        name = x["name"] if named else _name(x, held)
+        of = {"number": F.when(name.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), get(x["v"], "double")), "text": F.when(name == "STRING", get(x["v"], "string"))}
+        kept = ["v", *held, *(["name"] if named else [])]
+        return _let(F.struct(*(x[k].alias(k) for k in kept), *(of[k].alias(k) for k in scalars)), body)
+
+    def with_name(x: Column) -> Column:
+        if not named:
+            return with_scalars(x)
+        return _let(F.struct(*(x[k].alias(k) for k in ("v", *held)), _name(x, held).alias("name")), with_scalars)
+
+    kinds = {"members": "map<string,variant>", "items": "array<variant>"}
+    return _let(F.struct(v.alias("v"), *(get(v, kinds[k]).alias(k) for k in held)), with_name)
+
+
+def _name(x: Column, held: list[str]) -> Column:
+    """The name of a value's type, empty for a container that is known to be one."""
+    name = F.schema_of_variant(x["v"])
+    return F.when(reduce(Column.__or__, (x[k].isNotNull() for k in held)), "").otherwise(name) if held else name
 
 
 def _same(x: Column, wanted: Any) -> Column:
     """Whether a value with facts ``x`` equals a JSON value; 1 and 1.0 are equal, 1 and true are not."""
     if isinstance(wanted, bool):
-        return (x["kind"] == "boolean") & (F.to_json(x["v"]) == json.dumps(wanted))
+        return F.to_json(x["v"]) == json.dumps(wanted)
     if isinstance(wanted, int | float):
         return F.coalesce(x["number"] == float(wanted), F.lit(False))
     if isinstance(wanted, str):
@@ -59,8 +90,19 @@ def _same(x: Column, wanted: Any) -> Column:
 
 
 def _typed(x: Column, names: list[str]) -> Column:
-    tests = {"integer": (x["kind"] == "number") & (x["number"] == F.floor(x["number"]))}
-    return reduce(Column.__or__, (tests.get(n, x["kind"] == n) for n in names))
+    tests = {
+        "object": lambda: x["members"].isNotNull(),
+        "array": lambda: x["items"].isNotNull(),
+        "string": lambda: x["text"].isNotNull(),
+        "number": lambda: x["number"].isNotNull(),
+        "integer": lambda: F.coalesce(x["number"] == F.floor(x["number"]), F.lit(False)),
+        "boolean": lambda: x["name"] == "BOOLEAN",
+        "null": lambda: x["name"] == "VOID",
+    }
+    return reduce(Column.__or__, (tests[n]() if n in tests else F.lit(False) for n in names), F.lit(False))
+
+
+_FACT_OF_TYPE = {"object": "members", "array": "items", "string": "text", "number": "number", "integer": "number", "boolean": "name", "null": "name"}
 
 
 def _found(schema: dict, pointer: str) -> Any:
@@ -69,6 +111,10 @@ def _found(schema: dict, pointer: str) -> Any:
     return schema
 
 
+def _either_null(schema: dict) -> dict:
+    return {"anyOf": [{k: v for k, v in schema.items() if k != "nullable"}, {"type": "null"}]}
+
+
 def _escaped(name: Column) -> Column:
     return F.replace(F.replace(name, F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
 
@@ -79,19 +125,45 @@ class _Compiler:
 
     def errors(self, value: Column, schema: Any, path: Column, way: tuple[str, ...] = ()) -> Column:
         """All errors of a variant, in order."""
+        if isinstance(schema, bool) or not schema:
+            return self.of_facts(value, schema, path, way)
+        return _facts(value, self.needs(schema, way), lambda x: self.of_facts(x, schema, path, way))
+
+    def of_facts(self, x: Column, schema: Any, path: Column, way: tuple[str, ...]) -> Column:
+        """All errors of a value whose facts, as far as the schema needs them, are ``x``."""
         if schema is True or schema == {}:
             return F.array().cast(ERRORS)
         if schema is False:
             return self.issue(path, "false")
         if schema.get("nullable"):
-            rest = {k: v for k, v in schema.items() if k != "nullable"}
-            return self.errors(value, {"anyOf": [rest, {"type": "null"}]}, path, way)
-
-        def whole(x: Column) -> Column:
-            parts = [part for word in schema if (part := self.keyword(word, x, schema, path, way)) is not None]
-            return F.concat(*(p.cast(ERRORS) for p in parts)) if parts else F.array().cast(ERRORS)
-
-        return _let(_facts(value), whole)
+            return self.of_facts(x, _either_null(schema), path, way)
+        parts = [part for word in schema if (part := self.keyword(word, x, schema, path, way)) is not None]
+        return F.concat(*(p.cast(ERRORS) for p in parts)) if len(parts) > 1 else parts[0].cast(ERRORS) if parts else F.array().cast(ERRORS)
+
+    def needs(self, schema: Any, way: tuple[str, ...]) -> set[str]:
+        """The facts of a value that a schema's keywords look at, those of schemas for the same value included."""
+        if isinstance(schema, bool):
+            return set()
+        if schema.get("nullable"):
+            return self.needs(_either_null(schema), way)
+        found: set[str] = set()
+        for word, arg in schema.items():
+            if word == "type":
+                found |= {_FACT_OF_TYPE[n] for n in ([arg] if isinstance(arg, str) else arg) if n in _FACT_OF_TYPE}
+            elif word in ("enum", "const"):
+                values = arg if word == "enum" else [arg]
+                found |= {"text" for v in values if isinstance(v, str)} | {"number" for v in values if isinstance(v, int | float) and not isinstance(v, bool)}
+            elif word in _LOOKS_AT:
+                found.add(_LOOKS_AT[word])
+            if word in ("anyOf", "oneOf", "allOf"):
+                found = found.union(*(self.needs(s, way) for s in arg))
+            elif word in ("not", "if"):
+                found = found.union(*(self.needs(s, way) for s in ((arg,) if word == "not" else (arg, schema.get("then", True), schema.get("else", True)))))
+            elif word == "dependentSchemas":
+                found = found.union(*(self.needs(s, way) for s in arg.values()))
+            elif word == "$ref":
+                found |= {"members", "items"} if way.count(arg) >= DEEPEST else self.needs(_found(self.root, arg.removeprefix("#")), (*way, arg))
+        return found
 
     def issue(self, path: Column, rule: str) -> Column:
         return F.array(F.struct(path.alias("path"), F.lit(rule).alias("rule"))).cast(ERRORS)
@@ -100,7 +172,7 @@ class _Compiler:
         return F.when(bad, self.issue(path, rule)).otherwise(F.array().cast(ERRORS))
 
     def valid(self, x: Column, schema: Any, way: tuple[str, ...]) -> Column:
-        return F.size(self.errors(x["v"], schema, F.lit(""), way)) == 0
+        return F.size(self.of_facts(x, schema, F.lit(""), way)) == 0
 
     def matching(self, members: Column, pattern: str) -> Column:
         return F.filter(F.map_entries(members), lambda e: e["key"].rlike(pattern))
@@ -140,21 +212,21 @@ class _Compiler:
             about = next((facts for facts, words in ((text, _OF_TEXT), (items, _OF_ITEMS), (members, _OF_MEMBERS)) if word in words), None)
             return bad(simple[word]() if about is None else about.isNotNull() & simple[word]())
         if word == "allOf":
-            return F.concat(*(self.errors(x["v"], s, path, way) for s in arg))
+            return F.concat(*(self.of_facts(x, s, path, way) for s in arg))
         if word == "if":
-            then, other = (self.errors(x["v"], schema.get(k, True), path, way) for k in ("then", "else"))
+            then, other = (self.of_facts(x, schema.get(k, True), path, way) for k in ("then", "else"))
             return F.when(self.valid(x, arg, way), then).otherwise(other)
         if word == "$ref":
             if way.count(arg) >= DEEPEST:
-                return self.when(x["kind"].isin("object", "array"), path, "depth")
-            return self.errors(x["v"], _found(self.root, arg.removeprefix("#")), path, (*way, arg))
+                return self.when(members.isNotNull() | items.isNotNull(), path, "depth")
+            return self.of_facts(x, _found(self.root, arg.removeprefix("#")), path, (*way, arg))
         if word == "required":
             return within(members.isNotNull(), F.transform(F.filter(F.array(*map(F.lit, arg)).cast("array<string>"), lambda n: ~F.map_contains_key(members, n)), lambda n: F.struct(path.alias("path"), F.lit(word).alias("rule"))))
         if word == "dependentRequired":
             tests = [self.when(F.map_contains_key(members, F.lit(k)) & ~reduce(Column.__and__, (F.map_contains_key(members, F.lit(n)) for n in names), F.lit(True)), path, word) for k, names in arg.items()]
             return within(members.isNotNull(), F.concat(*tests)) if tests else None
         if word == "dependentSchemas":
-            tests = [F.when(F.map_contains_key(members, F.lit(k)), self.errors(x["v"], s, path, way)).otherwise(F.array().cast(ERRORS)) for k, s in arg.items()]
+            tests = [F.when(F.map_contains_key(members, F.lit(k)), self.of_facts(x, s, path, way)).otherwise(F.array().cast(ERRORS)) for k, s in arg.items()]
             return within(members.isNotNull(), F.concat(*tests)) if tests else None
         if word == "properties":
             at = lambda name: F.concat(path, F.lit("/" + name.replace("~", "~0").replace("/", "~1")))

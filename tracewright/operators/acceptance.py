@@ -1,7 +1,7 @@
 """Acceptance tests of tools: the form of each test, what its members ask of each other, and the gate that a set must pass.
 
-Tests are a variant, a list of objects; their form is a JSON Schema compiled to Columns, so nothing is shuffled and no Python
-runs a row. A null variant, or one that is no list, has the one issue ``not a list``; an empty list has none but does not pass
+Tests are a variant, a list of objects; their form is a JSON Schema compiled to Columns, so no Python runs
+a row. A null variant, or one that is no list, has the one issue ``not a list``; an empty list has none but does not pass
 the gate. Equal rows give equal rows.
 """
 
@@ -66,19 +66,31 @@ def _upside_down(check: Column) -> Column:
     return ends[0] > ends[1]
 
 
+def _issues_of_test(test: Column) -> Column:
+    """(path, rule) of one test, paths from the test on."""
+    checks = F.coalesce(_list(test, "$.data_checks"), F.array().cast("array<variant>"))
+    ranges = F.flatten(F.transform(checks, lambda c, j: _error(_upside_down(c), F.concat(F.lit("/data_checks/"), j.cast("string")), "empty range")))
+    return F.concat(json_schema.schema_errors(test, TEST), _error((_size(test, "$.expected_error") > 0) & _succeeds(test), F.lit("/expected_error"), "error of a success"), ranges)
+
+
 def issues_of_tests(df: DataFrame, key: str, tests: str) -> DataFrame:
-    """(key, path, rule): where the tests break their form, expect an error of a success, or check an empty range."""
-    v = F.col(tests)
-
-    def of_test(test: Column, i: Column) -> Column:
-        at = F.concat(F.lit("/"), i.cast("string"))
-        form = F.transform(json_schema.schema_errors(test, TEST), lambda e: F.struct(F.concat(at, e["path"]).alias("path"), e["rule"].alias("rule")))
-        checks = F.coalesce(_list(test, "$.data_checks"), F.array().cast("array<variant>"))
-        ranges = F.flatten(F.transform(checks, lambda c, j: _error(_upside_down(c), F.concat(at, F.lit("/data_checks/"), j.cast("string")), "empty range")))
-        return F.concat(form, _error((_size(test, "$.expected_error") > 0) & _succeeds(test), F.concat(at, F.lit("/expected_error")), "error of a success"), ranges)
-
-    every = F.when(_list(v).isNull(), _error(F.lit(True), F.lit(""), "not a list")).otherwise(F.flatten(F.transform(_list(v), of_test)))
-    return df.select(key, F.explode(every).alias("e")).select(key, "e.path", "e.rule")
+    """(key, path, rule): where the tests break their form, expect an error of a success, or check an empty range.
+
+    A check takes far longer than a shuffle of its test, and sets repeat tests: a test is checked once for all that its
+    partition of ``df`` has of its JSON text, which decides what it is. A list of places is never longer than a partition's.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = df.select(F.col(key).alias("tw_key"), F.spark_partition_id().alias("tw_part"), _list(F.col(tests)).alias("tw_tests"))
+    # a null text stands for what is no list
+    texts = F.when(F.col("tw_tests").isNull(), F.array(F.lit(None).cast("string"))).otherwise(F.transform("tw_tests", lambda t: F.to_json(t)))
+    each = listed.select("tw_key", "tw_part", F.posexplode(texts).alias("tw_at", "tw_text"))
+    # few bytes are much work here and would be merged into one task
+    alike = each.groupBy("tw_part", "tw_text").agg(F.collect_list(F.struct("tw_key", "tw_at")).alias("tw_places")).repartition(n, "tw_part", "tw_text")
+    parsed = alike.select("tw_places", F.parse_json("tw_text").alias("tw_test"))
+    every = F.when(F.col("tw_test").isNull(), _error(F.lit(True), F.lit(None).cast("string"), "not a list")).otherwise(_issues_of_test(F.col("tw_test")))
+    found = parsed.select("tw_places", F.explode(every).alias("tw_e")).select(F.explode("tw_places").alias("tw_place"), "tw_e")
+    path = F.when(F.col("tw_e.path").isNull(), "").otherwise(F.concat(F.lit("/"), F.col("tw_place.tw_at").cast("string"), F.col("tw_e.path")))
+    return found.select(F.col("tw_place.tw_key").alias(key), path.alias("path"), F.col("tw_e.rule").alias("rule"))
 
 
 def gate(df: DataFrame, key: str, tests: str) -> DataFrame:
