@@ -35,6 +35,14 @@ def test_matchings_are_maximum_where_greed_fails(spark):
     assert assignment.maximum_matching(spark.createDataFrame([], "k int, a int, b int"), "k", "a", "b").collect() == []
 
 
+def test_no_round_of_a_matching_broadcasts(spark, monkeypatch):
+    plans, write = [], assignment.written
+    monkeypatch.setattr(assignment, "written", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    found = assignment.maximum_matching(spark.createDataFrame([(0, 0, 0), (0, 0, 1), (0, 1, 0)], "k int, a int, b int"), "k", "a", "b")
+    assert found.count() == 2
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 def test_shortened_names_that_share_a_stem_are_paired(spark):
     base, mark = "tool_" + "x" * 50, "_0a1b2c3d"
     full = [base + c * 20 for c in "abc"]

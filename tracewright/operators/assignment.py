@@ -22,23 +22,24 @@ def maximum_matching(edges: DataFrame, case: str, left: str, right: str) -> Data
     Phases of breadth-first search from all free lefts at once: a level takes every right that no level has, with the
     least (root, left) that leads to it, and goes on along matched pairs. The first level with free rights ends the
     search; each root takes one of them, and as the ways of different roots share no node, all are turned over
-    together. A phase that finds none proves the matching a maximum. Work is in joins on (case, node); the rounds are
-    phases times the length of the longest way taken.
+    together. A phase that finds none proves the matching a maximum. Work is in joins on (case, node), merged and never
+    broadcast, since each broadcast passes the driver and there are some a round; the rounds are phases times the length
+    of the longest way taken.
     """
     names = [case, left, right]
     edges = written(edges.select(F.col(case).alias("case"), F.col(left).alias("l"), F.col(right).alias("r")).dropna().distinct(), "matching-edges")
     pairs = edges.groupBy("case", "l").agg(F.min("r").alias("r")).groupBy("case", "r").agg(F.min("l").alias("l")).select("case", "l", "r")
     pairs = written(pairs, "matching")
     while True:
-        frontier = edges.select("case", "l").distinct().join(pairs.select("case", "l"), ["case", "l"], "left_anti").withColumn("root", F.col("l"))
+        frontier = edges.select("case", "l").distinct().join(pairs.select("case", "l").hint("merge"), ["case", "l"], "left_anti").withColumn("root", F.col("l"))
         levels, ends = [], None
         while ends is None:
-            reached = frontier.join(edges, ["case", "l"])
+            reached = frontier.join(edges.hint("merge"), ["case", "l"])
             for seen in levels:
-                reached = reached.join(seen.select("case", "r"), ["case", "r"], "left_anti")
+                reached = reached.join(seen.select("case", "r").hint("merge"), ["case", "r"], "left_anti")
             reached = reached.groupBy("case", "r").agg(F.min(F.struct("root", "l")).alias("by")).select("case", "r", "by.root", "by.l")
             mates = pairs.select("case", "r", F.col("l").alias("mate"))
-            level = written(reached.join(mates, ["case", "r"], "left"), "matching-level")
+            level = written(reached.join(mates.hint("merge"), ["case", "r"], "left"), "matching-level")
             n, free = level.agg(F.count("*"), F.count_if(F.col("mate").isNull())).first()
             if not n:
                 return pairs.select(*(F.col(c).alias(k) for c, k in zip(("case", "l", "r"), names, strict=True)))
@@ -48,12 +49,12 @@ def maximum_matching(edges: DataFrame, case: str, left: str, right: str) -> Data
             frontier = level.select("case", F.col("mate").alias("l"), "root")
         turned = None
         for level in reversed(levels):
-            step = level.join(ends, ["case", "r"]).select("case", "l", "r")
+            step = level.join(ends.hint("merge"), ["case", "r"]).select("case", "l", "r")
             turned = step if turned is None else turned.unionAll(step)
             # the right that a left had before is the end of the rest of the way
-            ends = step.select("case", "l").join(pairs, ["case", "l"]).select("case", "r")
+            ends = step.select("case", "l").join(pairs.hint("merge"), ["case", "l"]).select("case", "r")
         turned = written(turned, "matching-turned")
-        pairs = written(pairs.join(turned.select("case", "l"), ["case", "l"], "left_anti").unionByName(turned), "matching")
+        pairs = written(pairs.join(turned.select("case", "l").hint("merge"), ["case", "l"], "left_anti").unionByName(turned), "matching")
 
 
 def first_distinct(df: DataFrame, order: list[str], names: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ SAMPLE_LABELS = ["urgent", "large", "open", "filled", "any"]
 def bulk_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per nation of customers: how many can each have a supplier of one of their bulk orders for themselves."""
     bulk = table(spark, sf_dir, "lineitem").where("l_quantity >= 48").select("l_orderkey", "l_suppkey")
-    edges = bulk.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey", "c_custkey", "l_suppkey")
+    edges = bulk.join(table(spark, sf_dir, "orders").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "customer").hint("merge"), F.col("o_custkey") == F.col("c_custkey")).select("c_nationkey", "c_custkey", "l_suppkey")
     sides = edges.groupBy("c_nationkey").agg(F.count_distinct("c_custkey").alias("customers"), F.count_distinct("l_suppkey").alias("suppliers"))
     found = assignment.maximum_matching(edges, "c_nationkey", "c_custkey", "l_suppkey").groupBy("c_nationkey").agg(F.count("*").alias("matched"))
     return sides.join(found, "c_nationkey")
