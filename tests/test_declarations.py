@@ -1,5 +1,8 @@
 """Semantic checks of declared environments and rubric packages, by cases told by hand."""
 
+from pyspark.sql import functions as F
+
+from tracewright.functions.issues import found, issue
 from tracewright.operators import declarations as d
 
 PLAIN = {"type": "string", "nullable": False, "scope": None}
@@ -70,3 +73,9 @@ def test_packages(spark):
         (3, "nothing", "/rubrics", ""),
         (3, "nothing", "/cover", ""),
     ])
+
+
+def test_paths_and_details_are_made_only_for_what_is_found(spark):
+    df = spark.createDataFrame([(1, "a")], "k int, t string")
+    row = df.select(found(F.col("t") == "b", issue("c", F.raise_error(F.lit("made")).cast("string"), F.col("t"))).alias("e"), found(F.lit(None).cast("boolean"), issue("c", F.col("t"), F.col("t"))).alias("n")).first()
+    assert row.e == [] and row.n == []

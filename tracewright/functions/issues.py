@@ -23,8 +23,8 @@ def issue(code: str, path: Column, detail: Column) -> Column:
 
 
 def found(bad: Column, issue: Column) -> Column:
-    """The issue as a list of one, or an empty one; a test that is null finds nothing."""
-    return F.filter(F.array(issue), lambda _: F.coalesce(bad, F.lit(False)))
+    """The issue, made only where it is found, as a list of one, or an empty one; a test that is null finds nothing."""
+    return F.when(bad, F.array(issue)).otherwise(F.array().cast(ISSUES))
 
 
 def of_each(items: Column, issues: Callable[[Column, Column], Column]) -> Column:

@@ -73,8 +73,10 @@ def package_issues(df: DataFrame, key: str, rubrics: str, tools: str, coverage:
     """Ids that repeat or are no identifiers; weights that aren't positive and finite; scales; levels without a criterion; quotes
     that the task doesn't hold (a null task: any may be right); tools and rubrics that are unknown or know each other one
     way only; required tools that aren't declared; requirements without known rubrics; rubrics that no requirement covers."""
-    rows, helpers, wanted = listed(F.col(rubrics), RUBRICS), listed(F.col(tools), TOOLS), listed(F.col(coverage), COVERAGE)
-    ids, tool_ids = F.transform(rows, lambda r: r["id"]), F.transform(helpers, lambda t: t["id"])
+    # lists that the checks of every rubric, tool and requirement look at are columns, so they are made once a row
+    df = df.select(key, task, listed(F.col(rubrics), RUBRICS).alias("tw_rows"), listed(F.col(tools), TOOLS).alias("tw_helpers"), listed(F.col(coverage), COVERAGE).alias("tw_wanted"))
+    df = df.select("*", F.transform("tw_rows", lambda r: r["id"]).alias("tw_ids"), F.transform("tw_helpers", lambda t: t["id"]).alias("tw_tool_ids"))
+    rows, helpers, wanted, ids, tool_ids = (F.col(f"tw_{c}") for c in ("rows", "helpers", "wanted", "ids", "tool_ids"))
     minus = lambda a, b: F.array_join(F.array_sort(F.array_except(a, b)), ",", "null")
     unquoted = lambda q: (F.trim(F.coalesce(q, F.lit(""))) == "") | F.coalesce(~F.contains(F.col(task), q), F.lit(False))
     blank = lambda v: F.coalesce(v, F.lit("")) == ""
@@ -85,7 +87,7 @@ def package_issues(df: DataFrame, key: str, rubrics: str, tools: str, coverage:
     def of_rubric(r: Column, i: Column) -> Column:
         at = lambda member: at_path(f"/{rubrics}/", i, f"/{member}")
         sound = (r["weight"] > 0) & (r["weight"] < float("inf"))
-        levels = F.filter(F.array(*(F.lit(str(k)) for k in range(max(LEVELS.values())))), lambda k: k.cast("int") < F.try_element_at(F.create_map(*(x for s, n in LEVELS.items() for x in (F.lit(s), F.lit(n)))), r["scale"]))
+        levels = F.coalesce(*(F.when(r["scale"] == s, F.array(*(F.lit(str(k)) for k in range(n)))) for s, n in LEVELS.items()), F.array().cast("array<string>"))
         empty = F.filter(levels, lambda k: blank(F.try_element_at(r["criteria"], k)))
         quotes, used = texts(r["quotes"]), texts(r["tools"])
         silent = F.transform(F.filter(helpers, lambda t: holds(used, t["id"]) & ~holds(texts(t["rubrics"]), r["id"])), lambda t: t["id"])
