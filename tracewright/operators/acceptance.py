@@ -1,7 +1,7 @@
 """Acceptance tests of tools: the form of each test, what its members ask of each other, and the gate that a set must pass.
 
-Tests are a variant, a list of objects; their form is a JSON Schema compiled to Columns, so no Python runs
-a row. A null variant, or one that is no list, has the one issue ``not a list``; an empty list has none but does not pass
+Tests are a variant, a list of objects; their form is a JSON Schema compiled to Columns, so no Python
+runs a row. A null variant, or one that is no list, has the one issue ``not a list``; an empty list has none but does not pass
 the gate. Equal rows give equal rows.
 """
 
