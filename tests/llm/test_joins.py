@@ -357,6 +357,14 @@ def test_url_lists_judge_each_capture_of_an_id_at_its_own_time(spark, monkeypatc
     assert got == [("http://bad.org/", "2024-01-03", "bad.org"), ("http://bad.org/", "2024-02-01", None), ("http://good.org/", "2024-01-03", None), ("http://good.org/a/b/c", "2024-01-03", None), ("http://good.org/a/b?c", "2024-01-03", "good.org/a/b")]
 
 
+@pytest.mark.parametrize(("limit", "size"), [(0, 4_000_000), (50_000, 0)])
+def test_long_url_lists_are_not_broadcast_however_small_their_file_is(spark, sf_dir, monkeypatch, limit, size):
+    monkeypatch.setattr(op9, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(op9, "BROADCAST_BYTES", size, raising=False)
+    plan = op9.op9_url_lists(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("limit", [0, 50_000])
 def test_url_lists_as_of(spark, monkeypatch, limit):
     monkeypatch.setattr(op9, "BROADCAST_ROWS", limit)
