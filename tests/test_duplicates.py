@@ -83,3 +83,19 @@ def test_common_grams_make_no_pairs_of_texts_that_share_little(spark):
     met = keys.alias("x").join(walks.alias("y"), "key").where("x.id <> y.id AND x.width = 4").count()
     single = df.mapInArrow(gram_windows.walk_keys(5, 1), gram_windows.KEYS)
     assert met * 4 < keys.alias("x").select("id", "n").join(single.alias("y"), "id").count() * 300
+
+
+def test_near_duplicates_broadcast_nothing_and_gather_few_windows(spark, monkeypatch):
+    rng = random.Random(10)
+    texts = [fx.prose(rng, 40) for _ in range(30)]
+    df = spark.createDataFrame([(2 * k + j, t + " and a tail" * j) for k, t in enumerate(texts) for j in range(2)], "id long, text string")
+    write, common, plans, sizes = duplicates.written, duplicates._common_windows, [], []
+    plan = lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(duplicates, "COMMON", 100, raising=False)
+    monkeypatch.setattr(duplicates, "written", lambda d, label: plan(d) or write(d, label))
+    monkeypatch.setattr(duplicates, "_common_windows", lambda forms: sizes.append(common(forms)) or sizes[-1])
+    found = duplicates.near_duplicates(df, "id", "text")
+    plan(found)
+    assert len(plans) > 5 and not [p for p in plans if "Broadcast" in p]
+    assert len(sizes[0][0]) == len(sizes[0][1]) == 100
+    assert {(r.a, r.b) for r in found.collect()} == {(2 * k, 2 * k + 1) for k in range(30)}

@@ -16,8 +16,8 @@ from tracewright.functions.text import char_grams
 from tracewright.session import written
 
 GRAM = 5
-#: Grams of a window; texts, and characters of each, of the sample that tells which windows are common.
-WIDTH, SAMPLE = 4, 4096
+#: Grams of a window; texts, and characters of each, of the sample that tells which windows are common; most of these.
+WIDTH, SAMPLE, COMMON = 4, 4096, 1 << 17
 #: Near duplicates reach one of these, both texts being of the length.
 JACCARD, CONTAINMENT, LEAST_CHARS = 0.78, 0.94, 60
 
@@ -49,10 +49,10 @@ def duplicate_classes(df: DataFrame, key: str, text: str, form: Callable[[Column
 
 
 def _common_windows(forms: DataFrame) -> gram_windows.Common:
-    """The windows that several texts of a sample hold, and how many; this orders windows only and bars none."""
-    sample = forms.orderBy(F.xxhash64("form")).limit(SAMPLE).select("id", F.substring("form", 1, SAMPLE).alias("form"))
+    """The windows that most texts of a sample hold, ``COMMON`` at most, and how many; this orders windows only and bars none."""
+    sample = forms.select("id", F.substring("form", 1, SAMPLE).alias("form"), F.xxhash64("form").alias("h")).orderBy("h", "id").limit(SAMPLE).drop("h")
     keys = sample.mapInArrow(gram_windows.plain_keys(GRAM, WIDTH), gram_windows.KEYS)
-    rows = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").toArrow()
+    rows = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
     found, n = rows.column("key").to_numpy().view(np.uint64), rows.column("n").to_numpy()
     order = np.argsort(found)
     return found[order], n[order]
@@ -64,7 +64,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column],
     With Jaccard j the overlap is at least 2j / (1 + j) of the smaller set, with containment c at least c of it. So of a
     set of n grams at most some m are missing in a larger near duplicate, and one of m + 1 windows of successive grams,
     no gram in two of them, is whole in it: the smaller text gives windows, rare ones first, the larger all walks over its
-    grams. Of texts that meet, those whose marks leave it open are compared exactly.
+    grams. Of texts that meet, those whose marks leave it open are compared exactly. All joins are merges: Spark takes
+    walks and sets for as small as the file of their texts, and would broadcast them.
     """
     forms = df.select(F.col(key).alias("id"), form(F.col(text)).alias("form")).where(f"length(form) >= {LEAST_CHARS}")
     forms = written(forms.groupBy("form").agg(F.min("id").alias("id")).select("id", "form"), "near-forms")
@@ -78,14 +79,15 @@ def near_duplicates(df: DataFrame, key: str, text: str, form: Callable[[Column],
         if width == 1 and own.isEmpty():
             continue
         others = dealt.mapInArrow(gram_windows.walk_keys(GRAM, width), gram_windows.KEYS).drop("width")
-        both = own.join(others, "key").where("s <> id AND (n > s_n OR (n = s_n AND s < id))").select("s", "s_n", "id")
+        both = own.join(others.hint("merge"), "key").where("s <> id AND (n > s_n OR (n = s_n AND s < id))").select("s", "s_n", "id")
         met = both if met is None else met.unionAll(both)
     bits = written(dealt.mapInArrow(gram_windows.marks(GRAM), gram_windows.MARKS), "near-marks")
     met = written(met.distinct(), "near-met")
-    met = met.join(bits.selectExpr("id AS s", *gram_windows.marks_as("s_")), "s").join(bits.selectExpr("id", *gram_windows.marks_as("t_")), "id")
+    met = met.join(bits.selectExpr("id AS s", *gram_windows.marks_as("s_")).hint("merge"), "s").join(bits.selectExpr("id", *gram_windows.marks_as("t_")).hint("merge"), "id")
     close = met.where(f"{gram_windows.lacking('s_', 't_')} <= s_n - ceil({share} * s_n - 1e-9)")
     pairs = written(close.select(F.least("s", "id").alias("a"), F.greatest("s", "id").alias("b")), "near-pairs")
-    sets = written(dealt.select("id", char_grams(F.col("form"), GRAM).alias("grams")), "near-sets")
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("tw_x")), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("tw_y")), "b")
+    members = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = written(dealt.join(members.hint("merge"), "id", "left_semi").select("id", char_grams(F.col("form"), GRAM).alias("grams")), "near-sets")
+    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("tw_x")).hint("merge"), "a").join(sets.select(F.col("id").alias("b"), F.col("grams").alias("tw_y")).hint("merge"), "b")
     measured = joined.select("a", "b", F.size(F.array_intersect("tw_x", "tw_y")).cast("long").alias("shared"), F.size("tw_x").cast("long").alias("size_a"), F.size("tw_y").cast("long").alias("size_b"))
     return measured.where(f"shared >= {JACCARD} * (size_a + size_b - shared) OR shared >= {CONTAINMENT} * least(size_a, size_b)")
