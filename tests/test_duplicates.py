@@ -92,10 +92,21 @@ def test_near_duplicates_broadcast_nothing_and_gather_few_windows(spark, monkeyp
     write, common, plans, sizes = duplicates.written, duplicates._common_windows, [], []
     plan = lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString())
     monkeypatch.setattr(duplicates, "COMMON", 100, raising=False)
-    monkeypatch.setattr(duplicates, "written", lambda d, label: plan(d) or write(d, label))
+    monkeypatch.setattr(duplicates, "written", lambda d, label, **more: plan(d) or write(d, label, **more))
     monkeypatch.setattr(duplicates, "_common_windows", lambda forms: sizes.append(common(forms)) or sizes[-1])
     found = duplicates.near_duplicates(df, "id", "text")
     plan(found)
     assert len(plans) > 5 and not [p for p in plans if "Broadcast" in p]
     assert len(sizes[0][0]) == len(sizes[0][1]) == 100
     assert {(r.a, r.b) for r in found.collect()} == {(2 * k, 2 * k + 1) for k in range(30)}
+
+
+def test_few_pairs_of_common_texts_are_left_for_exact_comparison(spark, monkeypatch):
+    """Texts of few syllables share windows with many others, but seldom as many as near duplicates must."""
+    rng = random.Random(11)
+    syllables = ["the", "ion", "ent", "her", "ing", "and", "er", "on", "st", "wh", "ou", "ti"]
+    rows = [(k, "".join(rng.choice(syllables) for _ in range(100 + k))) for k in range(200)]
+    write, met = duplicates.written, {}
+    monkeypatch.setattr(duplicates, "written", lambda d, label, **more: met.setdefault(label, write(d, label, **more)))
+    assert duplicates.near_duplicates(spark.createDataFrame(rows, "id long, text string"), "id", "text").count() == 0
+    assert met["near-met"].count() * 5 < 200 * 199 / 2
